@@ -37,7 +37,7 @@ def customer_mart(spark, base):
     mart = t.customer.join(per_cust.withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
     mart = mart.withColumn("acctbal_to_spend", safe_div("c_acctbal", "o_totalprice_sum")) \
                .withColumn("orders_per_fulfilled", safe_div("o_totalprice_size", "n_status_F"))
-    mart = mart.withColumn("o_totalprice_var", r("o_totalprice_var", 2))  # ~1e10: keep 2 decimals
+    mart = mart.withColumn("o_totalprice_var", r("o_totalprice_var", -2))  # ~1e10: 8+ significant digits
     return rounded(mart.drop("c_name"))
 
 
@@ -63,7 +63,7 @@ l2 AS (
 SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment,
        o_totalprice_size, round(o_totalprice_mean, 6) AS o_totalprice_mean,
        round(o_totalprice_max, 6) AS o_totalprice_max, round(o_totalprice_min, 6) AS o_totalprice_min,
-       round(o_totalprice_sum, 6) AS o_totalprice_sum, round(o_totalprice_var, 2) AS o_totalprice_var,
+       round(o_totalprice_sum, 6) AS o_totalprice_sum, round(o_totalprice_var, -2) AS o_totalprice_var,
        round(o_totalprice_std, 6) AS o_totalprice_std, round(n_lines_mean, 6) AS n_lines_mean, n_lines_max,
        round(l_returnflag_R_mean, 6) AS l_returnflag_R_mean, o_orderpriority_nunique, n_status_F, n_status_O,
        round(c_acctbal / nullif(o_totalprice_sum, 0), 6) AS acctbal_to_spend,
