@@ -18,8 +18,26 @@ from featmart.operators.relational import with_global_row_number
 WORD_PATTERN = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
 # punctuation removed by the frequency tokenizer (its default filter set, then split on ' ')
 KERAS_FILTERS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~\t\n'
-# punctuation marks removed from the vocabulary together with stop words (TXT-3)
-VOCAB_PUNCTUATION = [",", ".", "''", "'", "``", "!", "?", ":", ";", "(", ")", "[", "]", "-"]
+# punctuation marks removed from the vocabulary together with the stop words (TXT-3)
+VOCAB_PUNCTUATION = [".", ",", '"', "'", "?", "!", ":", ";", "(", ")", "[", "]", "{", "}"]
+# English stop-word list used for vocabulary filtering (the common 179-word list)
+ENGLISH_STOP_WORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've", "you'll",
+    "you'd", "your", "yours", "yourself", "yourselves", "he", "him", "his", "himself", "she", "she's",
+    "her", "hers", "herself", "it", "it's", "its", "itself", "they", "them", "their", "theirs",
+    "themselves", "what", "which", "who", "whom", "this", "that", "that'll", "these", "those", "am", "is",
+    "are", "was", "were", "be", "been", "being", "have", "has", "had", "having", "do", "does", "did",
+    "doing", "a", "an", "the", "and", "but", "if", "or", "because", "as", "until", "while", "of", "at",
+    "by", "for", "with", "about", "against", "between", "into", "through", "during", "before", "after",
+    "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under", "again",
+    "further", "then", "once", "here", "there", "when", "where", "why", "how", "all", "any", "both",
+    "each", "few", "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same",
+    "so", "than", "too", "very", "s", "t", "can", "will", "just", "don", "don't", "should", "should've",
+    "now", "d", "ll", "m", "o", "re", "ve", "y", "ain", "aren", "aren't", "couldn", "couldn't", "didn",
+    "didn't", "doesn", "doesn't", "hadn", "hadn't", "hasn", "hasn't", "haven", "haven't", "isn", "isn't",
+    "ma", "mightn", "mightn't", "mustn", "mustn't", "needn", "needn't", "shan", "shan't", "shouldn",
+    "shouldn't", "wasn", "wasn't", "weren", "weren't", "won", "won't", "wouldn", "wouldn't",
+]
 # -------------------------------------------------------------------------------------------------
 
 
@@ -44,9 +62,13 @@ def keras_words(text: Column | str, filters: str = KERAS_FILTERS, lower: bool =
     return F.filter(F.split(t, " "), lambda w: w != F.lit(""))
 
 
-def explode_tokens(df: DataFrame, key: str, tokens_col: str) -> DataFrame:
-    """ARR-4: one row per ``(key, pos, token)``."""
-    return df.select(key, F.posexplode(tokens_col).alias("pos", "token"))
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def explode_tokens(df: DataFrame, key, tokens_col: str) -> DataFrame:
+    """ARR-4: one row per ``(key..., pos, token)``; ``key`` is a column name or a list of names."""
+    return df.select(*_keys(key), F.posexplode(tokens_col).alias("pos", "token"))
 
 
 def sorted_vocabulary(df: DataFrame, tokens_col: str, start_id: int = 1,
@@ -77,33 +99,37 @@ def top_vocabulary(df: DataFrame, tokens_col: str, n: int, start_id: int = 1) ->
     return num.select("token", "n", (F.col("id") + (start_id - 1)).alias("id"))
 
 
-def frequency_index(df: DataFrame, key: str, words_col: str, num_words: int | None) -> DataFrame:
+def frequency_index(df: DataFrame, key, words_col: str, num_words: int | None) -> DataFrame:
     """TXT-6 fit: word index ranked by frequency, ties by first appearance (document ``key`` order,
     then position); keeps indices ``< num_words`` (index 0 is reserved)."""
-    ex = df.select(key, F.posexplode(words_col).alias("pos", "token"))
-    stats = ex.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "pos")).alias("__first"))
-    stats = stats.select("token", "n", (-F.col("n")).alias("__neg"), F.col(f"__first.{key}").alias("__k"),
+    ks = _keys(key)
+    ex = explode_tokens(df, ks, words_col)
+    stats = ex.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*ks, "pos")).alias("__first"))
+    stats = stats.select("token", "n", (-F.col("n")).alias("__neg"),
+                         *[F.col(f"__first.{k}").alias(f"__k{i}") for i, k in enumerate(ks)],
                          F.col("__first.pos").alias("__p"))
+    order = ["__neg", *[f"__k{i}" for i in range(len(ks))], "__p"]
     if num_words is not None:
-        stats = stats.orderBy("__neg", "__k", "__p").limit(max(num_words - 1, 0))
-    num = with_global_row_number(stats, ["__neg", "__k", "__p"], "id")
+        stats = stats.orderBy(*order).limit(max(num_words - 1, 0))
+    num = with_global_row_number(stats, order, "id")
     return num.select("token", "n", "id")
 
 
-def to_ids(df: DataFrame, key: str, tokens_col: str, vocab: DataFrame, out: str = "ids",
+def to_ids(df: DataFrame, key, tokens_col: str, vocab: DataFrame, out: str = "ids",
            oov: int | None = 0) -> DataFrame:
     """TXT-5 / TXT-6 apply: tokens -> ids in order. ``oov=0`` maps unknown tokens to 0 (TXT-5);
     ``oov=None`` drops them (TXT-6). Documents without tokens get ``[]``."""
-    ex = explode_tokens(df, key, tokens_col)
+    ks = _keys(key)
+    ex = explode_tokens(df, ks, tokens_col)
     j = ex.join(vocab.select("token", "id"), "token", "left")
     if oov is None:
         j = j.where(F.col("id").isNotNull())
     else:
         j = j.withColumn("id", F.coalesce(F.col("id"), F.lit(oov)))
-    seqs = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("id").cast("int").alias("id"))))
+    seqs = j.groupBy(*ks).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("id").cast("int").alias("id"))))
                               .alias("__s"))
-    seqs = seqs.select(key, F.transform("__s", lambda s: s["id"]).alias(out))
-    return (df.join(seqs, key, "left")
+    seqs = seqs.select(*ks, F.transform("__s", lambda s: s["id"]).alias(out))
+    return (df.join(seqs, ks, "left")
             .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>"))))
 
 
@@ -125,10 +151,11 @@ def drop_position(arr: Column | str, i: int) -> Column:
     return F.concat(F.slice(a, 1, i), F.slice(a, i + 2, F.greatest(F.size(a) - i - 1, F.lit(0))))
 
 
-def bag_of_words(df: DataFrame, key: str, tokens_col: str) -> DataFrame:
-    """TXT-11: ``(key, token, count)`` -- the sparse document-term matrix."""
-    return (df.select(key, F.explode(tokens_col).alias("token"))
-            .groupBy(key, "token").agg(F.count(F.lit(1)).alias("count")))
+def bag_of_words(df: DataFrame, key, tokens_col: str) -> DataFrame:
+    """TXT-11: ``(key..., token, count)`` -- the sparse document-term matrix."""
+    ks = _keys(key)
+    return (df.select(*ks, F.explode(tokens_col).alias("token"))
+            .groupBy(*ks, "token").agg(F.count(F.lit(1)).alias("count")))
 
 
 def embedding_matrix(vocab: DataFrame, vectors: DataFrame, max_words: int, on: str = "token",
