@@ -1 +1,279 @@
-"""placeholder"""
+"""Evaluation, drift, per-feature scoring, lag-key leak search and blending queries.
+
+Surrogates (FIXTURES F4/F6): ``labels`` joined to ``documents`` with ``n_chars`` as the score and
+``toxic`` / ``quality`` as classes; ``orders`` vs the sum of their lines as target / prediction;
+the user x day matrix of ``events`` as the anonymous wide table.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from featmart.functions.rows import nonzero_row_mean, pack
+from featmart.functions.scalar import argmax_index, one_hot_vector, threshold
+from featmart.operators import evaluate as ev
+from featmart.operators import leak as lk
+from featmart.operators.split import kfold
+from featmart.plans.registry import query, r, rounded
+from featmart.plans.sessions import DAY_MATRIX_SQL, DAYS, day_matrix
+from featmart.sources import tables
+
+LEAK_COLS = [f"d{d}" for d in reversed(DAYS)]  # newest first
+N_LAGS = len(LEAK_COLS) - 2
+
+
+def _scored(spark, base):
+    t = tables(spark, base)
+    return t.labels.join(t.documents.select("doc_id", "n_chars"), "doc_id")
+
+
+_SCORED_SQL = "SELECT l.doc_id, quality, toxic, n_chars FROM labels l JOIN documents d ON l.doc_id = d.doc_id"
+
+
+@query("evl01_accuracy", f"""
+WITH s AS ({_SCORED_SQL})
+SELECT round(avg(CASE WHEN quality = CAST(n_chars > 2000 AS INTEGER) THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM s
+""", ("EVL-1", "SCL-9"))
+def evl01_accuracy(spark, base):
+    s = _scored(spark, base).withColumn("pred", threshold("n_chars", 2000))
+    return rounded(ev.accuracy(s, "quality", "pred"))
+
+
+@query("evl02_confusion", f"""
+WITH s AS ({_SCORED_SQL})
+SELECT quality AS actual, CAST(n_chars > 2000 AS INTEGER) AS predicted, count(*) AS count FROM s GROUP BY 1, 2
+""", ("EVL-2",))
+def evl02_confusion(spark, base):
+    s = _scored(spark, base).withColumn("pred", threshold("n_chars", 2000))
+    return ev.confusion(s, "quality", "pred")
+
+
+@query("evl03_roc_points", f"""
+WITH s AS ({_SCORED_SQL}),
+c AS (SELECT CAST(n_chars AS DOUBLE) AS score, count(*) FILTER (WHERE toxic = 1) AS pos,
+             count(*) FILTER (WHERE toxic <> 1) AS neg FROM s GROUP BY 1),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM c)
+SELECT score, round(sum(pos) OVER w / P, 6) AS tpr, round(sum(neg) OVER w / N, 6) AS fpr
+FROM c, t WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+""", ("EVL-3",))
+def evl03_roc_points(spark, base):
+    return rounded(ev.roc_points(_scored(spark, base), "toxic", "n_chars"))
+
+
+_AUC_SQL = """
+c AS (SELECT {grp} CAST({score} AS DOUBLE) AS score, count(*) FILTER (WHERE {label} = 1) AS pos,
+             count(*) FILTER (WHERE {label} <> 1) AS neg FROM {src} GROUP BY {grp} 2 {grp_n}),
+w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY {part} ORDER BY score
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c)"""
+
+
+@query("evl04_roc_auc", f"""
+WITH s AS ({_SCORED_SQL}),
+ct AS (SELECT CAST(n_chars AS DOUBLE) AS score, count(*) FILTER (WHERE toxic = 1) AS pos, count(*) FILTER (WHERE toxic <> 1) AS neg
+       FROM s GROUP BY 1),
+wt AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM ct),
+cq AS (SELECT CAST(n_chars AS DOUBLE) AS score, count(*) FILTER (WHERE quality = 1) AS pos, count(*) FILTER (WHERE quality <> 1) AS neg
+       FROM s GROUP BY 1),
+wq AS (SELECT *, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM cq)
+SELECT 'toxic' AS label, round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) AS auc FROM wt
+UNION ALL
+SELECT 'quality', round(sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)), 6) FROM wq
+""", ("EVL-4",))
+def evl04_roc_auc(spark, base):
+    s = _scored(spark, base)
+    a = ev.auc(s, "toxic", "n_chars").select(F.lit("toxic").alias("label"), "auc")
+    b = ev.auc(s, "quality", "n_chars").select(F.lit("quality").alias("label"), "auc")
+    return rounded(a.unionByName(b))
+
+
+def _order_pred(spark, base):
+    t = tables(spark, base)
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))).alias("pred"))
+    return t.orders.select("o_orderkey", F.col("o_totalprice").alias("y")).join(lines, "o_orderkey")
+
+
+_ORDER_PRED_SQL = """SELECT o_orderkey, o_totalprice AS y, pred FROM orders JOIN (
+  SELECT l_orderkey, sum(l_extendedprice * (1 - l_discount) * (1 + l_tax)) AS pred FROM lineitem GROUP BY l_orderkey
+) ON o_orderkey = l_orderkey"""
+
+
+@query("evl05_rmse", f"""
+WITH p AS ({_ORDER_PRED_SQL})
+SELECT round(sqrt(avg(pow(y - pred, 2))), 4) AS rmse, round(sqrt(avg(pow(ln(1 + y) - ln(1 + pred), 2))), 6) AS rmse_log FROM p
+""", ("EVL-5", "SCL-1"))
+def evl05_rmse(spark, base):
+    p = _order_pred(spark, base)
+    a = ev.rmse(p, "y", "pred").first()[0]  # two one-row aggregates over the same plan
+    return ev.rmse(p, "y", "pred", log_space=True).select(F.round(F.lit(a), 4).alias("rmse"),
+                                                          r("rmse").alias("rmse_log"))
+
+
+@query("evl06_r2", f"""
+WITH p AS ({_ORDER_PRED_SQL}), m AS (SELECT avg(y) AS m FROM p)
+SELECT round(1 - sum(pow(y - pred, 2)) / sum(pow(y - m, 2)), 6) AS r2 FROM p, m
+""", ("EVL-6",))
+def evl06_r2(spark, base):
+    return rounded(ev.r2(_order_pred(spark, base), "y", "pred"))
+
+
+@query("evl10_fold_report", f"""
+WITH p AS ({_ORDER_PRED_SQL}),
+f AS (SELECT CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|5'), 1, 8))::BIGINT % 5 AS INTEGER) AS fold,
+             sqrt(avg(pow(y - pred, 2))) AS v FROM p GROUP BY 1)
+SELECT CAST(fold AS VARCHAR) AS fold, 'rmse' AS metric, round(v, 4) AS value FROM f
+UNION ALL SELECT 'all', 'rmse_mean', round(avg(v), 4) FROM f
+UNION ALL SELECT 'all', 'rmse_std', round(stddev_pop(v), 4) FROM f
+""", ("EVL-10", "SPL-4"))
+def evl10_fold_report(spark, base):
+    p = _order_pred(spark, base).withColumn("fold", kfold("o_orderkey", 5, 5))
+    return ev.fold_report(p, "fold", "y", "pred").withColumn("value", r("value", 4))
+
+
+@query("evl07_micro_f1", """
+WITH e AS (SELECT vec_id, label, CAST(list_position(embedding[1:3], list_max(embedding[1:3])) - 1 AS INTEGER) AS pred
+           FROM embeddings)
+SELECT round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS micro_f1,
+  round(avg(CASE WHEN list_transform(range(3), lambda i: CAST(i = label AS INTEGER))
+                   = list_transform(range(3), lambda i: CAST(i = pred AS INTEGER)) THEN 1.0 ELSE 0.0 END), 6) AS onehot_accuracy
+FROM e
+""", ("EVL-7", "ENC-6", "SCL-10"))
+def evl07_micro_f1(spark, base):
+    e = tables(spark, base).embeddings
+    k = 3
+    p = e.select("label", argmax_index(F.slice("embedding", 1, k)).alias("pred"))
+    p = p.select("label", "pred", one_hot_vector("label", k).alias("y1"), one_hot_vector("pred", k).alias("p1"))
+    return rounded(p.agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("micro_f1"),
+                         F.avg((F.col("y1") == F.col("p1")).cast("double")).alias("onehot_accuracy")))
+
+
+_DRIFT_FEATURES = ["o_totalprice", "o_custkey", "o_orderkey"]
+
+
+@query("evl08_drift_report", """
+WITH u AS (SELECT o_totalprice, o_custkey, o_orderkey,
+                  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END AS origin FROM orders),
+l AS (SELECT 'o_totalprice' AS feature, CAST(o_totalprice AS DOUBLE) AS value, origin FROM u
+      UNION ALL SELECT 'o_custkey', CAST(o_custkey AS DOUBLE), origin FROM u
+      UNION ALL SELECT 'o_orderkey', CAST(o_orderkey AS DOUBLE), origin FROM u),
+c AS (SELECT feature, value, count(*) FILTER (WHERE origin = 1) AS pos, count(*) FILTER (WHERE origin <> 1) AS neg
+      FROM l GROUP BY 1, 2),
+w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY value
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
+a AS (SELECT feature, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM w GROUP BY feature)
+SELECT feature, round(greatest(auc, 1 - auc), 6) AS drift_score, greatest(auc, 1 - auc) > 0.8 AS drifted
+FROM a ORDER BY drift_score DESC, feature LIMIT 30
+""", ("EVL-8", "FLT-6", "SRT-2", "SRT-3", "PRJ-7", "SET-2"))
+def evl08_drift_report(spark, base):
+    o = tables(spark, base).orders
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    rep = ev.drift_report(o.where(F.col("o_orderdate") < cut), o.where(F.col("o_orderdate") >= cut),
+                          _DRIFT_FEATURES, 0.8, top=30)
+    return rounded(rep)
+
+
+_SF_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+
+
+@query("evl09_single_feature_report", f"""
+WITH b AS (SELECT l_extendedprice AS y, l_quantity, l_discount, l_tax,
+                  CAST(('0x' || substr(md5({_LINE_ID} || '|4'), 1, 8))::BIGINT % 4 AS INTEGER) AS fold FROM lineitem),
+l AS (SELECT 'l_quantity' AS feature, y, fold, l_quantity AS x FROM b UNION ALL SELECT 'l_discount', y, fold, l_discount FROM b
+      UNION ALL SELECT 'l_tax', y, fold, l_tax FROM b),
+tr AS (SELECT l1.feature, f.fold, regr_slope(l1.y, l1.x) AS b, regr_intercept(l1.y, l1.x) AS a
+       FROM l l1, (SELECT DISTINCT fold FROM b) f WHERE l1.fold <> f.fold GROUP BY l1.feature, f.fold),
+e AS (SELECT l.feature, pow(l.y - (coalesce(tr.a, avg(l.y) OVER ()) + coalesce(tr.b, 0) * l.x), 2) AS se
+      FROM l JOIN tr ON l.feature = tr.feature AND l.fold = tr.fold),
+s AS (SELECT feature, sqrt(avg(se)) AS cv_rmse FROM e GROUP BY feature),
+k AS (SELECT feature, count(*) FILTER (WHERE x = 0) AS n_zero,
+             count(DISTINCT x) + max(CASE WHEN x IS NULL THEN 1 ELSE 0 END) AS n_distinct FROM l GROUP BY feature)
+SELECT s.feature, round(cv_rmse, 3) AS cv_rmse, n_zero, n_distinct FROM s JOIN k ON s.feature = k.feature
+""", ("EVL-9", "AGG-17", "AGG-18", "SPL-4"))
+def evl09_single_feature_report(spark, base):
+    li = tables(spark, base).lineitem
+    b = li.select(F.col("l_extendedprice").alias("y"), *_SF_FEATURES,
+                  kfold(F.expr(_LINE_ID), 4, 4).alias("fold"))
+    rep = ev.single_feature_report(b, "y", "fold", _SF_FEATURES)
+    return rep.select("feature", r("cv_rmse", 3).alias("cv_rmse"), "n_zero", F.col("n_distinct").cast("bigint"))
+
+
+# ---------------------------------------------------------------- lag-key leak (LEK-*)
+_ARR_SQL = "[" + ", ".join(LEAK_COLS) + "]"
+_LEAK_BASE_SQL = f"""m AS ({DAY_MATRIX_SQL}),
+a AS (SELECT user_id, target, {_ARR_SQL} AS arr FROM m),
+lags AS (SELECT unnest(range(0, {N_LAGS})) AS "lag"),
+lk AS (SELECT user_id, "lag", arr[1:{len(LEAK_COLS)} - "lag" - 2] AS key FROM a, lags),
+rk AS (SELECT "lag", arr["lag" + 3:{len(LEAK_COLS)}] AS key, arr["lag" + 1] AS pred FROM a, lags),
+ru AS (SELECT "lag", key, min(pred) AS pred FROM rk GROUP BY "lag", key HAVING count(*) = 1),
+mt AS (SELECT user_id, "lag", pred FROM lk JOIN ru USING ("lag", key))"""
+
+
+@query("lek01_lag_matches", f"WITH {_LEAK_BASE_SQL} SELECT user_id, CAST(\"lag\" AS INTEGER) AS lag, pred FROM mt",
+       ("LEK-1", "JN-7", "WIN-8", "ARR-3"))
+def lek01_lag_matches(spark, base):
+    return rounded(lk.lag_matches(day_matrix(spark, base), "user_id", LEAK_COLS))
+
+
+_LEAK_ROWS_SQL = f"""{_LEAK_BASE_SQL},
+f AS (SELECT user_id, min("lag") AS first_lag, arg_min(pred, "lag") AS leak FROM mt WHERE pred <> 0 GROUP BY user_id),
+nz AS (SELECT user_id, exp(avg(ln(1 + x)) FILTER (WHERE x <> 0)) - 1 AS nzm FROM (SELECT user_id, unnest(arr) AS x FROM a) GROUP BY user_id),
+rw AS (SELECT a.user_id, target, coalesce(first_lag, {N_LAGS}) AS f, leak, nzm FROM a LEFT JOIN f USING (user_id) JOIN nz USING (user_id))"""
+
+
+@query("lek02_leak_lag_stats", f"""WITH {_LEAK_ROWS_SQL}
+SELECT CAST(l."lag" AS INTEGER) AS lag, count(*) FILTER (WHERE f <= l."lag" AND leak > 0) AS leaky_count,
+  round((count(*) FILTER (WHERE f <= l."lag" AND leak = target) + count(*) FILTER (WHERE f > l."lag" AND target = 0))
+        / nullif(count(*) FILTER (WHERE f <= l."lag" AND leak > 0), 0), 6) AS leaky_correct,
+  round(sqrt(avg(pow(ln(1 + target) - CASE WHEN f < l."lag" THEN coalesce(ln(1 + leak), 14.49)
+                                          ELSE coalesce(ln(1 + nzm), 14.49) END, 2))), 6) AS score
+FROM rw, lags l GROUP BY l."lag"
+""", ("LEK-2", "Q9", "ARR-2", "EVL-5", "FLT-7"))
+def lek02_leak_lag_stats(spark, base):
+    return rounded(lk.leak_lag_stats(day_matrix(spark, base), "user_id", "target", LEAK_COLS))
+
+
+@query("lek03_best_lag_rewrite", f"""WITH {_LEAK_ROWS_SQL},
+st AS (SELECT l."lag" AS lg, sqrt(avg(pow(ln(1 + target) - CASE WHEN f < l."lag" THEN coalesce(ln(1 + leak), 14.49)
+                                          ELSE coalesce(ln(1 + nzm), 14.49) END, 2))) AS score FROM rw, lags l GROUP BY l."lag"),
+b AS (SELECT arg_min(lg, (score, lg)) AS best FROM st)
+SELECT user_id, CAST(best AS INTEGER) AS best_lag, round(CASE WHEN f < best THEN nullif(leak, 0) END, 6) AS compiled_leak,
+  round(coalesce(CASE WHEN f < best THEN nullif(leak, 0) END, nzm), 6) AS final_estimate
+FROM rw, b
+""", ("LEK-3", "LEK-4", "SRT-6", "SNK-3"))
+def lek03_best_lag_rewrite(spark, base):
+    m = day_matrix(spark, base)
+    stats = lk.leak_lag_stats(m, "user_id", "target", LEAK_COLS)
+    best = lk.best_lag(stats).first()["best_lag"]  # one-row parameter
+    comp = lk.rewrite_leak(m, "user_id", LEAK_COLS, best)
+    nzm = m.select("user_id", nonzero_row_mean(pack(LEAK_COLS)).alias("nzm"))
+    out = comp.join(nzm, "user_id").select("user_id", F.lit(best).cast("int").alias("best_lag"), "compiled_leak",
+                                           lk.override("nzm", "compiled_leak").alias("final_estimate"))
+    return rounded(out)
+
+
+@query("mdl07_novelty", f"""
+WITH s AS ({_SCORED_SQL}),
+n AS (SELECT avg(n_chars) AS m1, stddev_samp(n_chars) AS s1, avg(quality) AS m2, stddev_samp(quality) AS s2 FROM s WHERE toxic = 0),
+d AS (SELECT toxic, pow((n_chars - m1) / s1, 2) + pow((quality - m2) / s2, 2) AS dist FROM s, n),
+t AS (SELECT quantile_cont(dist, 0.9) AS thr FROM d WHERE toxic = 0)
+SELECT toxic, count(*) AS n, count(*) FILTER (WHERE dist > thr) AS n_flagged FROM d, t GROUP BY toxic
+""", ("MDL-7", "SPL-8", "FLT-7"))
+def mdl07_novelty(spark, base):
+    s = _scored(spark, base)
+    scored = ev.novelty_score(s, s.where(F.col("toxic") == 0), ["n_chars", "quality"], 0.9)
+    return scored.groupBy("toxic").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("flagged") == 1).alias("n_flagged"))
+
+
+@query("mdl12_blend", """
+WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_discount AS s1 FROM lineitem),
+b AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_tax AS s2 FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(0.2 * s1 + 0.8 * s2, 6) AS blended
+FROM a JOIN b USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)
+""", ("MDL-12", "SCL-6", "JN-10", "SNK-2"))
+def mdl12_blend(spark, base):
+    li = tables(spark, base).lineitem
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    a = li.select(*key, F.col("l_discount").alias("s1"))
+    b = li.select(*key, F.col("l_tax").alias("s2"))
+    return rounded(a.join(b, key).select(*key, ev.blend(["s1", "s2"], [0.2, 0.8]).alias("blended")))
