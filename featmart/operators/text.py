@@ -8,7 +8,7 @@ aggregation / AQE skew-join splitting.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.operators.relational import with_global_row_number
@@ -95,8 +95,9 @@ def top_vocabulary(df: DataFrame, tokens_col: str, n: int, start_id: int = 1) ->
     ``orderBy().limit(n)`` is the top-k operator; each partition keeps its own top n.
     """
     top = token_counts(df, tokens_col).orderBy(F.desc("n"), F.asc("token")).limit(n)
-    num = with_global_row_number(top.withColumn("__neg", -F.col("n")), ["__neg", "token"], "id")
-    return num.select("token", "n", (F.col("id") + (start_id - 1)).alias("id"))
+    # at most n rows (the limit is the operator), so numbering them in one window is bounded work
+    w = Window.orderBy(F.desc("n"), F.asc("token"))
+    return top.select("token", "n", (F.row_number().over(w) + (start_id - 1)).alias("id"))
 
 
 def frequency_index(df: DataFrame, key, words_col: str, num_words: int | None) -> DataFrame:
@@ -110,7 +111,9 @@ def frequency_index(df: DataFrame, key, words_col: str, num_words: int | None) -
                          F.col("__first.pos").alias("__p"))
     order = ["__neg", *[f"__k{i}" for i in range(len(ks))], "__p"]
     if num_words is not None:
+        # bounded by num_words rows: number them with one window
         stats = stats.orderBy(*order).limit(max(num_words - 1, 0))
+        return stats.select("token", "n", F.row_number().over(Window.orderBy(*order)).alias("id"))
     num = with_global_row_number(stats, order, "id")
     return num.select("token", "n", "id")
 
@@ -118,7 +121,10 @@ def frequency_index(df: DataFrame, key, words_col: str, num_words: int | None) -
 def to_ids(df: DataFrame, key, tokens_col: str, vocab: DataFrame, out: str = "ids",
            oov: int | None = 0) -> DataFrame:
     """TXT-5 / TXT-6 apply: tokens -> ids in order. ``oov=0`` maps unknown tokens to 0 (TXT-5);
-    ``oov=None`` drops them (TXT-6). Documents without tokens get ``[]``."""
+    ``oov=None`` drops them (TXT-6). Documents without tokens get ``[]``. Returns ``(key..., out)``.
+
+    Hash-partition ``df`` by the key beforehand (``spread_by_key``): with a broadcast vocabulary the
+    exploded tokens then stay in place and the per-document regroup needs no further exchange."""
     ks = _keys(key)
     ex = explode_tokens(df, ks, tokens_col)
     j = ex.join(vocab.select("token", "id"), "token", "left")
@@ -129,10 +135,18 @@ def to_ids(df: DataFrame, key, tokens_col: str, vocab: DataFrame, out: str = "id
     seqs = j.groupBy(*ks).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("id").cast("int").alias("id"))))
                               .alias("__s"))
     seqs = seqs.select(*ks, F.transform("__s", lambda s: s["id"]).alias(out))
-    return (df.join(seqs, ks, "left")
+    return (df.select(*ks).join(seqs, ks, "left")
             .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>"))))
 
 
+def spread_by_key(df: DataFrame, key, num_partitions: int | None = None) -> DataFrame:
+    """Hash-partition a text table by its document key before CPU-heavy per-row work (regex
+    tokenising). Few large input files / row groups otherwise leave that work in a few tasks; the
+    partitioning is also the one the per-document regroup needs."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *_keys(key))
+
+
 def pad_post(arr: Column | str, n: int, value: int = 0) -> Column:
     """TXT-7: keep the first ``n`` ids, pad on the right."""
     a = F.col(arr) if isinstance(arr, str) else arr

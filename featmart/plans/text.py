@@ -18,7 +18,7 @@ MSG_KEY = ["conv_id", "turn"]
 
 
 def _conv_tokens(spark, base):
-    c = tables(spark, base).conversations
+    c = tx.spread_by_key(tables(spark, base).conversations, MSG_KEY)
     return c.select(*MSG_KEY, "role", tx.tokens("text").alias("toks"))
 
 
@@ -31,7 +31,7 @@ SELECT doc_id, len(regexp_extract_all(text, '{PAT}')) AS n_tokens,
 FROM documents
 """, ("TXT-1", "TXT-12"))
 def txt01_token_counts(spark, base):
-    d = tables(spark, base).documents.select("doc_id", tx.tokens("text").alias("toks"))
+    d = tx.spread_by_key(tables(spark, base).documents, "doc_id").select("doc_id", tx.tokens("text").alias("toks"))
     return d.select("doc_id", F.size("toks").cast("bigint").alias("n_tokens"),
                     F.size(F.filter("toks", lambda t: t.rlike(r"^[\p{L}\p{N}_]+$"))).cast("bigint").alias("n_words"))
 
@@ -77,7 +77,7 @@ def txt05_token_ids_post(spark, base):
 
 
 def _doc_tokens(spark, base):
-    d = tables(spark, base).documents
+    d = tx.spread_by_key(tables(spark, base).documents, "doc_id")
     return d.select("doc_id", tx.tokens("text", lower=True).alias("toks"))
 
 
@@ -119,7 +119,7 @@ p AS (SELECT w.conv_id, w.turn, coalesce(seq, []) AS seq FROM w LEFT JOIN s ON w
 SELECT conv_id, turn, len(seq) AS seq_len, (list_transform(range(30), lambda x: 0) || seq)[-30:] AS padded FROM p
 """, ("TXT-6", "TXT-8", "SRT-7", "SET-1"))
 def txt06_keras_tokenizer(spark, base):
-    c = tables(spark, base).conversations.select(*MSG_KEY, tx.keras_words("text").alias("words"))
+    c = tx.spread_by_key(tables(spark, base).conversations, MSG_KEY).select(*MSG_KEY, tx.keras_words("text").alias("words"))
     idx = tx.frequency_index(c, MSG_KEY, "words", 10000)
     seq = tx.to_ids(c, MSG_KEY, "words", idx, out="seq", oov=None)
     return seq.select(*MSG_KEY, F.size("seq").cast("bigint").alias("seq_len"), tx.pad_pre("seq", 30).alias("padded"))
