@@ -24,7 +24,7 @@ SELECT c_mktsegment, count(*) AS n, count(DISTINCT CAST(c_custkey AS VARCHAR)) A
   count(*) FILTER (WHERE c_nationkey = 0) AS n_null_nation, round(sum(c_acctbal), 6) AS acctbal_sum,
   max(length(CAST(c_custkey AS VARCHAR))) AS max_id_len
 FROM customer GROUP BY c_mktsegment
-""", ("SRC-1", "SRC-2", "SRC-3", "SRC-6", "SRC-7", "SRC-8", "SNK-1", "SNK-2"))
+""", ("SRC-1", "SRC-2", "SRC-3", "SRC-6", "SRC-7", "SRC-8", "SRC-10", "SNK-1", "SNK-2"))
 def src01_csv_roundtrip(spark, base):
     c = tables(spark, base).customer
     path = _scratch(spark, "customer_csv")

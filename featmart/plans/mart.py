@@ -341,3 +341,43 @@ def spl03_range_split(spark, base):
     n = o.count()
     num = rel.with_global_row_number(o, ["o_orderkey"], "__rn")
     return num.select("o_orderkey", F.when(F.col("__rn") <= int(0.8 * n), "train").otherwise("test").alias("part"))
+
+
+@query("scl_misc_transforms", """
+SELECT l_returnflag, round(sum(ln(l_extendedprice)), 6) AS sum_log_price, round(sum(exp(l_discount)), 6) AS sum_exp_discount,
+  sum(CAST(floor(l_quantity / 7) AS BIGINT)) AS sum_quantity_weeks, sum(CAST(l_linenumber <> l_suppkey AS INTEGER)) AS n_line_ne_supp,
+  round(sum(l_tax / 255.0), 6) AS sum_tax_scaled, count(*) AS n
+FROM lineitem GROUP BY l_returnflag
+""", ("SCL-2", "SCL-4", "SCL-8", "SCL-11", "PRJ-2", "PRJ-10"))
+def scl_misc_transforms(spark, base):
+    li = tables(spark, base).lineitem
+    li = li.select(*li.columns[2:])  # PRJ-2: drop the two leading columns by position
+    return rounded(li.groupBy("l_returnflag").agg(
+        F.sum(F.log("l_extendedprice")).alias("sum_log_price"), F.sum(F.exp("l_discount")).alias("sum_exp_discount"),
+        F.sum(F.floor(F.col("l_quantity") / 7).cast("bigint")).alias("sum_quantity_weeks"),
+        F.sum((F.col("l_linenumber") != F.col("l_suppkey")).cast("int")).alias("n_line_ne_supp"),
+        F.sum(F.col("l_tax") / 255.0).alias("sum_tax_scaled"), F.count(F.lit(1)).alias("n")))
+
+
+@query("srt05_preview", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 5
+""", ("SRT-5", "SRC-5"))
+def srt05_preview(spark, base):
+    """``head()`` / ``nrows=n``: the first rows in key order (the limit is the operator)."""
+    return tables(spark, base).orders.select("o_orderkey", "o_custkey", "o_orderstatus").orderBy("o_orderkey").limit(5)
+
+
+@query("src12_label_dictionary", """
+WITH p AS (SELECT page_id, string_split(regexp_replace(url, '[?#].*$', ''), '/') AS parts FROM pages),
+l AS (SELECT page_id, parts[len(parts) - 1] AS label FROM p),
+d AS (SELECT label, row_number() OVER (ORDER BY label) - 1 AS label_id FROM (SELECT DISTINCT label FROM l))
+SELECT page_id, l.label, label_id FROM l JOIN d ON l.label = d.label
+""", ("SRC-11", "SRC-12", "ENC-1"))
+def src12_label_dictionary(spark, base):
+    """Files under ``<root>/<label>/<file>``: label = parent folder of the path (here the page URLs
+    stand in for file paths), then a sorted label dictionary joined back."""
+    from featmart.operators import encode as enc
+    from featmart.sources.files import label_from_path
+    p = tables(spark, base).pages.select("page_id", label_from_path(F.regexp_replace("url", "[?#].*$", "")).alias("label"))
+    d = enc.label_dictionary(p, "label", null_text=None).withColumnRenamed("value", "label").withColumnRenamed("code", "label_id")
+    return p.join(d, "label").select("page_id", "label", "label_id")

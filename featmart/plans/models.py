@@ -122,3 +122,16 @@ def dec01_pca_whitened(spark, base):
     e = tables(spark, base).embeddings.select("vec_id", array_to_vector("embedding").alias("v"))
     out = md.whitened_pca(e, "v", 8)
     return rounded(out.select("vec_id", vector_to_array("pca").alias("pca")))
+
+
+@query("mdl13_importance_mean", None, ("AGG-24", "MDL-13", "MDL-10"))
+def mdl13_importance_mean(spark, base):
+    """Feature importance of one tree model per fold, averaged per feature (``groupBy('feature').mean``)."""
+    df = md.assemble(_doc_features(spark, base), _DOC_FEATS, null_indicators=False)
+    df = df.withColumn("fold", kfold("doc_id", 3, 8))
+    rows = []
+    for f in range(3):
+        m = md.fit(df.where(F.col("fold") != f), "rf_classifier", label="quality", numTrees=5, maxDepth=3, seed=f)
+        rows += [(f, name, imp) for name, imp in md.feature_importance(m, _DOC_FEATS)]
+    imp = spark.createDataFrame(rows, "fold int, feature string, importance double")
+    return imp.groupBy("feature").agg(F.avg("importance").alias("importance_mean"), F.count(F.lit(1)).alias("n_folds"))
