@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workloads this package rebuilds have no stream source, watermark, window or state: sessions,
+marts and text preparation are batch jobs over whole tables. Nothing is implemented here on purpose
+(no invented operators). The batch operators are plain DataFrame transformations, so a caller that
+does receive data as a stream can apply them per micro-batch with ``writeStream.foreachBatch``.
+"""
