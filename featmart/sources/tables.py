@@ -25,6 +25,9 @@ class tables:
 
     def __init__(self, spark: SparkSession, base_dir: str):
         self._spark, self._dir = spark, base_dir
+        # D5: calendar features and epoch conversions of the timezone-less timestamps are UTC,
+        # whatever session the caller passes in
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
