@@ -5,10 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import quality
+from featmart.llm import decontaminate, quality
 from featmart.sources.tables import read_table
 
 
+def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    listed = F.array_join(F.array_sort("items"), ",")
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(listed, 256).alias("items_sha256"), "contaminated")
+
+
+OP1_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+q AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, least(len(w), 13) AS n,
+       unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) AS p
+      FROM b WHERE len(w) > 0),
+n AS (SELECT DISTINCT n FROM q),
+g AS (SELECT d.r, n.n, unnest(range(1, len(d.w) - n.n + 2)) AS i, d.w FROM d JOIN n ON len(d.w) >= n.n),
+m AS (SELECT g.r, g.i, g.n, q.item FROM
+        (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM g) g JOIN q ON g.p = q.p AND g.n = q.n),
+h AS (SELECT r, count(*) AS n_hit FROM (SELECT DISTINCT r, unnest(range(i, i + n)) AS x FROM m) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT r, item FROM m) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
+"""
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = quality.judge(docs, quality.fit(docs, labels))
@@ -16,9 +46,9 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op10_quality_rules,)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
 
 
 def queries() -> dict:
