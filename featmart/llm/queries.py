@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import decontaminate, quality
+from featmart.llm import decontaminate, neardup, quality
 from featmart.sources.tables import read_table
 
 
@@ -39,6 +39,11 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "class_id", "copy_id", F.col("first").alias("kept"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = quality.judge(docs, quality.fit(docs, labels))
@@ -46,7 +51,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op5_minhash_near_dedup, op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
 
