@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import decontaminate, neardup, quality
+from featmart.llm import bpe, decontaminate, neardup, quality
 from featmart.sources.tables import read_table
 
 
@@ -39,6 +39,19 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public vocabulary file; the same on every machine."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
+    both = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "class_id", "copy_id", F.col("first").alias("kept"))
@@ -51,7 +64,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op5_minhash_near_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op4_byte_bpe, op5_minhash_near_dedup, op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
 
