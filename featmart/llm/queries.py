@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, neardup, quality
+from featmart.llm import bpe, decontaminate, neardup, pii, quality
+from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
 
 
@@ -57,6 +58,16 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", "copy_id", F.col("first").alias("kept"))
 
 
+def _number(kind: str):
+    return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *(_number(k) for k in pii.BASE), F.sha2(listing(F.col("base")), 256).alias("base_sha256"),
+                      listing(F.col("spans")).alias("spans"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     out = quality.judge(docs, quality.fit(docs, labels))
@@ -64,7 +75,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op4_byte_bpe, op5_minhash_near_dedup, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op4_byte_bpe, op5_minhash_near_dedup, op9_personal_data,
+                                    op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
 
