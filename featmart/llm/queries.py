@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featmart.llm import bpe, decontaminate, neardup, pii, quality
+from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
 
@@ -40,12 +41,6 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
 
-def tokenizer_file(name: str) -> str:
-    """Place of a public vocabulary file; the same on every machine."""
-    import public_tokenizers
-    return public_tokenizers.path(name)
-
-
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
     both = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
