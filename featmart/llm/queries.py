@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, neardup, pii, quality, secret_scan
+from featmart.llm import bpe, decontaminate, language, neardup, pii, quality, secret_scan
 from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
@@ -41,6 +41,12 @@ FROM d LEFT JOIN h USING (r) LEFT JOIN t USING (r)
 """
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    out = language.predict(docs, language.fit(docs))
+    return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = secret_scan.secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", *(_number(k) for k in secret_scan.BASE),
@@ -76,7 +82,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op9_personal_data,
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op9_personal_data,
                                     op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
