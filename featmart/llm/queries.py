@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, language, neardup, pii, quality, secret_scan
+from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, secret_scan
 from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
@@ -65,6 +65,44 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", "copy_id", F.col("first").alias("kept"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lm.score(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("per_word", 6).alias("per_word"))
+
+
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT r, i, w[i] AS w3, CASE WHEN i > 1 THEN w[i - 1] END AS w2, CASE WHEN i > 2 THEN w[i - 2] END AS w1, len(w) AS own
+      FROM (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM d)),
+c1 AS (SELECT w3, count(*) AS n FROM t GROUP BY ALL),
+c2 AS (SELECT w2, w3, count(*) AS n FROM t WHERE w2 IS NOT NULL GROUP BY ALL),
+c3 AS (SELECT w1, w2, w3, count(*) AS n FROM t WHERE w1 IS NOT NULL GROUP BY ALL),
+o1 AS (SELECT r, w3, count(*) AS n FROM t GROUP BY ALL),
+o2 AS (SELECT r, w2, w3, count(*) AS n FROM t WHERE w2 IS NOT NULL GROUP BY ALL),
+o3 AS (SELECT r, w1, w2, w3, count(*) AS n FROM t WHERE w1 IS NOT NULL GROUP BY ALL),
+s AS (SELECT t.r, t.i, (SELECT count(*) FROM t) - t.own AS total,
+        c1.n - o1.n AS n1, coalesce(c2.n - o2.n, 0) AS n2, coalesce(c3.n - o3.n, 0) AS n3,
+        coalesce(p1.n - q1.n, 0) AS m1, coalesce(p2.n - q2.n, 0) AS m2
+      FROM t JOIN c1 ON t.w3 = c1.w3 JOIN o1 ON t.r = o1.r AND t.w3 = o1.w3
+      LEFT JOIN c2 ON t.w2 = c2.w2 AND t.w3 = c2.w3 LEFT JOIN o2 ON t.r = o2.r AND t.w2 = o2.w2 AND t.w3 = o2.w3
+      LEFT JOIN c3 ON t.w1 = c3.w1 AND t.w2 = c3.w2 AND t.w3 = c3.w3
+      LEFT JOIN o3 ON t.r = o3.r AND t.w1 = o3.w1 AND t.w2 = o3.w2 AND t.w3 = o3.w3
+      LEFT JOIN c1 p1 ON t.w2 = p1.w3 LEFT JOIN o1 q1 ON t.r = q1.r AND t.w2 = q1.w3
+      LEFT JOIN c2 p2 ON t.w1 = p2.w2 AND t.w2 = p2.w3 LEFT JOIN o2 q2 ON t.r = q2.r AND t.w1 = q2.w2 AND t.w2 = q2.w3),
+l AS (SELECT r, CASE
+        WHEN i > 2 AND n3 > 0 THEN log10(n3 / m2)
+        WHEN i > 1 AND n2 > 0 THEN (CASE WHEN i > 2 THEN log10(0.4) ELSE 0 END) + log10(n2 / m1)
+        ELSE (least(i, 3) - 1) * log10(0.4) + CASE WHEN n1 > 0 THEN log10(n1 / total) ELSE log10(0.4) - log10(greatest(total, 1)) END
+      END AS x FROM s),
+z AS (SELECT r, sum(x) AS x FROM l GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(x, 0), 4) AS log_score,
+       round(CASE WHEN len(w) > 0 THEN x / len(w) END, 6) AS per_word
+FROM d LEFT JOIN z USING (r)
+"""
+
+
 def _number(kind: str):
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
@@ -82,10 +120,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op9_personal_data,
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op7_lm_scoring, op9_personal_data,
                                     op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL}
+SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL, "op7_lm_scoring": OP7_SQL}
 
 
 def queries() -> dict:
