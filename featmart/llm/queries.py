@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, secret_scan
+from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, secret_scan, token_files
 from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
@@ -107,6 +107,11 @@ def _number(kind: str):
     return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = token_files.round_trip(read_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return out.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pii.personal_data(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", *(_number(k) for k in pii.BASE), F.sha2(listing(F.col("base")), 256).alias("base_sha256"),
@@ -120,7 +125,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op7_lm_scoring, op9_personal_data,
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op7_lm_scoring, op8_token_files, op9_personal_data,
                                     op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL, "op7_lm_scoring": OP7_SQL}
