@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featmart.llm.common import LOWER, NON_WORD, blocks, gram_hash, id_text, inside, prefix_hash, range_hash, stored
+from featmart.llm.packed import Items, answers, bits_for, squeeze, totals, unsqueeze
 
 ORDER = 3
 ALPHA = 0.4
 SEGMENT_BYTES = 4 << 20
 PARTITION_WORDS = 1 << 20
 
-_REPLY = pa.schema([("segment", pa.int64()), ("order", pa.int32()), ("bucket", pa.int64()), ("n", pa.int64()), ("totals", pa.binary())])
 _SCORE = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_score", pa.float64())])
 
 
@@ -47,11 +47,10 @@ def segments(docs: DataFrame, scored: bool, counted: bool, id_col: str, text_col
             starts, ends = b.words(NON_WORD)
             words = range_hash(prefix_hash(b.data, LOWER), starts, ends)
             vocab, token = np.unique(words, return_inverse=True)
-            tokens = token.astype("<u4").tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array([base + number]), pa.array([len(words)]), pa.array([b.rows.column(0).to_pylist()], pa.list_(pa.int64())),
                  pa.array([b.counts(starts)[0].astype("<i4").tobytes()]), pa.array([vocab.astype("<u8").tobytes()]),
-                 pa.array([pa.compress(tokens, codec="zstd", asbytes=True)])],
+                 pa.array([squeeze(token.astype("<u4"))])],
                 ["segment", "n_words", "doc_ids", "lengths", "vocabulary", "tokens"])
             number += 1
 
@@ -66,8 +65,7 @@ class _Segment:
         self.lengths = np.frombuffer(row["lengths"], "<i4").astype(np.int64)
         self.first = np.concatenate([[0], np.cumsum(self.lengths)])
         vocab = np.frombuffer(row["vocabulary"], "<u8")
-        token = pa.decompress(row["tokens"], decompressed_size=4 * row["n_words"], codec="zstd", asbytes=True)
-        self.words = vocab[np.frombuffer(token, "<u4")]
+        self.words = vocab[unsqueeze(row["tokens"], row["n_words"], "<u4")]
 
     def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash and first word's place of every n-gram inside a document."""
@@ -75,67 +73,22 @@ class _Segment:
         return gram_hash(self.words, n)[at], at
 
 
-def _pack(sorted_hash: np.ndarray, base: int) -> tuple[bytes, int]:
-    """Gaps between ascending hashes, in six bytes each where that is enough."""
-    gap = np.diff(sorted_hash, prepend=np.uint64(base)).astype("<u8")
-    width = 6 if gap.max(initial=0) < 1 << 48 else 8
-    return gap.view(np.uint8).reshape(-1, 8)[:, :width].tobytes(), width
+def _grams(order: int):
+    """Distinct n-grams of a segment by order, with counts if the segment is part of the corpus."""
 
+    def items(row: dict) -> Items:
+        seg = _Segment(row)
+        for n in range(1, order + 1):
+            uniq, count = np.unique(seg.grams(n)[0], return_counts=True)
+            yield n, uniq, count if row["counted"] else np.zeros_like(count)
 
-def _unpack(blob: bytes, width: int, base: int) -> np.ndarray:
-    gap = np.zeros((len(blob) // width, 8), dtype=np.uint8)
-    gap[:, :width] = np.frombuffer(blob, np.uint8).reshape(-1, width)
-    return np.cumsum(gap.view("<u8").ravel(), dtype=np.uint64) + np.uint64(base)
-
-
-def _requests(segs: DataFrame, order: int, bits: int) -> DataFrame:
-    """Packed distinct n-grams of each segment, by order and count partition (``bits`` bits of the hash)."""
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                seg = _Segment(row)
-                for n in range(1, order + 1):
-                    uniq, count = np.unique(seg.grams(n)[0], return_counts=True)
-                    if not row["counted"]:
-                        count = np.zeros_like(count)
-                    bucket = (uniq >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(uniq), np.int64)
-                    cut = np.append(0, np.flatnonzero(np.diff(bucket)) + 1) if len(uniq) else []
-                    out = []
-                    for a, z in zip(cut, np.append(cut[1:], len(uniq)) if len(uniq) else []):
-                        blob, width = _pack(uniq[a:z], int(bucket[a]) << (64 - bits))
-                        out.append((row["segment"], n, int(bucket[a]), width, row["scored"], blob,
-                                    pa.compress(count[a:z].astype("<u4").tobytes(), codec="zstd", asbytes=True)))
-                    yield pa.RecordBatch.from_pylist(
-                        [dict(zip(("segment", "order", "bucket", "width", "scored", "grams", "counts"), r)) for r in out],
-                        pa.schema([("segment", pa.int64()), ("order", pa.int32()), ("bucket", pa.int64()), ("width", pa.int32()),
-                                   ("scored", pa.bool_()), ("grams", pa.binary()), ("counts", pa.binary())]))
-
-    return segs.mapInArrow(run, "segment long, order int, bucket long, width int, scored boolean, grams binary, counts binary")
-
-
-def _totals(bits: int):
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        base = rows[0]["bucket"] << (64 - bits)
-        grams = [_unpack(r["grams"], r["width"], base) for r in rows]
-        counts = [np.frombuffer(pa.decompress(r["counts"], decompressed_size=4 * len(g), codec="zstd", asbytes=True), "<u4")
-                  for r, g in zip(rows, grams)]
-        uniq, place = np.unique(np.concatenate(grams), return_inverse=True)
-        total = np.bincount(place, weights=np.concatenate(counts), minlength=len(uniq)).astype("<i8")[place]
-        ends = np.cumsum([len(g) for g in grams])
-        out = [(r["segment"], r["order"], r["bucket"], len(g), pa.compress(total[e - len(g):e].tobytes(), codec="zstd", asbytes=True))
-               for r, g, e in zip(rows, grams, ends) if r["scored"]]
-        return pa.Table.from_pylist([dict(zip(_REPLY.names, r)) for r in out], _REPLY)
-    return run
+    return items
 
 
 def _scores(order: int, alpha: float, n_total: int, leave_out: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
-        replies: dict[int, list] = {}
-        for r in sorted(right.to_pylist(), key=lambda r: (r["order"], r["bucket"])):
-            replies.setdefault(r["order"], []).append((r["totals"], r["n"]))
+        replies = answers(right.to_pylist())
         for row in left.to_pylist():
             seg = _Segment(row)
             n = len(seg.words)
@@ -148,8 +101,7 @@ def _scores(order: int, alpha: float, n_total: int, leave_out: bool):
             for k in range(1, order + 1):
                 h, at = seg.grams(k)
                 uniq, place = np.unique(h, return_inverse=True)
-                blob = [pa.decompress(t, decompressed_size=8 * m, codec="zstd", asbytes=True) for t, m in replies.get(k, [])]
-                total = np.frombuffer(b"".join(blob), "<i8")[place] if len(h) else np.zeros(0, np.int64)
+                total = replies[k][place] if len(h) else np.zeros(0, np.int64)
                 if leave_out:
                     pair = doc[at] * np.int64(len(uniq) + 1) + place
                     _, same, count = np.unique(pair, return_inverse=True, return_counts=True)
@@ -183,9 +135,8 @@ def score(docs: DataFrame, corpus: DataFrame | None = None, order: int = ORDER,
         segs = segs.unionByName(other.withColumn("segment", -1 - F.col("segment")))
     segs = stored(segs, "segments")
     size = segs.agg(F.sum("n_words").alias("all"), F.sum(F.when(F.col("counted"), F.col("n_words"))).alias("corpus")).first()
-    bits = max(0, (size["all"] or 0) // PARTITION_WORDS).bit_length()
-    asked = _requests(segs, order, bits)
-    replies = asked.groupBy("order", "bucket").applyInArrow(_totals(bits), "segment long, order int, bucket long, n long, totals binary")
+    bits = bits_for(size["all"] or 0, PARTITION_WORDS)
+    replies = totals(segs.withColumn("wanted", F.col("scored")), _grams(order), bits)
     out = segs.where("scored").groupBy("segment").cogroup(replies.groupBy("segment")).applyInArrow(
         _scores(order, alpha, size["corpus"] or 0, corpus is None), "doc_id long, n_words long, log_score double")
     return out.withColumn("per_word", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")))

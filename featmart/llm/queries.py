@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, secret_scan, token_files
+from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, repeats, secret_scan, token_files
 from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
@@ -65,6 +65,13 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "class_id", "copy_id", F.col("first").alias("kept"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.repeated_bytes(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return out.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lm.score(read_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"), F.round("per_word", 6).alias("per_word"))
@@ -125,7 +132,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "base_failed", "kept", "llr")
 
 
-QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op7_lm_scoring, op8_token_files, op9_personal_data,
+QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op6_suffix_dedup, op7_lm_scoring, op8_token_files, op9_personal_data,
                                     op10_quality_rules)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL, "op7_lm_scoring": OP7_SQL}
