@@ -6,7 +6,7 @@ it, and what stands beside it. A vote is 1, -1 or 0 (abstains). From the number
 each combination of votes, expectation-maximisation estimates how reliable every labeler is and how
 probable every combination makes personal data; these probabilities train a logistic classifier over
 votes, kind and shape, which judges every candidate. A base match that passes its base check is
-always reported; the classifier adds spans that overlap none of these.
+always reported, one that fails it never; the classifier adds looser candidates that overlap none of these.
 
 All work on texts uses Spark's own functions. The driver sees one count for each combination of
 votes, kind and shape, at most ``len(KINDS) * 3**5 * 4`` rows however large the table is.
@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featmart.llm.spans import apart, find, listing, luhn, replaced, tagged
+from featmart.llm.spans import apart, find, listing, luhn, packed_rows, replaced, tagged, unpacked
 
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "id", "iban")
@@ -127,7 +127,7 @@ def candidates(docs: DataFrame, text: str) -> DataFrame:
             s["start"].alias("start"), F.lit(KINDS.index(kind)).alias("place"), s["end"].alias("end"),
             F.lit(kind).alias("kind"), _votes(kind, s).alias("votes"),
             (F.when(F.length(s["value"]) > 18, 2).otherwise(0) + F.when(s["value"].rlike(r"[ .-]"), 1).otherwise(0)).alias("shape"),
-            F.lit(base).alias("base") if not base else _valid(kind, s["value"]).alias("base")))
+            F.lit(base).alias("settled")))
 
     every = F.concat(*(judged(k, F.col(f"__b_{k}"), True) for k in BASE), *(judged(k, F.col(f"__l_{k}"), False) for k in LOOSE))
     base = F.concat(*(tagged(k, i, F.col(f"__v_{k}")) for i, k in enumerate(BASE)))
@@ -200,28 +200,33 @@ def probability(weights: list[float], c: Column) -> Column:
 def personal_data(docs: DataFrame, weights: list[float] | None = None, text_col: str = "text",
                   least: float = 0.5) -> DataFrame:
     """``docs`` with ``base`` (valid base spans) and ``spans`` (these and the added ones), both arrays of
-    ``struct(start, place, end, kind)`` by kind and then start. Fits the classifier if not given."""
+    ``struct(start, place, end, kind)`` by kind and then start (columns of these names are replaced).
+    Fits the classifier if not given."""
     weights = fit(docs, text_col) if weights is None else weights
-    found = candidates(docs.withColumn("__text", F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))), "__text")
+    rows, names = packed_rows(docs, text_col, ("base", "spans"))
+    return _judged(rows, weights, least).select(*unpacked(names), F.col("__base").alias("base"), F.col("__spans").alias("spans"))
+
+
+def _judged(rows: DataFrame, weights: list[float], least: float) -> DataFrame:
+    found = candidates(rows, "__text")
     if weights:
-        extra = F.filter("__every", lambda c: ~c["base"] & (probability(weights, c) >= least))
+        extra = F.filter("__every", lambda c: ~c["settled"] & (probability(weights, c) >= least))
         extra = F.transform(extra, lambda c: F.struct(c["start"], c["place"], c["end"], c["kind"]))
     else:
         extra = F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")
     found = found.withColumn("__extra", apart(extra, F.col("__base")))
     by_kind = F.transform(F.array_sort(F.transform(F.concat("__base", "__extra"), lambda s: F.struct(
         s["place"], s["start"], s["end"], s["kind"]))), lambda s: F.struct(s["start"], s["place"], s["end"], s["kind"]))
-    return found.withColumns({"base": F.col("__base"), "spans": by_kind}).drop("__text", "__base", "__every", "__extra")
+    return found.withColumn("__spans", by_kind)
 
 
-def redacted(docs: DataFrame, weights: list[float] | None = None, text_col: str = "text") -> DataFrame:
-    """``docs`` with every span in ``text_col`` replaced by its kind in brackets."""
-    names = docs.columns
-    out = personal_data(docs.withColumn("__whole", F.col(f"`{text_col}`")), weights, "__whole")
-    by_start = F.array_sort(out["spans"])
-    out = out.withColumn("__sorted", by_start)
-    new = F.when(F.col("__whole").isNotNull(), replaced(F.col("__whole"), F.col("__sorted")))
-    return out.select(*(new.alias(c) if c == text_col else F.col(f"`{c}`") for c in names))
+def redacted(docs: DataFrame, weights: list[float] | None = None, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """``docs`` with every span in ``text_col`` replaced by its kind in brackets; a null text stays null."""
+    weights = fit(docs, text_col) if weights is None else weights
+    rows, names = packed_rows(docs, text_col, ())
+    found = _judged(rows, weights, least).withColumn("__by_start", F.array_sort("__spans"))
+    new = F.when(F.col("__row").getField(text_col).isNotNull(), replaced(F.col("__text"), F.col("__by_start")))
+    return found.select(*(new.alias(c) if c == text_col else col for c, col in zip(names, unpacked(names))))
 
 
 __all__ = ["candidates", "fit", "listing", "personal_data", "probability", "redacted", "reliabilities"]

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featmart.llm.common import (SPACE, Block, blocks, byte_set, gram_hash, id_text, inside,
                                  prefix_hash, range_hash, repeated)
@@ -176,13 +177,14 @@ MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words
 def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col: str = "text",
           keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: id, the five measures, ``base_failed``, ``llr`` (null without n-grams)
-    and ``kept``; columns named in ``keep`` are passed through. A single pass without a shuffle."""
-    extra = [F.col(f"`{c}`") for c in keep if c != "doc_id"]
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("__text"),
-                       F.col(f"`{id_col}`").alias("doc_id"), *extra)
-    passed = rows.drop("__text").schema
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in passed]
-                       + [f"{m} long" for m in MEASURES] + ["base_failed boolean", "llr double", "kept boolean"])
+    and ``kept``; columns named in ``keep`` are passed through, but for those named like a result.
+    A single pass without a shuffle."""
+    results = ("doc_id", "__text", *MEASURES, "base_failed", "llr", "kept")
+    extra = [F.col(f"`{c}`") for c in keep if c.lower() not in results]
+    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("__text"), F.col(f"`{id_col}`").alias("doc_id"), *extra)
+    passed = [f for f in rows.schema if f.name != "__text"]
+    schema = T.StructType([*passed, *(T.StructField(m, T.LongType()) for m in MEASURES), T.StructField("base_failed", T.BooleanType()),
+                           T.StructField("llr", T.DoubleType()), T.StructField("kept", T.BooleanType())])
     names = [f.name for f in passed]
 
     def run(batches):

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featmart.llm.spans import apart, find, listing, tagged
+from featmart.llm.spans import apart, find, listing, packed_rows, tagged, unpacked
 
 BASE = ("assign", "access", "hex")
 WINDOW = 20
@@ -93,11 +93,12 @@ def _class(value: Column, pick) -> Column:
 
 def secrets(docs: DataFrame, text_col: str = "text", allow: Sequence[str] = ALLOW) -> DataFrame:
     """``docs`` with ``base`` (fixed forms) and ``spans`` (these and the entropy spans): arrays of
-    ``struct(start, place, end, kind)`` by start, then kind."""
-    found = find(docs, text_col, {f"__{k}": p for k, p in PATTERNS.items()})
+    ``struct(start, place, end, kind)`` by start, then kind (columns of these names are replaced)."""
+    rows, names = packed_rows(docs, text_col, ("base", "spans"))
+    found = find(rows, "__text", {f"__{k}": p for k, p in PATTERNS.items()})
     forms = {k: F.col(f"__{k}") for k in BASE}
     forms["assign"] = F.filter("__assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
-    found = found.withColumn("base", F.array_sort(F.concat(*(tagged(k, i, forms[k]) for i, k in enumerate(BASE)))))
+    found = found.withColumn("__base", F.array_sort(F.concat(*(tagged(k, i, forms[k]) for i, k in enumerate(BASE)))))
     runs = F.filter("__run", lambda s: ~F.exists(F.array(*map(F.lit, allow)), lambda p: F.regexp_like(s["value"], p))) \
         if allow else F.col("__run")
 
@@ -107,11 +108,11 @@ def secrets(docs: DataFrame, text_col: str = "text", allow: Sequence[str] = ALLO
             (s["start"] + w["start"]).alias("start"), _class(s["value"], lambda k, c: F.lit(len(BASE) + k)).alias("place"),
             (s["start"] + w["end"]).alias("end"), _class(s["value"], lambda k, c: F.lit(c[0])).alias("kind")))
 
-    found = found.withColumn("__free", apart(runs, F.col("base")))
+    found = found.withColumn("__free", apart(runs, F.col("__base")))
     found = found.withColumn("__high", F.when(F.size("__free") > 0, F.flatten(F.transform("__free", windows)))
                              .otherwise(F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")))
-    return found.withColumn("spans", F.array_sort(F.concat("base", "__high"))).drop(
-        *(f"__{k}" for k in PATTERNS), "__free", "__high")
+    return found.select(*unpacked(names), F.col("__base").alias("base"),
+                        F.array_sort(F.concat("__base", "__high")).alias("spans"))
 
 
 __all__ = ["entropy_spans", "listing", "secrets"]

@@ -58,6 +58,18 @@ def find(df: DataFrame, text: str, patterns: dict[str, tuple[str, str | None]])
         *(f"__{x}_{k}" for x in ("hit", "gap", "at") for k in patterns))
 
 
+def packed_rows(docs: DataFrame, text_col: str, taken: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """``docs`` as two columns, ``__row`` (a struct of all but the columns named in ``taken``) and
+    ``__text`` (null as empty), so that no name of the caller meets a working column; and the names."""
+    names = [c for c in docs.columns if c.lower() not in taken]
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("__row"),
+                       F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text")), names
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    return [F.col("__row").getField(c).alias(c) for c in names]
+
+
 def tagged(kind: str, order: int, spans: Column) -> Column:
     """Spans as ``struct(start, place, end, kind)``, which sort by start and then by kind."""
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.lit(order).alias("place"),
