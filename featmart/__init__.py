@@ -8,7 +8,6 @@ functions  column-expression builders (safe arithmetic, dates, JSON, keyword rul
 operators  DataFrame -> DataFrame operators (relational roll-ups, windows, profiling, encodings,
            splits, text preparation, evaluation metrics, lag-key leak search, MLlib models)
 plans      the registered queries over the test tables and their SQL oracles
-streaming  incremental (micro-batch) drivers for the batch operators
 """
 
 from featmart.session import get_spark, checkpoint_dir, materialize

@@ -139,7 +139,7 @@ def impute_mean_mode(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     fills = {c: row[c] for c in num + txt if row[c] is not None}
     out = df
     for c, v in fills.items():
-        dt = df.schema[c].dataType
-        val = F.lit(v).cast(dt) if isinstance(dt, T.NumericType) else F.lit(v)
-        out = out.withColumn(c, F.coalesce(F.col(c), val))
+        # a mean of integers is no integer: filled numeric columns become double
+        col = F.col(c).cast("double") if isinstance(df.schema[c].dataType, T.NumericType) else F.col(c)
+        out = out.withColumn(c, F.coalesce(col, F.lit(v)))
     return out

@@ -119,32 +119,26 @@ def frequency_index(df: DataFrame, key, words_col: str, num_words: int | None) -
 
 
 def to_ids(df: DataFrame, key, tokens_col: str, vocab: DataFrame, out: str = "ids",
-           oov: int | None = 0) -> DataFrame:
+           oov: int | None = 0, vocab_rows: int | None = None) -> DataFrame:
     """TXT-5 / TXT-6 apply: tokens -> ids in order. ``oov=0`` maps unknown tokens to 0 (TXT-5);
     ``oov=None`` drops them (TXT-6). Documents without tokens get ``[]``. Returns ``(key..., out)``.
 
-    Hash-partition ``df`` by the key beforehand (``spread_by_key``): with a broadcast vocabulary the
-    exploded tokens then stay in place and the per-document regroup needs no further exchange."""
+    ``vocab_rows``: the vocabulary's size where it is an operator's parameter; up to a million rows it
+    is broadcast, so that tokens stay with their document until the regroup."""
     ks = _keys(key)
-    ex = explode_tokens(df, ks, tokens_col)
-    j = ex.join(vocab.select("token", "id"), "token", "left")
-    if oov is None:
-        j = j.where(F.col("id").isNotNull())
-    else:
-        j = j.withColumn("id", F.coalesce(F.col("id"), F.lit(oov)))
-    seqs = j.groupBy(*ks).agg(F.array_sort(F.collect_list(F.struct("pos", F.col("id").cast("int").alias("id"))))
-                              .alias("__s"))
-    seqs = seqs.select(*ks, F.transform("__s", lambda s: s["id"]).alias(out))
-    return (df.select(*ks).join(seqs, ks, "left")
-            .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<int>"))))
-
-
-def spread_by_key(df: DataFrame, key, num_partitions: int | None = None) -> DataFrame:
-    """Hash-partition a text table by its document key before CPU-heavy per-row work (regex
-    tokenising). Few large input files / row groups otherwise leave that work in a few tasks; the
-    partitioning is also the one the per-document regroup needs."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *_keys(key))
+    ex = df.select(*ks, F.posexplode_outer(tokens_col).alias("pos", "token"))  # keeps empty documents
+    v = vocab.select("token", "id")
+    j = ex.join(F.broadcast(v) if vocab_rows is not None and vocab_rows <= 1_000_000 else v, "token", "left")
+    wanted = F.col("pos").isNotNull() & (F.col("id").isNotNull() if oov is None else F.lit(True))
+    entry = F.when(wanted, F.struct("pos", F.coalesce(F.col("id"), F.lit(oov if oov is not None else 0)).cast("int").alias("id")))
+    seqs = j.groupBy(*ks).agg(F.array_sort(F.collect_list(entry)).alias("__s"))  # NULL entries are not collected
+    return seqs.select(*ks, F.transform("__s", lambda s: s["id"]).alias(out))
+
+
+def last_tokens(tokens_col: Column | str, n: int) -> Column:
+    """The last ``n`` tokens, for ids that are padded and cut on the left anyway (TXT-8 with ``oov=0``)."""
+    a = F.col(tokens_col) if isinstance(tokens_col, str) else tokens_col
+    return F.slice(a, F.greatest(F.size(a) - n + 1, F.lit(1)), n)
 
 
 def pad_post(arr: Column | str, n: int, value: int = 0) -> Column:

@@ -85,12 +85,8 @@ def partition_mean(df: DataFrame, keys: str | Sequence[str], col: str, name: str
     return group_stat_on_rows(df, keys, [F.avg(col).alias(name)])
 
 
-def ordered_list(df: DataFrame, keys: Sequence[str], order: str, value: str, n: int,
-                 prefix: str = "pred_") -> DataFrame:
-    """AGG-12 / WIN-9: the first ``n`` values per group in ``order`` as columns ``pred_0..pred_{n-1}``
-    (NULL padded). The position comes from ``row_number``; the spread is a conditional aggregate,
-    so no group is collected into one array."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    pos = df.withColumn("__pos", F.row_number().over(w) - 1)
-    return pos.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("__pos") == i, F.col(value))).alias(f"{prefix}{i}") for i in range(n)])
+def ordered_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str = "pos") -> DataFrame:
+    """AGG-12 / WIN-9: every value with its 0-based position in its group, as ``(keys..., name, value)``.
+    ``order`` must be total within a group. No list is built, so a group may have any length."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.select(*keys, (F.row_number().over(w) - 1).cast("bigint").alias(name), F.col(value).alias("value"))

@@ -131,20 +131,27 @@ def evl10_fold_report(spark, base):
 
 
 @query("evl07_micro_f1", """
-WITH e AS (SELECT vec_id, label, CAST(list_position(embedding[1:3], list_max(embedding[1:3])) - 1 AS INTEGER) AS pred
-           FROM embeddings)
-SELECT round(avg(CASE WHEN label = pred THEN 1.0 ELSE 0.0 END), 6) AS micro_f1,
-  round(avg(CASE WHEN list_transform(range(3), lambda i: CAST(i = label AS INTEGER))
-                   = list_transform(range(3), lambda i: CAST(i = pred AS INTEGER)) THEN 1.0 ELSE 0.0 END), 6) AS onehot_accuracy
-FROM e
+WITH c AS (SELECT max(label) + 1 AS k FROM embeddings),
+e AS (SELECT vec_id, label, k, embedding[1:k] AS s FROM embeddings, c),
+p AS (SELECT label, k, CAST(list_position(s, list_max(s)) - 1 AS INTEGER) AS pred FROM e),
+t AS (SELECT unnest(range(0, k)) AS class FROM c),
+f AS (SELECT class, count(*) FILTER (WHERE label = class AND pred = class) AS tp, count(*) FILTER (WHERE label <> class AND pred = class) AS fp,
+             count(*) FILTER (WHERE label = class AND pred <> class) AS fn FROM p, t GROUP BY class)
+SELECT round(2.0 * sum(tp) / (2 * sum(tp) + sum(fp) + sum(fn)), 6) AS micro_f1,
+  (SELECT round(avg(CASE WHEN list_transform(range(k), lambda i: CAST(i = label AS INTEGER))
+                   = list_transform(range(k), lambda i: CAST(i = pred AS INTEGER)) THEN 1.0 ELSE 0.0 END), 6) FROM p) AS onehot_accuracy,
+  count(*) AS n_classes
+FROM f
 """, ("EVL-7", "ENC-6", "SCL-10"))
 def evl07_micro_f1(spark, base):
     e = tables(spark, base).embeddings
-    k = 3
+    # a class is a label value; the first scores of the vector, as many as there are classes, are its scores
+    k = e.agg(F.max("label")).first()[0] + 1
     p = e.select("label", argmax_index(F.slice("embedding", 1, k)).alias("pred"))
     p = p.select("label", "pred", one_hot_vector("label", k).alias("y1"), one_hot_vector("pred", k).alias("p1"))
     return rounded(p.agg(F.avg((F.col("label") == F.col("pred")).cast("double")).alias("micro_f1"),
-                         F.avg((F.col("y1") == F.col("p1")).cast("double")).alias("onehot_accuracy")))
+                         F.avg((F.col("y1") == F.col("p1")).cast("double")).alias("onehot_accuracy"),
+                         F.lit(k).cast("bigint").alias("n_classes")))
 
 
 _DRIFT_FEATURES = ["o_totalprice", "o_custkey", "o_orderkey"]

@@ -43,6 +43,43 @@ def src01_csv_roundtrip(spark, base):
         F.max(F.length("c_custkey")).alias("max_id_len")))
 
 
+_QUOTED_SQL = """'He said "hi, ' || c_name || '" now'"""
+
+
+@query("src08_malformed_rows", f"""
+SELECT CAST(c_custkey AS BIGINT) AS id, {_QUOTED_SQL} AS text, round(c_acctbal, 6) AS amount
+FROM customer WHERE c_custkey % 7 <> 0 AND c_custkey % 11 <> 0
+""", ("SRC-1", "SRC-2", "SRC-8"))
+def src08_malformed_rows(spark, base):
+    """Quoted fields with separators and doubled quotes; every seventh row has text for a number, every
+    eleventh lacks a field. Only the id is read at first, so dropping must not depend on it."""
+    quoted = F.concat(F.lit('"He said ""hi, '), F.col("c_name"), F.lit('"" now"'))
+    line = F.concat_ws(",", F.col("c_custkey"), quoted, F.when(F.col("c_custkey") % 7 == 0, F.lit("n/a"))
+                       .otherwise(F.col("c_acctbal").cast("string")))
+    line = F.when(F.col("c_custkey") % 11 == 0, F.concat_ws(",", F.col("c_custkey"), quoted)).otherwise(line)
+    path = _scratch(spark, "malformed")
+    rows = tables(spark, base).customer.select(line.alias("value"))
+    rows.write.text(f"{path}/part=rows")
+    spark.createDataFrame([("id,text,amount",)], "value string").coalesce(1).write.text(f"{path}/part=header")
+    df = io.read_csv(spark, f"{path}/*", "id BIGINT, text STRING, amount DOUBLE", header=False, drop_malformed=True)
+    ids = df.select("id")
+    return rounded(df.join(ids, "id", "left_semi"))
+
+
+@query("snk01_csv_sink", """
+SELECT CAST(c_custkey AS BIGINT) AS id, c_name || '"' || chr(10) || ', ' || c_mktsegment AS note, printf('%.2f', c_acctbal) AS amount
+FROM customer
+""", ("SNK-1", "SNK-2", "SNK-3", "SRC-1"))
+def snk01_csv_sink(spark, base):
+    """Fixed-decimal text and notes with quotes and line breaks, written and read back."""
+    c = tables(spark, base).customer
+    out = c.select(F.col("c_custkey").alias("id"), F.concat("c_name", F.lit('"\n, '), "c_mktsegment").alias("note"),
+                   io.format_fixed("c_acctbal").alias("amount"))
+    path = _scratch(spark, "sink")
+    io.write_csv(out, path)
+    return io.read_csv(spark, path, "id BIGINT, note STRING, amount STRING", multi_line=True)
+
+
 @query("snk04_fill_template", """
 SELECT c_custkey, c_name, n AS target FROM customer LEFT JOIN (
   SELECT o_custkey, CAST(count(*) AS BIGINT) AS n FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from featmart.functions.scalar import clip_low, prefix, safe_div, zero_to_null
 from featmart.operators import relational as rel
 from featmart.operators import windows as win
-from featmart.operators.split import positional_slice  # noqa: F401  (PRJ-11 helper, used in tests)
 from featmart.plans.registry import query, r, rounded
 from featmart.sources import tables
 
@@ -207,63 +206,66 @@ def set05_align_columns(spark, base):
 
 
 @query("agg25_card_features", """
-WITH per_loan AS (
-  SELECT o_custkey, o_orderkey, max(l_extendedprice) / nullif(max(o_totalprice), 0) AS load,
-         count(*) FILTER (WHERE l_discount <> 0) AS n_discounted, avg(l_discount) AS dpd_mean,
-         count(*) FILTER (WHERE l_quantity < 10) AS n_small, count(*) AS n_lines,
-         sum(l_extendedprice) FILTER (WHERE l_returnflag = 'R') AS amt_r, sum(l_extendedprice) AS amt
-  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey, o_orderkey)
-SELECT o_custkey, count(DISTINCT o_orderkey) AS n_loans, round(avg(load), 6) AS credit_load,
-       round(avg(n_discounted), 6) AS mean_discounted_lines, round(100.0 * avg(dpd_mean), 6) AS mean_discount_pct,
-       round(100.0 * sum(n_small) / sum(n_lines), 6) AS pct_small_lines,
-       round(100.0 * coalesce(sum(amt_r), 0) / nullif(sum(amt), 0), 6) AS pct_returned_amount
-FROM per_loan GROUP BY o_custkey
+WITH b AS (SELECT o_custkey, o_orderkey, o_totalprice, l_extendedprice, l_discount, l_quantity, l_returnflag
+           FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+load AS (SELECT o_custkey, avg(x) AS credit_load FROM (
+  SELECT o_custkey, max(l_extendedprice) / nullif(max(o_totalprice), 0) AS x FROM b GROUP BY o_custkey, o_orderkey, o_totalprice) GROUP BY o_custkey),
+dpd AS (SELECT o_custkey, avg(c) AS dpd_count FROM (
+  SELECT o_custkey, count(*) FILTER (WHERE l_discount <> 0) AS c FROM b GROUP BY o_custkey, o_orderkey) GROUP BY o_custkey)
+SELECT o_custkey, count(DISTINCT o_orderkey) AS n_loans, round(count(*) / count(DISTINCT o_orderkey), 4) AS installments_per_loan,
+  round(any_value(credit_load), 4) AS credit_load, round(any_value(dpd_count), 4) AS dpd_count, round(avg(l_discount), 5) AS avg_dpd,
+  round(100.0 * count(*) FILTER (WHERE l_quantity < 10) / count(*), 4) AS pct_missed,
+  round(100.0 * coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'R'), 0) / nullif(sum(l_extendedprice), 0), 4) AS cash_card_ratio,
+  round(100.0 * sum(l_extendedprice) / nullif(sum(l_quantity), 0), 2) AS drawings_ratio
+FROM b JOIN load USING (o_custkey) JOIN dpd USING (o_custkey) GROUP BY o_custkey
 """, ("AGG-25", "AGG-6", "AGG-11", "PRJ-5"))
 def agg25_card_features(spark, base):
+    """The eight card features: loans, instalments per loan, mean load per limit (the order's total plays the
+    limit), mean number of rows past due per loan, mean days past due over the customer's rows, percentage of
+    payments missed, cash share of drawings, drawings amount by drawings count x 100. Lines are added up per
+    order before the join; sums and counts are carried, so no mean of means arises."""
     t = tables(spark, base)
-    j = t.orders.select("o_custkey", "o_orderkey", "o_totalprice").join(
-        t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice", "l_discount",
-                          "l_quantity", "l_returnflag"), "o_orderkey")
-    per_loan = j.groupBy("o_custkey", "o_orderkey").agg(
-        safe_div(F.max("l_extendedprice"), F.max("o_totalprice")).alias("load"),
-        F.count_if(F.col("l_discount") != 0).alias("n_discounted"), F.avg("l_discount").alias("dpd_mean"),
-        F.count_if(F.col("l_quantity") < 10).alias("n_small"), F.count(F.lit(1)).alias("n_lines"),
-        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))).alias("amt_r"),
-        F.sum("l_extendedprice").alias("amt"))
-    out = per_loan.groupBy("o_custkey").agg(
-        F.count_distinct("o_orderkey").alias("n_loans"), F.avg("load").alias("credit_load"),
-        F.avg("n_discounted").alias("mean_discounted_lines"), (100.0 * F.avg("dpd_mean")).alias("mean_discount_pct"),
-        (100.0 * F.sum("n_small") / F.sum("n_lines")).alias("pct_small_lines"),
-        (100.0 * safe_div(F.coalesce(F.sum("amt_r"), F.lit(0.0)), F.sum("amt"))).alias("pct_returned_amount"))
-    # in percent: an average of averages of 2-decimal fractions is often a short exact decimal
-    # (0.0495625) that would sit on a rounding tie at 6 decimals; x100 moves it clear of the tie
-    return rounded(out)
+    per_order = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.max("l_extendedprice").alias("balance"), F.count_if(F.col("l_discount") != 0).alias("n_due"),
+        F.sum("l_discount").alias("due"), F.count("l_discount").alias("n_discount"), F.count_if(F.col("l_quantity") < 10).alias("n_missed"),
+        F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))).alias("cash"),
+        F.sum("l_extendedprice").alias("amount"), F.sum("l_quantity").alias("times"))
+    loans = t.orders.select("o_custkey", "o_orderkey", "o_totalprice").join(per_order, "o_orderkey")
+    out = loans.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n_loans"), F.round(F.sum("n") / F.count(F.lit(1)), 4).alias("installments_per_loan"),
+        F.round(F.avg(safe_div("balance", "o_totalprice")), 4).alias("credit_load"), F.round(F.avg("n_due"), 4).alias("dpd_count"),
+        F.round(F.sum("due") / F.sum("n_discount"), 5).alias("avg_dpd"), F.round(100.0 * F.sum("n_missed") / F.sum("n"), 4).alias("pct_missed"),
+        F.round(100.0 * safe_div(F.coalesce(F.sum("cash"), F.lit(0.0)), F.sum("amount")), 4).alias("cash_card_ratio"),
+        F.round(100.0 * safe_div(F.sum("amount"), F.sum("times")), 2).alias("drawings_ratio"))
+    return out
 
 
 @query("agg12_ordered_list", """
 WITH o AS (SELECT o_custkey, o_totalprice,
                   row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS pos
            FROM orders),
-m AS (SELECT max(pos) + 1 AS width FROM o),
-l AS (SELECT o_custkey, list(o_totalprice ORDER BY pos) AS prices, count(*) AS n FROM o GROUP BY o_custkey)
-SELECT o_custkey, round(prices[1], 6) AS pred_0, round(prices[2], 6) AS pred_1, round(prices[3], 6) AS pred_2,
-       round(ln(1 + list_avg(prices)), 6) AS log_of_mean, round(ln(1 + list_median(prices)), 6) AS log_of_median,
-       round(list_sum(list_transform(prices, lambda x: ln(1 + x))), 6) AS sum_of_logs,
-       round(ln(1 + list_sum(prices)), 6) AS log_of_sum, n AS n_sessions, width - n AS n_missing_slots
-FROM l, m
+w AS (SELECT max(pos) + 1 AS width FROM o),
+l AS (SELECT o_custkey, avg(o_totalprice) AS mean, median(o_totalprice) AS med, sum(ln(1 + o_totalprice)) AS logs,
+             sum(o_totalprice) AS total, count(*) AS n FROM o GROUP BY o_custkey)
+SELECT o_custkey, CAST(pos AS BIGINT) AS pos, round(o_totalprice, 6) AS value, round(ln(1 + mean), 6) AS log_of_mean,
+       round(ln(1 + med), 6) AS log_of_median, round(logs, 6) AS sum_of_logs, round(ln(1 + total), 6) AS log_of_sum,
+       n AS n_sessions, width - n AS n_missing_slots
+FROM o JOIN l USING (o_custkey), w
 """, ("AGG-12", "AGG-13", "WIN-9", "SRT-1"))
 def agg12_ordered_list(spark, base):
+    """Every position of every customer's list as a row ``(o_custkey, pos, value)`` with the statistics over the
+    list; slot ``pos`` of the wide form is ``pred_<pos>``. The median comes from the two middle ranks."""
     o = tables(spark, base).orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    o = o.withColumn("__ord", F.struct("o_orderdate", "o_orderkey"))
-    width = o.groupBy("o_custkey").count().agg(F.max("count")).first()[0]  # parameter job
-    wide = win.ordered_list(o, ["o_custkey"], "__ord", "o_totalprice", width)
-    stats = o.groupBy("o_custkey").agg(
-        F.log1p(F.avg("o_totalprice")).alias("log_of_mean"), F.log1p(F.median("o_totalprice")).alias("log_of_median"),
-        F.sum(F.log1p("o_totalprice")).alias("sum_of_logs"), F.log1p(F.sum("o_totalprice")).alias("log_of_sum"),
-        F.count(F.lit(1)).alias("n_sessions"))
-    out = wide.join(stats, "o_custkey").withColumn("n_missing_slots", F.lit(width) - F.col("n_sessions"))
-    return rounded(out.select("o_custkey", "pred_0", "pred_1", "pred_2", "log_of_mean", "log_of_median",
-                              "sum_of_logs", "log_of_sum", "n_sessions", "n_missing_slots"))
+    long = win.ordered_values(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice")
+    ranked = win.ordered_values(o, ["o_custkey"], ["o_totalprice", "o_orderkey"], "o_totalprice", "rank")
+    size = o.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    middle = (F.col("rank") == F.floor((F.col("n") - 1) / 2)) | (F.col("rank") == F.floor(F.col("n") / 2))
+    stats = ranked.join(size, "o_custkey").groupBy("o_custkey").agg(
+        F.log1p(F.avg("value")).alias("log_of_mean"), F.log1p(F.avg(F.when(middle, F.col("value")))).alias("log_of_median"),
+        F.sum(F.log1p("value")).alias("sum_of_logs"), F.log1p(F.sum("value")).alias("log_of_sum"), F.count(F.lit(1)).alias("n_sessions"))
+    width = size.agg(F.max("n").alias("width"))  # one row
+    out = long.join(stats, "o_custkey").join(F.broadcast(width))
+    return rounded(out.withColumn("n_missing_slots", F.col("width") - F.col("n_sessions")).drop("width"))
 
 
 @query("prj08_global_mean_column", """

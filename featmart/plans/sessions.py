@@ -17,11 +17,11 @@ from featmart.operators.split import group_kfold, kfold
 from featmart.plans.registry import query, rounded
 from featmart.sources import tables
 
-DAYS = list(range(1, 31))
+DAYS = list(range(1, 32))  # every day a month can have
 
 
 def day_matrix(spark, base):
-    """F3 surrogate: user x day-of-month event counts ``d1..d30`` (0 = no event) and a target
+    """F3 surrogate: user x day-of-month event counts ``d1..d31`` (0 = no event) and a target
     (purchase revenue of the user). One conditional aggregate, no pivot discovery job."""
     e = tables(spark, base).events
     day = F.dayofmonth("ts")

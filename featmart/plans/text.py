@@ -18,7 +18,7 @@ MSG_KEY = ["conv_id", "turn"]
 
 
 def _conv_tokens(spark, base):
-    c = tx.spread_by_key(tables(spark, base).conversations, MSG_KEY)
+    c = tables(spark, base).conversations
     return c.select(*MSG_KEY, "role", tx.tokens("text").alias("toks"))
 
 
@@ -31,7 +31,7 @@ SELECT doc_id, len(regexp_extract_all(text, '{PAT}')) AS n_tokens,
 FROM documents
 """, ("TXT-1", "TXT-12"))
 def txt01_token_counts(spark, base):
-    d = tx.spread_by_key(tables(spark, base).documents, "doc_id").select("doc_id", tx.tokens("text").alias("toks"))
+    d = tables(spark, base).documents.select("doc_id", tx.tokens("text").alias("toks"))
     return d.select("doc_id", F.size("toks").cast("bigint").alias("n_tokens"),
                     F.size(F.filter("toks", lambda t: t.rlike(r"^[\p{L}\p{N}_]+$"))).cast("bigint").alias("n_words"))
 
@@ -77,7 +77,7 @@ def txt05_token_ids_post(spark, base):
 
 
 def _doc_tokens(spark, base):
-    d = tx.spread_by_key(tables(spark, base).documents, "doc_id")
+    d = tables(spark, base).documents
     return d.select("doc_id", tx.tokens("text", lower=True).alias("toks"))
 
 
@@ -100,7 +100,9 @@ SELECT doc_id, ids_30, ids_30[1:29] || ids_30[31:] AS ids_29 FROM p
 """, ("TXT-8", "TXT-9", "TXT-5"))
 def txt08_pad_pre(spark, base):
     d = _doc_tokens(spark, base)
-    seq = tx.to_ids(d, "doc_id", "toks", tx.top_vocabulary(d, "toks", 19999), out="ids", oov=0)
+    # unknown tokens keep their place, so only the last 30 tokens of a document can reach the padded row
+    last = d.select("doc_id", tx.last_tokens("toks", 30).alias("toks"))
+    seq = tx.to_ids(last, "doc_id", "toks", tx.top_vocabulary(d, "toks", 19999), out="ids", oov=0, vocab_rows=19999)
     seq = seq.select("doc_id", tx.pad_pre("ids", 30).alias("ids_30"))
     return seq.select("doc_id", "ids_30", tx.drop_position("ids_30", 29).alias("ids_29"))
 
@@ -119,20 +121,20 @@ p AS (SELECT w.conv_id, w.turn, coalesce(seq, []) AS seq FROM w LEFT JOIN s ON w
 SELECT conv_id, turn, len(seq) AS seq_len, (list_transform(range(30), lambda x: 0) || seq)[-30:] AS padded FROM p
 """, ("TXT-6", "TXT-8", "SRT-7", "SET-1"))
 def txt06_keras_tokenizer(spark, base):
-    c = tx.spread_by_key(tables(spark, base).conversations, MSG_KEY).select(*MSG_KEY, tx.keras_words("text").alias("words"))
+    c = tables(spark, base).conversations.select(*MSG_KEY, tx.keras_words("text").alias("words"))
     idx = tx.frequency_index(c, MSG_KEY, "words", 10000)
-    seq = tx.to_ids(c, MSG_KEY, "words", idx, out="seq", oov=None)
+    seq = tx.to_ids(c, MSG_KEY, "words", idx, out="seq", oov=None, vocab_rows=10000)
     return seq.select(*MSG_KEY, F.size("seq").cast("bigint").alias("seq_len"), tx.pad_pre("seq", 30).alias("padded"))
 
 
 @query("txt10_embedding_matrix", _TOP_SQL + """
 SELECT id, token, list_transform(embedding, lambda x: round(CAST(x AS DOUBLE), 6)) AS vector
-FROM tv JOIN embeddings ON id = vec_id WHERE id < 300
+FROM tv JOIN embeddings ON id = vec_id WHERE id < 13000
 """, ("TXT-10", "SRC-13", "Q8"))
 def txt10_embedding_matrix(spark, base):
     vocab = tx.top_vocabulary(_doc_tokens(spark, base), "toks", 19999)
     vec = tables(spark, base).embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return rounded(tx.embedding_matrix(vocab, vec, 300, on="id"))
+    return rounded(tx.embedding_matrix(vocab, vec, 13000, on="id"))
 
 
 @query("txt11_bag_of_words", f"""
@@ -151,6 +153,8 @@ SELECT (SELECT count(DISTINCT token) FROM (SELECT unnest(toks) AS token FROM t))
 """, ("TXT-12", "SRT-7"))
 def txt12_corpus_stats(spark, base):
     d = _doc_tokens(spark, base)
-    ex = d.select("doc_id", F.size("toks").alias("sz"), F.explode_outer("toks").alias("t"))
-    return ex.agg(F.count_distinct("t").alias("vocab_size"), F.max("sz").cast("bigint").alias("longest"),
-                  F.count("t").alias("n_tokens"), F.count_distinct("doc_id").alias("n_docs"))
+    # lengths need no exploded tokens; only the vocabulary does, and its rows shrink to distinct tokens per task
+    size = F.size("toks").cast("bigint")
+    lengths = d.agg(F.max(size).alias("longest"), F.sum(size).alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"))
+    vocab = d.select(F.explode("toks").alias("t")).distinct().agg(F.count("t").alias("vocab_size"))
+    return vocab.join(F.broadcast(lengths)).select("vocab_size", "longest", "n_tokens", "n_docs")  # one row each

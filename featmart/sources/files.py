@@ -13,18 +13,43 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Quoting of delimited text: a quote inside a quoted field is doubled.
+_QUOTING = {"quote": '"', "escape": '"'}
+_BAD = "__malformed"
+
+
+def _ddl(schema: T.StructType | str) -> str:
+    if isinstance(schema, str):
+        return schema
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, *, sep: str = ",",
-             header: bool = True, drop_malformed: bool = False,
+             header: bool = True, drop_malformed: bool = False, multi_line: bool = False,
              min_partitions: int | None = None) -> DataFrame:
-    """SRC-1/2/3/6/8: delimited text with a header row and a declared schema.
-
-    ``drop_malformed`` skips rows that do not fit the schema (SRC-8). Gzip input (SRC-6) is decoded
-    transparently but is not splittable: pass ``min_partitions`` to spread the rows after the scan.
+    """SRC-1/2/3/6/8: delimited text with a header row and a declared schema; quotes inside a quoted
+    field are doubled.
+
+    ``drop_malformed`` skips rows that do not fit the schema (SRC-8). A row is judged by all its
+    fields whatever columns are read later: lines are parsed as text with the corrupt-record column
+    and filtered on it (lines equal to the header line are header lines). ``multi_line`` lets quoted
+    fields hold line breaks; such files are read whole by one task each, and rows that do not fit are
+    kept with NULLs. Gzip input (SRC-6) is decoded transparently but is not splittable: pass
+    ``min_partitions`` to spread the rows after the scan.
     """
-    reader = (spark.read.schema(schema).option("header", header).option("sep", sep)
-              .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
-              .option("multiLine", False))
-    df = reader.csv(path)
+    if drop_malformed and multi_line:
+        raise ValueError("malformed rows can only be dropped from files with one row in a line")
+    if drop_malformed:
+        lines = spark.read.text(path)
+        first = lines.first() if header else None
+        if first is not None:
+            lines = lines.where(F.col("value") != F.lit(first[0]))
+        options = {**_QUOTING, "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+        parsed = lines.where(F.length(F.trim("value")) > 0).select(
+            F.from_csv("value", f"{_ddl(schema)}, {_BAD} STRING", options).alias("r")).select("r.*")
+        df = parsed.where(F.col(_BAD).isNull()).drop(_BAD)
+    else:
+        df = spark.read.schema(schema).options(**_QUOTING, sep=sep, header=header, multiLine=multi_line).csv(path)
     if min_partitions:
         df = df.repartition(min_partitions)
     return df
@@ -72,13 +97,13 @@ def read_labelled_files(spark: SparkSession, root: str, glob: str = "*") -> Data
 
 
 def label_from_path(path: Column) -> Column:
-    """Parent-directory name of a file path."""
-    return F.element_at(F.split(path, "/"), -2)
+    """Parent-directory name of a file path; NULL without one."""
+    return F.try_element_at(F.split(path, "/"), F.lit(-2))
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, mode: str = "overwrite") -> None:
-    """SNK-1/2: header row, no index (a key is just a column)."""
-    df.write.mode(mode).option("header", header).csv(path)
+    """SNK-1/2: header row, no index (a key is just a column); quotes inside fields are doubled."""
+    df.write.mode(mode).options(**_QUOTING, header=header).csv(path)
 
 
 def format_fixed(col: Column | str, decimals: int = 2) -> Column:
