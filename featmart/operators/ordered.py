@@ -1,7 +1,8 @@
 """Global-order primitives that never pull a whole table into one task.
 
 A global window (``Window.orderBy(...)`` without ``partitionBy``) runs in a single task. These
-helpers get the same answers with a range-partitioned sort plus a table of one row per partition:
+helpers get the same answers from ordered buckets (``layout.with_bucket``): a window inside each
+bucket (one exchange of the table) plus a carry from a partial aggregate with one row per bucket.
 
 - ``prefix_sums``: running sums in a global order (optionally restarting per group);
 - ``exact_quantiles``: exact linear-interpolated quantiles (``percentile_cont``) by rank lookup.
@@ -14,68 +15,63 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from featmart.operators.relational import with_global_row_number
-from featmart.session import materialize
+from featmart.operators.layout import with_bucket
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], value_cols: Sequence[str],
                 group_cols: Sequence[str] = (), inclusive: bool = True,
-                num_partitions: int | None = None) -> DataFrame:
+                num_buckets: int | None = None) -> DataFrame:
     """Running sums of ``value_cols`` in the order ``group_cols + order_cols``.
 
-    ``inclusive`` includes the current row. With ``group_cols`` the running sum restarts per group.
+    ``inclusive`` includes the current row. With ``group_cols`` the running sum restarts per group: a
+    group's sums are added up from its own buckets, so they keep their digits next to larger groups.
     ``group_cols + order_cols`` must be a total order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [*group_cols, *order_cols]
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("__mid", F.monotonically_increasing_id()))
-    s = materialize(s).withColumn("__pid", F.shiftright("__mid", 33))
-    w_in = Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, 0)
-    tot = s.groupBy("__pid").agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
-    wp = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.select("__pid", *[F.coalesce(F.sum(f"__t_{v}").over(wp), F.lit(0)).alias(f"__c_{v}")
-                                  for v in value_cols])
-    s = s.join(F.broadcast(carry), "__pid")
-    out = s.select(*df.columns, *[(F.sum(v).over(w_in) + F.col(f"__c_{v}")).alias(f"__g_{v}")
-                                  for v in value_cols])
-    if group_cols:
-        # subtract the global running sum reached before the first row of each group
-        start = out.groupBy(*group_cols).agg(*[F.min(F.col(f"__g_{v}") - F.col(v)).alias(f"__s_{v}")
-                                               for v in value_cols])
-        out = out.join(start, list(group_cols))
-    else:
-        out = out.select("*", *[F.lit(0).alias(f"__s_{v}") for v in value_cols])
-    res = [F.col(f"__g_{v}") - F.col(f"__s_{v}") - (F.lit(0) if inclusive else F.col(v)) for v in value_cols]
+    groups = list(group_cols)
+    s = with_bucket(df, [*groups, *order_cols], buckets=num_buckets)
+    keys = [*groups, "__b"]
+    totals = s.groupBy(*keys).agg(*[F.sum(v).alias(f"__t_{v}") for v in value_cols])
+    # one row per bucket (and per group that shares it)
+    before = (Window.partitionBy(*groups) if groups else Window.partitionBy()).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select(*keys, *[F.coalesce(F.sum(f"__t_{v}").over(before), F.lit(0)).alias(f"__c_{v}") for v in value_cols])
+    inner = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    running = s.select("*", *[F.sum(v).over(inner).alias(f"__r_{v}") for v in value_cols])
+    out = running.join(carry if groups else F.broadcast(carry), keys)
+    res = [F.col(f"__r_{v}") + F.col(f"__c_{v}") - (F.lit(0) if inclusive else F.col(v)) for v in value_cols]
     return out.select(*df.columns, *[r.alias(f"cum_{v}") for r, v in zip(res, value_cols)])
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
     """Exact ``percentile_cont`` values of ``col`` (NULLs ignored) for each probability.
 
-    Sort-based: count N, number the non-NULL values in a global order (two passes, no single-task
-    window), then read only the rows at the needed ranks. Memory does not grow with the number of
-    distinct values, unlike a global ``percentile`` aggregate whose final merge holds them all.
+    The values are counted by ordered bucket; only the buckets that hold a wanted rank are sorted.
+    Memory does not grow with the number of distinct values, unlike a global ``percentile`` aggregate
+    whose final merge holds them all.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    n = vals.count()
+    s = with_bucket(vals, ["v"])
+    counts = sorted((r["__b"], r["count"]) for r in s.groupBy("__b").count().collect())  # one row per bucket
+    n = sum(c for _, c in counts)
     if n == 0:
         return [None for _ in probs]
-    ranks = set()
-    for p in probs:
-        pos = p * (n - 1)
-        ranks.update({int(pos) + 1, min(int(pos) + 2, n)})
-    # a unique order: value then a tiebreak id (ties do not change the value at a rank)
-    numbered = with_global_row_number(vals.withColumn("__t", F.monotonically_increasing_id()),
-                                      ["v", "__t"], name="rk")
-    got = dict(numbered.where(F.col("rk").isin(sorted(ranks))).select("rk", "v").collect())
+    ranks = sorted({r for p in probs for r in (int(p * (n - 1)) + 1, min(int(p * (n - 1)) + 2, n))})
+    before, wanted = 0, {}  # bucket -> (rank in it, rank)
+    for b, c in counts:
+        here = [(r - before, r) for r in ranks if before < r <= before + c]
+        if here:
+            wanted[b] = here
+        before += c
+    w = Window.partitionBy("__b").orderBy("v")
+    numbered = s.where(F.col("__b").isin(list(wanted))).withColumn("rk", F.row_number().over(w))
+    hit = None
+    for b, here in wanted.items():
+        cond = (F.col("__b") == b) & F.col("rk").isin([k for k, _ in here])
+        hit = cond if hit is None else hit | cond
+    got = {(r["__b"], r["rk"]): r["v"] for r in numbered.where(hit).collect()}  # two rows per probability at most
+    value = {r: got[b, k] for b, here in wanted.items() for k, r in here}
     out = []
     for p in probs:
         pos = p * (n - 1)
-        lo = int(pos)
-        frac = pos - lo
-        a = got[lo + 1]
-        b = got[min(lo + 2, n)]
-        out.append(a + frac * (b - a))
+        a, b = value[int(pos) + 1], value[min(int(pos) + 2, n)]
+        out.append(a + (pos - int(pos)) * (b - a))
     return out

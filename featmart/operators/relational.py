@@ -17,7 +17,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featmart.session import materialize
+from featmart.operators.layout import with_bucket
 
 # function name -> builder on a column; names follow the reference's ``col_func`` output naming
 _AGG_FUNCS = {
@@ -198,23 +198,15 @@ def align_columns(df: DataFrame, columns: Sequence[str], dtype: str = "double")
 
 
 def with_global_row_number(df: DataFrame, order_cols: Sequence[str], name: str = "row_no",
-                           num_partitions: int | None = None) -> DataFrame:
+                           num_buckets: int | None = None) -> DataFrame:
     """PRJ-11 / SPL-3 / SPL-7 helper: 1-based row number in a global order, without a one-task window.
 
-    Two passes over a range-partitioned, checkpointed copy: per-partition row counts (one row per
-    partition), their prefix sums (a table of partition-count size, broadcast), then
-    ``offset + position in partition``. ``order_cols`` must be a total order (unique).
+    Rows are numbered inside ordered buckets (one exchange) and shifted by the rows of the buckets
+    before, from a count with one row per bucket. ``order_cols`` must be a total order (unique).
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-         .withColumn("__mid", F.monotonically_increasing_id()))
-    s = materialize(s)
-    s = s.withColumn("__pid", F.shiftright("__mid", 33))
-    counts = s.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    offs = counts.select(
-        "__pid",
-        (F.sum("__cnt").over(Window.orderBy("__pid")) - F.col("__cnt")).alias("__off"))
-    out = s.join(F.broadcast(offs), "__pid")
-    local = F.col("__mid") - F.shiftleft(F.col("__pid"), 33)
-    return out.withColumn(name, F.col("__off") + local + 1).drop("__mid", "__pid", "__off")
+    s = with_bucket(df, order_cols, buckets=num_buckets)
+    counts = s.groupBy("__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    shift = counts.select("__b", (F.sum("__cnt").over(Window.partitionBy().orderBy("__b")) - F.col("__cnt")).alias("__off"))
+    local = F.row_number().over(Window.partitionBy("__b").orderBy(*order_cols))
+    out = s.withColumn("__local", local).join(F.broadcast(shift), "__b")
+    return out.select(*df.columns, (F.col("__off") + F.col("__local")).alias(name))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from featmart.functions.scalar import hours_between
 from featmart.operators.relational import group_stat_on_rows
-from featmart.session import materialize
+from featmart.operators.layout import with_bucket
 
 
 def session_gaps(df: DataFrame, entity: str, ts: str, tiebreak: str) -> DataFrame:
@@ -46,31 +46,21 @@ def forward_fill(df: DataFrame, cols: Sequence[str], partition: Sequence[str],
 
 
 def global_forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str],
-                        num_partitions: int | None = None) -> DataFrame:
+                        num_buckets: int | None = None) -> DataFrame:
     """WIN-7 over the whole table in a global order, without a single-task window.
 
-    1. range-partition + sort by ``order`` and checkpoint (fixed layout for both passes);
-    2. per partition, the last non-NULL value of each column (one row per partition);
-    3. carry = last non-NULL over the previous partitions (window over the partition-count table);
-    4. fill inside each partition, falling back to the carry.
-    ``order`` must be a total order.
+    Filled inside ordered buckets (one exchange), falling back to the last non-NULL value of the
+    buckets before, from an aggregate with one row per bucket. ``order`` must be a total order.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-         .withColumn("__mid", F.monotonically_increasing_id()))
-    s = materialize(s).withColumn("__pid", F.shiftright("__mid", 33))
-    lasts = s.groupBy("__pid").agg(*[
-        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("__mid"))).alias(f"__last_{c}") for c in cols])
-    wp = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    carry = lasts.select("__pid", *[F.last(f"__last_{c}", ignorenulls=True).over(wp).alias(f"__carry_{c}")
-                                    for c in cols])
-    s = s.join(F.broadcast(carry), "__pid", "left")
-    w = Window.partitionBy("__pid").orderBy("__mid").rowsBetween(Window.unboundedPreceding, 0)
-    filled = [F.coalesce(F.last(c, ignorenulls=True).over(w), F.col(f"__carry_{c}")).alias(c) for c in cols]
-    keep = [F.col(c) for c in df.columns if c not in cols]
-    out = s.select(*keep, *filled)
-    return out.select(*df.columns)
+    s = with_bucket(df, order, buckets=num_buckets)
+    key = F.struct(*order)
+    lasts = s.groupBy("__b").agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), key)).alias(f"__last_{c}") for c in cols])
+    before = Window.partitionBy().orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select("__b", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}") for c in cols])
+    inner = Window.partitionBy("__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.select("*", *[F.last(c, ignorenulls=True).over(inner).alias(f"__fill_{c}") for c in cols])
+    out = s.join(F.broadcast(carry), "__b")
+    return out.select(*[F.coalesce(f"__fill_{c}", f"__carry_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def keys_occurring_once(df: DataFrame, keys: Sequence[str]) -> DataFrame:
