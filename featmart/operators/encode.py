@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.operators.ordered import exact_quantiles
-from featmart.operators.relational import distinct_values, with_global_row_number
+from featmart.operators.relational import category_join, distinct_values, with_global_row_number
 
 
 # ---------------------------------------------------------------- label / factorize codes
@@ -76,23 +76,26 @@ def one_hot_exprs(col: str, values: Sequence, dummy_na: bool = False, prefix: st
     return out
 
 
-def one_hot(df: DataFrame, cols: Sequence[str], dummy_na: bool = False, max_categories: int = 1000) -> DataFrame:
-    """ENC-4/5 over several text columns: value lists are one parameter job per column, bounded by
-    ``max_categories`` (more categories raise: such a column needs a code, not columns)."""
+def one_hot(df: DataFrame, cols: Sequence[str], dummy_na: bool = False) -> DataFrame:
+    """ENC-4/5 over several text columns: the value lists of all columns are one parameter job."""
     keep = [F.col(c) for c in df.columns if c not in cols]
-    dummies = []
-    for c in cols:
-        dummies += one_hot_exprs(c, distinct_values(df, c, max_categories), dummy_na)
-    return df.select(*keep, *dummies)
+    values = distinct_values(df, *cols)
+    return df.select(*keep, *[e for c in cols for e in one_hot_exprs(c, values[c], dummy_na)])
+
+
+def one_hot_long(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
+    """ENC-4 for columns of any number of categories: ``(key, column, value)`` for every indicator that is 1."""
+    return df.select(key, F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
+                     .alias("s")).select(key, "s.column", "s.value").where("value is not null")
 
 
 # ---------------------------------------------------------------- frequency / target encodings
 def frequency_encode(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """ENC-7: ``count(value) / total rows`` joined back (NULL values form no group -> NULL)."""
-    total = df.count()
-    freq = (df.where(F.col(col).isNotNull()).groupBy(col)
-            .agg((F.count(F.lit(1)) / F.lit(total)).alias(name or f"{col}_frequency")))
-    return df.join(freq, col, "left")
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n"))  # one row per category
+    total = F.sum("__n").over(Window.partitionBy())
+    freq = counts.select(col, (F.col("__n") / total).alias(name or f"{col}_frequency")).where(F.col(col).isNotNull())
+    return category_join(df, freq, col)
 
 
 def target_mean_fit(df: DataFrame, col: str, target: str, alpha: float = 5.0,
@@ -110,7 +113,7 @@ def target_mean_fit(df: DataFrame, col: str, target: str, alpha: float = 5.0,
 
 def target_mean_apply(df: DataFrame, params: DataFrame, col: str, name: str) -> DataFrame:
     """ENC-8 apply: unseen categories stay NULL."""
-    return df.join(params.withColumnRenamed("enc", name), col, "left")
+    return category_join(df, params.withColumnRenamed("enc", name), col)
 
 
 def target_mean_oof(df: DataFrame, col: str, target: str, fold: str, alpha: float = 5.0,
@@ -131,7 +134,7 @@ def target_mean_oof(df: DataFrame, col: str, target: str, fold: str, alpha: floa
     per_cf = per_cf.select(col, fold, "__ncf", "__scf", F.sum("__ncf").over(w).alias("__nc"),
                            F.sum("__scf").over(w).alias("__sc"))
     enc = ((F.col("__sc") - F.col("__scf")) + g * alpha) / ((F.col("__nc") - F.col("__ncf")) + alpha)
-    out = df.join(per_cf.select(col, fold, enc.alias(name or f"mean_k_fold_{col}")), [col, fold], "left")
+    out = category_join(df, per_cf.select(col, fold, enc.alias(name or f"mean_k_fold_{col}")), [col, fold])
     return out.withColumn(name or f"mean_k_fold_{col}", F.coalesce(F.col(name or f"mean_k_fold_{col}"), g))
 
 

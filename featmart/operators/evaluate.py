@@ -56,17 +56,21 @@ def auc(df: DataFrame, label: str, score: str, group: Sequence[str] = ()) -> Dat
 
 def rmse(df: DataFrame, y: str, p: str, log_space: bool = False) -> DataFrame:
     """EVL-5: ``sqrt(mean((y-p)^2))``; ``log_space`` compares ``log1p`` of both."""
+    return df.agg(rmse_expr(y, p, log_space).alias("rmse"))
+
+
+def rmse_expr(y: str, p: str, log_space: bool = False) -> Column:
+    """The RMSE as an aggregate expression, to stand beside others of the same pass."""
     a, b = F.col(y), F.col(p)
     if log_space:
         a, b = F.log1p(a), F.log1p(b)
-    return df.agg(F.sqrt(F.avg(F.pow(a - b, 2))).alias("rmse"))
+    return F.sqrt(F.avg(F.pow(a - b, 2)))
 
 
 def r2(df: DataFrame, y: str, p: str) -> DataFrame:
-    """EVL-6: ``1 - SS_res / SS_tot``."""
-    st = df.agg(F.avg(y).alias("m")).first()["m"]
+    """EVL-6: ``1 - SS_res / SS_tot``; ``SS_tot`` is the count times the population variance (one pass)."""
     return df.agg((F.lit(1.0) - F.try_divide(F.sum(F.pow(F.col(y) - F.col(p), 2)),
-                                             F.sum(F.pow(F.col(y) - F.lit(st), 2)))).alias("r2"))
+                                             F.count(y) * F.var_pop(y))).alias("r2"))
 
 
 def onehot_exact_match(df: DataFrame, y_vec: str, p_vec: str) -> DataFrame:
@@ -81,51 +85,88 @@ def unpivot_features(df: DataFrame, ids: Sequence[str], features: Sequence[str])
         .alias("s")).select(*ids, "s.feature", "s.value")
 
 
-def drift_report(train: DataFrame, test: DataFrame, features: Sequence[str], threshold: float = 0.8,
-                 top: int | None = None) -> DataFrame:
-    """EVL-8 (adversarial validation, one feature at a time): how well each feature alone tells test
-    rows from train rows. Score = ``max(auc, 1-auc)`` of the feature value as a classifier of
-    ``origin`` (1 = test); ``drifted`` = score > threshold. One unpivot, one grouped AUC job for all
-    features (not one model per feature)."""
-    both = (train.select(*features).withColumn("origin", F.lit(0))
-            .unionByName(test.select(*features).withColumn("origin", F.lit(1))))
-    long = unpivot_features(both, ["origin"], features)
-    rep = auc(long, "origin", "value", group=["feature"])
-    rep = rep.select("feature", F.greatest(F.col("auc"), 1 - F.col("auc")).alias("drift_score"))
+def drift_report(train: DataFrame, test: DataFrame, features: Sequence[str], id_col: str, threshold: float = 0.8,
+                 top: int | None = None, bins: int = 32, folds: int = 4, seed: int = 0) -> DataFrame:
+    """EVL-8 (adversarial validation, one feature at a time): how well each feature alone tells test rows
+    (``origin`` 1) from train rows. A feature's range is cut into equal-width bins (NULL is a bin of its
+    own); a row's score is the mean ``origin`` of its bin over the *other* folds, so drift inside the range
+    counts as well as a shift. ``drift_score`` is the AUC of these scores, ``drifted`` = above ``threshold``.
+
+    One aggregate for the ranges and one over ``(feature, bin, fold)``; all that follows is a table of
+    ``features * bins * folds`` rows."""
+    from pyspark.sql import Window
+
+    from featmart.operators.split import kfold
+    both = (train.select(id_col, *features).withColumn("origin", F.lit(0))
+            .unionByName(test.select(id_col, *features).withColumn("origin", F.lit(1)))).withColumn("__fold", kfold(id_col, folds, seed))
+    edge = both.agg(*[F.min(F.col(f).cast("double")).alias(f"lo_{i}") for i, f in enumerate(features)],
+                    *[F.max(F.col(f).cast("double")).alias(f"hi_{i}") for i, f in enumerate(features)]).first()
+    binned = []
+    for i, f in enumerate(features):
+        lo, hi = edge[f"lo_{i}"], edge[f"hi_{i}"]
+        width = (hi - lo) / bins if lo is not None and hi > lo else 1.0
+        at = F.least(F.floor((F.col(f).cast("double") - F.lit(lo or 0.0)) / F.lit(width)).cast("int"), F.lit(bins - 1))
+        binned.append(F.struct(F.lit(f).alias("feature"), F.coalesce(at, F.lit(-1)).alias("bin")))
+    cells = (both.select("origin", "__fold", F.explode(F.array(*binned)).alias("s"))
+             .groupBy("s.feature", "s.bin", "__fold").agg(F.count_if(F.col("origin") == 1).alias("pos"), F.count_if(F.col("origin") == 0).alias("neg")))
+    w = Window.partitionBy("feature", "bin")
+    rest_pos, rest_neg = (F.sum(c).over(w) - F.col(c) for c in ("pos", "neg"))
+    scored = cells.withColumn("score", F.coalesce(F.try_divide(rest_pos, rest_pos + rest_neg), F.lit(0.5)))
+    by_score = scored.groupBy("feature", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    below = F.coalesce(F.sum("neg").over(Window.partitionBy("feature").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ranked = by_score.withColumn("u", F.col("pos") * (below + F.col("neg") / 2))
+    rep = ranked.groupBy("feature").agg(F.try_divide(F.sum("u"), F.sum("pos") * F.sum("neg")).alias("drift_score"))
     rep = rep.withColumn("drifted", F.col("drift_score") > threshold)
     if top is not None:
         rep = rep.orderBy(F.desc("drift_score"), "feature").limit(top)
     return rep
 
 
-def single_feature_report(df: DataFrame, y: str, fold: str, features: Sequence[str]) -> DataFrame:
-    """EVL-9 re-aimed: per feature, cross-validated RMSE of a least-squares line ``y ~ a + b*x``
-    fitted on the other folds and scored on each fold, plus zero and distinct counts.
+def single_feature_report(df: DataFrame, y: str, base: str, fold: str, features: Sequence[str]) -> DataFrame:
+    """EVL-9 re-aimed: per feature, the cross-validated RMSE of the least-squares plane ``y ~ base + feature``
+    fitted on the other folds and scored on each fold (mean of the fold values), plus zero and distinct
+    counts. Sorted by RMSE, best first.
 
-    Every fold fit comes from group sums per ``(feature, fold)`` minus the per-feature totals, so
-    all features and folds are one aggregation (no model per feature, no fold loop).
+    One aggregate gives centred moments for each ``(feature, fold)``; the folds are then put together from
+    differences of their means, so large values do not cancel. No model per feature, no fold loop.
     """
-    long = unpivot_features(df, [y, fold], features).where(F.col("value").isNotNull())
-    x, t = F.col("value"), F.col(y)
-    per = long.groupBy("feature", fold).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(t).alias("sy"), F.sum(x * x).alias("sxx"),
-        F.sum(x * t).alias("sxy"), F.sum(t * t).alias("syy"))
     from pyspark.sql import Window
-    w = Window.partitionBy("feature")  # over at most k rows per feature
-    cols = ["n", "sx", "sy", "sxx", "sxy"]
-    tr = per.select("feature", fold, *cols, "syy",
-                    *[(F.sum(c).over(w) - F.col(c)).alias(f"t_{c}") for c in cols])
-    den = F.col("t_n") * F.col("t_sxx") - F.col("t_sx") * F.col("t_sx")
-    b = F.when(den != 0, (F.col("t_n") * F.col("t_sxy") - F.col("t_sx") * F.col("t_sy")) / den).otherwise(0.0)
-    a = F.try_divide(F.col("t_sy") - b * F.col("t_sx"), F.col("t_n"))
-    sse = (F.col("syy") - 2 * a * F.col("sy") - 2 * b * F.col("sxy") + F.col("n") * a * a
-           + 2 * a * b * F.col("sx") + b * b * F.col("sxx"))
-    fits = tr.select("feature", fold, F.col("n"), F.greatest(sse, F.lit(0.0)).alias("sse"))
-    score = fits.groupBy("feature").agg(F.sqrt(F.sum("sse") / F.sum("n")).alias("cv_rmse"))
+    long = unpivot_features(df, [y, base, fold], features).where(
+        F.col("value").isNotNull() & F.col(y).isNotNull() & F.col(base).isNotNull())
+    cols = {"b": F.col(base).cast("double"), "x": F.col("value"), "y": F.col(y).cast("double")}
+    pairs = ["bb", "bx", "by", "xx", "xy", "yy"]
+    n = F.count(F.lit(1))
+    per = long.groupBy("feature", F.col(fold).alias("f")).agg(
+        n.alias("n"), *[F.avg(c).alias(f"m{k}") for k, c in cols.items()],
+        *[(F.covar_pop(cols[p[0]], cols[p[1]]) * n).alias(f"s{p}") for p in pairs])
+    w = Window.partitionBy("feature")  # as many rows as folds
+    centre = {k: F.sum(F.col(f"m{k}") * F.col("n")).over(w) / F.sum("n").over(w) for k in cols}
+    per = per.select("feature", "f", "n", *[(F.col(f"m{k}") - c).alias(f"m{k}") for k, c in centre.items()], *[f"s{p}" for p in pairs])
+    other = per.select("feature", *[F.col(c).alias(f"o_{c}") for c in per.columns if c != "feature"])
+    rest = per.select("feature", "f").join(other, "feature").where("f <> o_f").groupBy("feature", "f").agg(
+        F.sum("o_n").alias("tn"), *[(F.sum(F.col("o_n") * F.col(f"o_m{k}")) / F.sum("o_n")).alias(f"t{k}") for k in cols],
+        *[F.sum(F.col(f"o_s{p}") + F.col("o_n") * F.col(f"o_m{p[0]}") * F.col(f"o_m{p[1]}")).alias(f"q{p}") for p in pairs])
+    rest = rest.select("feature", "f", *[f"t{k}" for k in cols],
+                       *[(F.col(f"q{p}") - F.col("tn") * F.col(f"t{p[0]}") * F.col(f"t{p[1]}")).alias(f"q{p}") for p in pairs])
+    det = F.col("qbb") * F.col("qxx") - F.col("qbx") * F.col("qbx")
+    full = det > 1e-9 * F.col("qbb") * F.col("qxx")
+    only = F.coalesce(F.try_divide(F.col("qby"), F.col("qbb")), F.lit(0.0))
+    rest = rest.withColumn("kb", F.when(full, (F.col("qby") * F.col("qxx") - F.col("qxy") * F.col("qbx")) / det).otherwise(only)) \
+               .withColumn("kx", F.when(full, (F.col("qxy") * F.col("qbb") - F.col("qby") * F.col("qbx")) / det).otherwise(0.0))
+    j = per.join(rest, ["feature", "f"])
+    off = (F.col("my") - F.col("ty")) - F.col("kb") * (F.col("mb") - F.col("tb")) - F.col("kx") * (F.col("mx") - F.col("tx"))
+    sse = (F.col("syy") + F.col("kb") ** 2 * F.col("sbb") + F.col("kx") ** 2 * F.col("sxx") - 2 * F.col("kb") * F.col("sby")
+           - 2 * F.col("kx") * F.col("sxy") + 2 * F.col("kb") * F.col("kx") * F.col("sbx") + F.col("n") * off ** 2)
+    score = j.groupBy("feature").agg(F.avg(F.sqrt(F.greatest(sse, F.lit(0.0)) / F.col("n"))).alias("cv_rmse"))
     counts = (unpivot_features(df, [], features).groupBy("feature")
               .agg(F.count_if(F.col("value") == 0).alias("n_zero"),
                    (F.count_distinct("value") + F.max(F.col("value").isNull().cast("int"))).alias("n_distinct")))
-    return score.join(counts, "feature")
+    return score.join(counts, "feature").orderBy("cv_rmse", "feature")
+
+
+def good_features(report: DataFrame, limit: float, score: str = "cv_rmse") -> list[str]:
+    """FLT-6: names of the features whose score is at most ``limit``, best first (one name per feature)."""
+    return [r["feature"] for r in report.where(F.col(score) <= limit).orderBy(score, "feature").select("feature").collect()]
 
 
 def novelty_score(df: DataFrame, normal: DataFrame, features: Sequence[str], quantile: float = 0.9) -> DataFrame:

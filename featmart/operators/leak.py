@@ -4,10 +4,9 @@ Columns ``cols`` are ordered newest first. For lag ``L`` (0..n-3) the key of a r
 target row" is ``cols[:n-L-2]`` and the key of a row seen "as the source row" is ``cols[L+2:]``; when a
 target key equals exactly one source key, the source row's ``cols[L]`` is the leaked value.
 
-All lags are one plan: both sides are exploded to ``(lag, key)`` rows, keyed by a 64-bit hash of the
-key array (the arrays are compared too, so hash collisions cannot match), source keys occurring more
-than once per lag are dropped with one aggregate, and one equi-join on ``(lag, hash)`` finds every
-match. The per-lag statistics then come from a table with one row per lag.
+All lags are one plan: both sides are exploded to narrow ``(lag, hashes, id)`` rows, source keys that
+occur more than once per lag are dropped with one aggregate, and one equi-join on the hashes finds every
+match; the keys themselves are compared for matched rows only. The per-lag statistics then come from a table with one row per lag.
 """
 
 from __future__ import annotations
@@ -25,23 +24,31 @@ LOG_FALLBACK = 14.49  # fixed value: log-space fill for rows without any estimat
 def lag_matches(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
     """LEK-1: ``(id, lag, pred)`` for every (row, lag) whose key matches a unique source key.
 
-    Unmatched (row, lag) pairs are absent (the reference's 0)."""
+    Unmatched (row, lag) pairs are absent (the reference's 0). Only ids and hashes of the keys are
+    shuffled; the arrays are fetched for matched rows, where the keys themselves are compared. Source
+    rows that share the hashes but not the key (seen by a third hash) are regrouped by the key itself.
+    """
     n = len(cols)
-    lags = list(range(n - 2))
-    arr = pack(list(cols))
-    base = df.select(F.col(id_col).alias("__id"), arr.alias("__a"))
-    lag_arr = F.array(*[F.lit(i) for i in lags])
-    ex = base.select("__id", "__a", F.explode(lag_arr).alias("lag"))
+    base = df.select(F.col(id_col).alias("__id"), pack(list(cols)).alias("__a"))
     klen = F.lit(n) - F.col("lag") - 2
-    left = ex.select("__id", "lag", F.slice("__a", 1, klen).alias("key"))
-    right = ex.select("lag", F.slice("__a", F.col("lag") + 3, klen).alias("key"),
-                      F.element_at("__a", F.col("lag") + 1).alias("pred"))
-    left = left.withColumn("h", F.xxhash64("key"))
-    right = (right.withColumn("h", F.xxhash64("key"))
-             .groupBy("lag", "h", "key").agg(F.count(F.lit(1)).alias("__c"), F.first("pred").alias("pred"))
-             .where("__c = 1").drop("__c"))
-    m = left.join(right, (left.lag == right.lag) & (left.h == right.h) & (left.key == right.key))
-    return m.select(left["__id"].alias(id_col), left["lag"], right["pred"])
+    ex = base.select("__id", "__a", F.explode(F.array(*[F.lit(i) for i in range(n - 2)])).alias("lag"))
+
+    def hashed(key, *keep):
+        return ex.select("lag", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"), *keep)
+
+    source_key = F.slice("__a", F.col("lag") + 3, klen)
+    left = hashed(F.slice("__a", 1, klen), "__id")
+    right = hashed(source_key, "__id", F.hash(source_key).alias("h3"))
+    groups = right.groupBy("lag", "h1", "h2").agg(F.count(F.lit(1)).alias("__c"), F.min("__id").alias("__src"),
+                                                  (F.min("h3") != F.max("h3")).alias("__mixed"))
+    once = groups.where("__c = 1").select("lag", "h1", "h2", "__src")
+    mixed = (right.join(groups.where("__mixed").select("lag", "h1", "h2"), ["lag", "h1", "h2"], "left_semi")
+             .join(base, "__id").groupBy("lag", "h1", "h2", source_key.alias("__k"))
+             .agg(F.count(F.lit(1)).alias("__c"), F.min("__id").alias("__src")).where("__c = 1").select("lag", "h1", "h2", "__src"))
+    m = left.join(once.unionByName(mixed), ["lag", "h1", "h2"]).select("__id", "lag", "__src")
+    m = m.join(base.withColumnRenamed("__a", "__x"), "__id").join(base.select(F.col("__id").alias("__src"), F.col("__a").alias("__y")), "__src")
+    same = F.slice("__x", 1, klen) == F.slice("__y", F.col("lag") + 3, klen)
+    return m.where(same).select(F.col("__id").alias(id_col), "lag", F.element_at("__y", F.col("lag") + 1).alias("pred"))
 
 
 def compile_leak(df: DataFrame, id_col: str, cols: Sequence[str], max_lag: int | None = None) -> DataFrame:
@@ -55,18 +62,18 @@ def compile_leak(df: DataFrame, id_col: str, cols: Sequence[str], max_lag: int |
 
 
 def leak_lag_stats(df: DataFrame, id_col: str, target: str, cols: Sequence[str],
-                   stat_cols: Sequence[str] | None = None) -> DataFrame:
+                   stat_cols: Sequence[str] | None = None, compiled: bool = False) -> DataFrame:
     """LEK-2 per lag ``L``: ``leaky_count`` (rows with compiled leak > 0 using lags <= L),
     ``leaky_correct`` (share of those rows... as the reference: rows with compiled == target divided
     by leaky_count) and ``score`` = RMSE in log space of the compiled leak using lags < L, with the
     non-zero row mean where it is still 0 (Q9), NULL estimates -> 14.49.
 
     Rows are first reduced to ``(first_lag, value)``; the per-lag numbers are running sums over a
-    table with one row per lag.
+    table with one row per lag. ``compiled``: ``df`` is the result of :func:`compile_leak`.
     """
     n = len(cols)
     none = n - 2  # first_lag of rows without any leak
-    rows = compile_leak(df, id_col, cols)
+    rows = df if compiled else compile_leak(df, id_col, cols)
     nzm = nonzero_row_mean(pack(list(stat_cols or cols)))
     y = F.log1p(F.col(target))
     leak_est = F.coalesce(F.log1p(F.col("leak")), F.lit(LOG_FALLBACK))
@@ -104,10 +111,13 @@ def best_lag(stats: DataFrame) -> DataFrame:
         .select(F.col("b.lag").alias("best_lag"), F.col("b.score").alias("best_score"))
 
 
-def rewrite_leak(df: DataFrame, id_col: str, cols: Sequence[str], lag: int) -> DataFrame:
-    """LEK-3: compiled leak using lags ``< lag``; 0 becomes NULL (the hand-off table)."""
-    out = compile_leak(df, id_col, cols, max_lag=lag - 1)
-    return out.select(id_col, F.nullif(F.coalesce("leak", F.lit(0.0)), F.lit(0.0)).alias("compiled_leak"))
+def rewrite_leak(df: DataFrame, id_col: str, cols: Sequence[str], lag: int, compiled: bool = False,
+                 keep: Sequence = ()) -> DataFrame:
+    """LEK-3: compiled leak using lags ``< lag``; 0 becomes NULL (the hand-off table). A row's first lag
+    with a value does not depend on the limit, so compiled rows serve every limit."""
+    out = df if compiled else compile_leak(df, id_col, cols)
+    leak = F.when(F.col("first_lag") < lag, F.col("leak"))
+    return out.select(id_col, F.nullif(F.coalesce(leak, F.lit(0.0)), F.lit(0.0)).alias("compiled_leak"), *keep)
 
 
 def override(pred: str, leak: str):

@@ -77,6 +77,25 @@ def variance_keep(df: DataFrame, cols: Sequence[str], threshold: float = 0.02) -
     return [c for c in cols if c in keep]
 
 
+def prune_columns(df: DataFrame, cols: Sequence[str], max_null_rate: float = 0.8, min_variance: float = 0.02) -> list[str]:
+    """PRN-1/2/3 learned in one aggregate: the columns that are not constant (NULL counts as a value), have a null
+    rate below ``max_null_rate`` and, if numeric, a population variance above ``min_variance``."""
+    exprs = [F.count(F.lit(1)).alias("n")]
+    for i, c in enumerate(cols):
+        exprs += [F.count(c).alias(f"n{i}"), (F.min(c) == F.max(c)).alias(f"one{i}")]
+        if isinstance(df.schema[c].dataType, T.NumericType):
+            exprs.append(F.var_pop(F.col(c).cast("double")).alias(f"var{i}"))
+    row = df.agg(*exprs).first().asDict()  # one row
+    keep = []
+    for i, c in enumerate(cols):
+        full = row[f"n{i}"] == row["n"]
+        constant = row[f"n{i}"] == 0 or (full and row[f"one{i}"])
+        variance = row.get(f"var{i}")
+        if not constant and row["n"] - row[f"n{i}"] < max_null_rate * row["n"] and (f"var{i}" not in row or (variance or 0) > min_variance):
+            keep.append(c)
+    return keep
+
+
 def type_census(df: DataFrame) -> DataFrame:
     """AGG-20: number of columns per Spark type (schema metadata, no data scan)."""
     from collections import Counter

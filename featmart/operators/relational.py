@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.operators.layout import with_bucket
+from featmart.session import materialize
 
 # function name -> builder on a column; names follow the reference's ``col_func`` output naming
 _AGG_FUNCS = {
@@ -121,24 +122,38 @@ def category_share_exprs(col: str, values: Sequence, funcs: Sequence[str] = ("me
     return out
 
 
-def distinct_values(df: DataFrame, col: str, limit: int = 1000) -> list:
-    """Parameter job: sorted distinct non-NULL values of a category column.
+def distinct_values(df: DataFrame, *cols: str) -> dict[str, list]:
+    """Parameter job: sorted distinct non-NULL values of category columns, one job for all of them.
 
-    One aggregate over one scan; raises instead of silently truncating when a column has more
-    than ``limit`` categories (such a column needs a code, not one output column per value).
-    """
-    vals = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct()
-            .orderBy(col).limit(limit + 1).collect()]
-    if len(vals) > limit:
-        raise ValueError(f"column {col!r} has more than {limit} categories")
-    return vals
+    For columns whose values become output columns; their number is the width of the result. Where it
+    has no bound use :func:`category_counts`, which keeps categories as rows."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cols])).alias("s"))
+    rows = long.select("s.c", "s.v").where("v is not null").distinct().collect()
+    return {c: sorted(r["v"] for r in rows if r["c"] == c) for c in cols}
+
+
+def category_counts(df: DataFrame, keys: str | Sequence[str], col: str) -> DataFrame:
+    """AGG-8/10 in long form: ``(keys..., category, n, share)`` for any number of categories; ``share`` is the
+    part of the group's rows (NULL categories count as rows)."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    n = df.groupBy(*keys, F.col(col).alias("category")).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*keys)  # as many rows as the group has categories
+    return n.withColumn("share", F.col("n") / F.sum("n").over(w)).where("category is not null")
 
 
-def left_mart(base: DataFrame, parts: Sequence[DataFrame], key: str | Sequence[str]) -> DataFrame:
-    """JN-1/3: fact table left-joined to per-key aggregates (each part has one row per key)."""
+def left_mart(base: DataFrame, parts: Mapping[str, DataFrame], key: str | Sequence[str]) -> DataFrame:
+    """JN-1/3/11: fact table left-joined to named per-key aggregates (each part has one row per key).
+
+    A column name that several parts, or a part and the base, have is prefixed by the part's name in
+    every part that has it, so the result does not depend on the order of the parts."""
+    keys = [key] if isinstance(key, str) else list(key)
+    seen: dict[str, int] = {}
+    for c in [*base.columns, *(c for p in parts.values() for c in p.columns)]:
+        seen[c] = seen.get(c, 0) + 1
     out = base
-    for p in parts:
-        out = out.join(p, key, "left")
+    for name, p in parts.items():
+        out = out.join(p.select(*keys, *[F.col(c).alias(f"{name}_{c}" if seen[c] > 1 else c) for c in p.columns if c not in keys]),
+                       keys, "left")
     return out
 
 
@@ -151,16 +166,24 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
-def group_stat_on_rows(df: DataFrame, keys: str | Sequence[str], exprs: Sequence[Column]) -> DataFrame:
+def category_join(df: DataFrame, per_category: DataFrame, on: str | Sequence[str]) -> DataFrame:
+    """Left join of detail rows to a table with one row per category, without moving the detail rows: the
+    table is computed once (checkpointed), counted and broadcast if it is small, so that a category with a
+    third of the rows makes no large partition. Beyond the bound it is a join that AQE can split."""
+    return df.join(broadcast_if_small(materialize(per_category)), on, "left")
+
+
+def group_stat_on_rows(df: DataFrame, keys: str | Sequence[str], exprs: Sequence[Column], categories: bool = False) -> DataFrame:
     """JN-6 / WIN-1 / WIN-2: attach per-group statistics to every detail row.
 
     Aggregate-then-join instead of ``agg().over(partitionBy(k))``: the aggregate is combined
     map-side, so a key that holds a third of all rows costs one partial row per task instead of one
     task buffering the whole partition (a hot key's join side is split by AQE's skew-join handling).
+    ``categories``: the keys have few values, so the statistics are joined by a counted broadcast.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     stats = df.groupBy(*keys).agg(*exprs)
-    return df.join(stats, keys, "left")
+    return category_join(df, stats, keys) if categories else df.join(stats, keys, "left")
 
 
 def unique_key_join(left: DataFrame, right: DataFrame, key_cols: Sequence[str], value: str,

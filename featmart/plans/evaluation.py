@@ -16,6 +16,7 @@ from featmart.operators import leak as lk
 from featmart.operators.split import kfold
 from featmart.plans.registry import query, r, rounded
 from featmart.plans.sessions import DAY_MATRIX_SQL, DAYS, day_matrix
+from featmart.session import materialize
 from featmart.sources import tables
 
 LEAK_COLS = [f"d{d}" for d in reversed(DAYS)]  # newest first
@@ -104,9 +105,7 @@ SELECT round(sqrt(avg(pow(y - pred, 2))), 4) AS rmse, round(sqrt(avg(pow(ln(1 +
 """, ("EVL-5", "SCL-1"))
 def evl05_rmse(spark, base):
     p = _order_pred(spark, base)
-    a = ev.rmse(p, "y", "pred").first()[0]  # two one-row aggregates over the same plan
-    return ev.rmse(p, "y", "pred", log_space=True).select(F.round(F.lit(a), 4).alias("rmse"),
-                                                          r("rmse").alias("rmse_log"))
+    return p.agg(r(ev.rmse_expr("y", "pred"), 4).alias("rmse"), r(ev.rmse_expr("y", "pred", log_space=True)).alias("rmse_log"))
 
 
 @query("evl06_r2", f"""
@@ -154,55 +153,85 @@ def evl07_micro_f1(spark, base):
                          F.lit(k).cast("bigint").alias("n_classes")))
 
 
-_DRIFT_FEATURES = ["o_totalprice", "o_custkey", "o_orderkey"]
+_DRIFT_FEATURES = ["o_totalprice", "o_custkey", "mid_day", "late_day"]
+_FOLD4 = "CAST(('0x' || substr(md5(CAST(o_orderkey AS VARCHAR) || '|3'), 1, 8))::BIGINT % 4 AS INTEGER)"
 
 
-@query("evl08_drift_report", """
-WITH u AS (SELECT o_totalprice, o_custkey, o_orderkey,
-                  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END AS origin FROM orders),
-l AS (SELECT 'o_totalprice' AS feature, CAST(o_totalprice AS DOUBLE) AS value, origin FROM u
-      UNION ALL SELECT 'o_custkey', CAST(o_custkey AS DOUBLE), origin FROM u
-      UNION ALL SELECT 'o_orderkey', CAST(o_orderkey AS DOUBLE), origin FROM u),
-c AS (SELECT feature, value, count(*) FILTER (WHERE origin = 1) AS pos, count(*) FILTER (WHERE origin <> 1) AS neg
-      FROM l GROUP BY 1, 2),
-w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY value
-               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM c),
+def _drift_input(spark, base):
+    """Orders from 1998 on play the test set. ``late_day`` moves with the date; ``mid_day`` puts test rows in the
+    middle of train's range, which only a non-monotone score can see."""
+    o = tables(spark, base).orders
+    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
+    test = F.col("o_orderdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    return o.select("o_orderkey", "o_totalprice", "o_custkey", day.cast("double").alias("late_day"),
+                    F.when(test, 1000.0 + F.col("o_orderkey") % 50).otherwise((F.col("o_orderkey") % 2000).cast("double")).alias("mid_day"),
+                    test.alias("is_test"))
+
+
+@query("evl08_drift_report", f"""
+WITH u AS (SELECT o_orderkey, {_FOLD4} AS fold, CAST(o_totalprice AS DOUBLE) AS o_totalprice, CAST(o_custkey AS DOUBLE) AS o_custkey,
+    CAST(date_diff('day', DATE '1992-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS late_day,
+    CAST(CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 1000 + o_orderkey % 50 ELSE o_orderkey % 2000 END AS DOUBLE) AS mid_day,
+    CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN 1 ELSE 0 END AS origin FROM orders),
+l AS (SELECT o_orderkey, fold, origin, feature, value FROM u UNPIVOT (value FOR feature IN (o_totalprice, o_custkey, late_day, mid_day))),
+e AS (SELECT feature, min(value) AS lo, (max(value) - min(value)) / 32 AS width FROM l GROUP BY feature),
+b AS (SELECT o_orderkey, fold, origin, feature, least(CAST(floor((value - lo) / width) AS INTEGER), 31) AS bin FROM l JOIN e USING (feature)),
+c AS (SELECT feature, bin, f.fold, sum(origin) AS pos, count(*) AS n FROM b, (SELECT DISTINCT fold FROM b) f WHERE b.fold <> f.fold GROUP BY ALL),
+s AS (SELECT b.feature, origin, coalesce(pos / n, 0.5) AS score FROM b LEFT JOIN c ON b.feature = c.feature AND b.bin = c.bin AND b.fold = c.fold),
+g AS (SELECT feature, score, sum(origin) AS pos, sum(1 - origin) AS neg FROM s GROUP BY ALL),
+w AS (SELECT *, coalesce(sum(neg) OVER (PARTITION BY feature ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
 a AS (SELECT feature, sum(pos * (below + neg / 2.0)) / (sum(pos) * sum(neg)) AS auc FROM w GROUP BY feature)
-SELECT feature, round(greatest(auc, 1 - auc), 6) AS drift_score, greatest(auc, 1 - auc) > 0.8 AS drifted
-FROM a ORDER BY drift_score DESC, feature LIMIT 30
-""", ("EVL-8", "FLT-6", "SRT-2", "SRT-3", "PRJ-7", "SET-2"))
+SELECT feature, round(auc, 6) AS drift_score, auc > 0.8 AS drifted FROM a ORDER BY auc DESC, feature LIMIT 30
+""", ("EVL-8", "SRT-2", "SRT-3", "PRJ-7", "SET-2"))
 def evl08_drift_report(spark, base):
-    o = tables(spark, base).orders
-    cut = F.lit("1998-01-01").cast("timestamp_ntz")
-    rep = ev.drift_report(o.where(F.col("o_orderdate") < cut), o.where(F.col("o_orderdate") >= cut),
-                          _DRIFT_FEATURES, 0.8, top=30)
-    return rounded(rep)
+    o = _drift_input(spark, base)
+    return rounded(ev.drift_report(o.where(~F.col("is_test")), o.where("is_test"), _DRIFT_FEATURES, "o_orderkey", 0.8, top=30, seed=3))
 
 
-_SF_FEATURES = ["l_quantity", "l_discount", "l_tax"]
+_SF_BASE, _SF_FEATURES = "l_quantity", ["l_discount", "l_tax", "big", "price_like"]
 _LINE_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
-
-
-@query("evl09_single_feature_report", f"""
-WITH b AS (SELECT l_extendedprice AS y, l_quantity, l_discount, l_tax,
+_SF_SQL = f"""
+WITH b AS (SELECT l_extendedprice AS y, l_quantity AS b, CAST(l_discount AS DOUBLE) AS l_discount, CAST(l_tax AS DOUBLE) AS l_tax,
+                  1600000000.0 + l_partkey % 97 AS big, l_extendedprice / l_quantity + l_linenumber AS price_like,
                   CAST(('0x' || substr(md5({_LINE_ID} || '|4'), 1, 8))::BIGINT % 4 AS INTEGER) AS fold FROM lineitem),
-l AS (SELECT 'l_quantity' AS feature, y, fold, l_quantity AS x FROM b UNION ALL SELECT 'l_discount', y, fold, l_discount FROM b
-      UNION ALL SELECT 'l_tax', y, fold, l_tax FROM b),
-tr AS (SELECT l1.feature, f.fold, regr_slope(l1.y, l1.x) AS b, regr_intercept(l1.y, l1.x) AS a
-       FROM l l1, (SELECT DISTINCT fold FROM b) f WHERE l1.fold <> f.fold GROUP BY l1.feature, f.fold),
-e AS (SELECT l.feature, pow(l.y - (coalesce(tr.a, avg(l.y) OVER ()) + coalesce(tr.b, 0) * l.x), 2) AS se
-      FROM l JOIN tr ON l.feature = tr.feature AND l.fold = tr.fold),
-s AS (SELECT feature, sqrt(avg(se)) AS cv_rmse FROM e GROUP BY feature),
-k AS (SELECT feature, count(*) FILTER (WHERE x = 0) AS n_zero,
-             count(DISTINCT x) + max(CASE WHEN x IS NULL THEN 1 ELSE 0 END) AS n_distinct FROM l GROUP BY feature)
-SELECT s.feature, round(cv_rmse, 3) AS cv_rmse, n_zero, n_distinct FROM s JOIN k ON s.feature = k.feature
-""", ("EVL-9", "AGG-17", "AGG-18", "SPL-4"))
+l AS (SELECT feature, y, b, fold, x FROM b UNPIVOT (x FOR feature IN (l_discount, l_tax, big, price_like))),
+st AS (SELECT l.feature, f.fold, avg(b) AS mb, avg(x) AS mx, avg(y) AS my, var_pop(b) AS bb, var_pop(x) AS xx, covar_pop(b, x) AS bx,
+              covar_pop(b, y) AS cby, covar_pop(x, y) AS cxy
+       FROM l, (SELECT DISTINCT fold FROM b) f WHERE l.fold <> f.fold GROUP BY ALL),
+k AS (SELECT *, (cby * xx - cxy * bx) / (bb * xx - bx * bx) AS kb, (cxy * bb - cby * bx) / (bb * xx - bx * bx) AS kx FROM st),
+r AS (SELECT l.feature, l.fold, sqrt(avg(pow(y - (my + kb * (b - mb) + kx * (x - mx)), 2))) AS rmse
+      FROM l JOIN k ON l.feature = k.feature AND l.fold = k.fold GROUP BY ALL),
+s AS (SELECT feature, avg(rmse) AS cv_rmse FROM r GROUP BY feature),
+c AS (SELECT feature, count(*) FILTER (WHERE x = 0) AS n_zero, count(DISTINCT x) AS n_distinct FROM l GROUP BY feature)"""
+
+
+def _feature_report(spark, base):
+    li = tables(spark, base).lineitem.select(
+        F.col("l_extendedprice").alias("y"), _SF_BASE, "l_discount", "l_tax", (F.lit(1.6e9) + F.col("l_partkey") % 97).alias("big"),
+        (F.col("l_extendedprice") / F.col("l_quantity") + F.col("l_linenumber")).alias("price_like"),
+        kfold(F.expr(_LINE_ID), 4, 4).alias("fold"))
+    return li, ev.single_feature_report(li, "y", _SF_BASE, "fold", _SF_FEATURES)
+
+
+@query("evl09_single_feature_report", _SF_SQL + """
+SELECT feature, round(cv_rmse, 3) AS cv_rmse, n_zero, n_distinct FROM s JOIN c USING (feature) ORDER BY cv_rmse, feature
+""", ("EVL-9", "AGG-17", "AGG-18", "SPL-4", "SRT-2"))
 def evl09_single_feature_report(spark, base):
-    li = tables(spark, base).lineitem
-    b = li.select(F.col("l_extendedprice").alias("y"), *_SF_FEATURES,
-                  kfold(F.expr(_LINE_ID), 4, 4).alias("fold"))
-    rep = ev.single_feature_report(b, "y", "fold", _SF_FEATURES)
-    return rep.select("feature", r("cv_rmse", 3).alias("cv_rmse"), "n_zero", F.col("n_distinct").cast("bigint"))
+    return _feature_report(spark, base)[1].select("feature", r("cv_rmse", 3).alias("cv_rmse"), "n_zero", F.col("n_distinct").cast("bigint"))
+
+
+@query("flt06_good_features", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_extendedprice / l_quantity + l_linenumber + 1e-9, 6) AS price_like FROM lineitem
+""", ("FLT-6",))
+def flt06_good_features(spark, base):
+    """The table cut down to the features whose score beats a limit, here 97 % of the worst feature's RMSE."""
+    li, report = _feature_report(spark, base)
+    worst = report.agg(F.max("cv_rmse")).first()[0]
+    good = ev.good_features(report, 0.97 * worst)
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    t = tables(spark, base).lineitem.withColumn("big", F.lit(1.6e9) + F.col("l_partkey") % 97) \
+        .withColumn("price_like", F.col("l_extendedprice") / F.col("l_quantity") + F.col("l_linenumber"))
+    return rounded(t.select(*key, *[(F.col(c) + 1e-9).alias(c) for c in good]))  # off rounding ties, as in the SQL
 
 
 # ---------------------------------------------------------------- lag-key leak (LEK-*)
@@ -247,16 +276,14 @@ b AS (SELECT arg_min(lg, (score, lg)) AS best FROM st)
 SELECT user_id, CAST(best AS INTEGER) AS best_lag, round(CASE WHEN f < best THEN nullif(leak, 0) END, 6) AS compiled_leak,
   round(coalesce(CASE WHEN f < best THEN nullif(leak, 0) END, nzm), 6) AS final_estimate
 FROM rw, b
-""", ("LEK-3", "LEK-4", "SRT-6", "SNK-3"))
+""", ("LEK-3", "LEK-4", "SRT-6"))
 def lek03_best_lag_rewrite(spark, base):
-    m = day_matrix(spark, base)
-    stats = lk.leak_lag_stats(m, "user_id", "target", LEAK_COLS)
-    best = lk.best_lag(stats).first()["best_lag"]  # one-row parameter
-    comp = lk.rewrite_leak(m, "user_id", LEAK_COLS, best)
-    nzm = m.select("user_id", nonzero_row_mean(pack(LEAK_COLS)).alias("nzm"))
-    out = comp.join(nzm, "user_id").select("user_id", F.lit(best).cast("int").alias("best_lag"), "compiled_leak",
-                                           lk.override("nzm", "compiled_leak").alias("final_estimate"))
-    return rounded(out)
+    m = materialize(day_matrix(spark, base))
+    rows = materialize(lk.compile_leak(m, "user_id", LEAK_COLS))  # matched once, for the statistics and the rewrite
+    best = lk.best_lag(lk.leak_lag_stats(rows, "user_id", "target", LEAK_COLS, compiled=True)).first()["best_lag"]  # one row
+    comp = lk.rewrite_leak(rows, "user_id", LEAK_COLS, best, compiled=True, keep=[nonzero_row_mean(pack(LEAK_COLS)).alias("nzm")])
+    return rounded(comp.select("user_id", F.lit(best).cast("int").alias("best_lag"), "compiled_leak",
+                               lk.override("nzm", "compiled_leak").alias("final_estimate")))
 
 
 @query("mdl07_novelty", f"""

@@ -73,7 +73,7 @@ def mdl03_rf_importance(spark, base):
 @query("mdl04_tree_regressor", None, ("MDL-4", "EVL-6", "ENC-4"))
 def mdl04_tree_regressor(spark, base):
     p = tables(spark, base).part
-    brands = enc.distinct_values(p, "p_brand", 100)
+    brands = enc.distinct_values(p, "p_brand")["p_brand"]
     x = p.select("p_partkey", F.col("p_size").cast("double").alias("p_size"), "p_retailprice",
                  *enc.one_hot_exprs("p_brand", brands))
     feats = ["p_size"] + [f"p_brand_{b}" for b in brands]

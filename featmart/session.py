@@ -5,11 +5,11 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every featmart job relies on. Values are defaults: a cluster configuration that already
-# sets a key wins, because ``SparkSession.builder.config`` is only applied for keys we pass here
-# and ``getOrCreate`` reuses a running session untouched.
+# Settings every featmart job relies on. They are defaults: a key that the launcher or a configuration
+# file sets keeps its value, and ``getOrCreate`` reuses a running session.
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",  # D5: calendar features are computed in UTC
     "spark.sql.adaptive.enabled": "true",  # runtime re-plan: broadcast conversion, coalescing
@@ -17,7 +17,7 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",  # split hot join partitions
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.ui.enabled": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # checkpoints go with their DataFrames
 }
 
 
@@ -30,7 +30,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = dict(_DEFAULTS)
+    given = SparkConf()
+    conf = {k: v for k, v in _DEFAULTS.items() if not given.contains(k)}
+    if master and master.startswith("local"):
+        conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
