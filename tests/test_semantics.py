@@ -70,22 +70,22 @@ def test_row_stats_match_pandas(spark):
 
 def test_global_row_number_independent_of_partitions(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
-    a = rel.with_global_row_number(df, ["k"], "rn", num_partitions=1).orderBy("k").collect()
-    b = rel.with_global_row_number(df.repartition(7), ["k"], "rn", num_partitions=5).orderBy("k").collect()
+    a = rel.with_global_row_number(df, ["k"], "rn", num_buckets=1).orderBy("k").collect()
+    b = rel.with_global_row_number(df.repartition(7), ["k"], "rn", num_buckets=5).orderBy("k").collect()
     assert [r["rn"] for r in a] == list(range(1, 1001)) == [r["rn"] for r in b]
 
 
 def test_global_forward_fill_matches_pandas(spark):
     rows = [(i, None if i % 3 == 0 or i in (5, 6, 7) else float(i)) for i in range(40)]
     df = spark.createDataFrame(rows, "k int, x double")
-    got = [r["x"] for r in win.global_forward_fill(df, ["x"], ["k"], num_partitions=6).orderBy("k").collect()]
+    got = [r["x"] for r in win.global_forward_fill(df, ["x"], ["k"], num_buckets=6).orderBy("k").collect()]
     exp = pd.Series([x for _, x in rows], dtype="float64").ffill().tolist()
     assert [None if (v is None or (isinstance(v, float) and math.isnan(v))) else v for v in exp] == got
 
 
 def test_prefix_sums_grouped(spark):
     df = spark.createDataFrame([("a", 1, 1), ("a", 2, 2), ("b", 1, 5), ("b", 3, 1), ("a", 3, 4)], "g string, o int, v int")
-    got = {(r["g"], r["o"]): r["cum_v"] for r in prefix_sums(df, ["o"], ["v"], ["g"], num_partitions=3).collect()}
+    got = {(r["g"], r["o"]): r["cum_v"] for r in prefix_sums(df, ["o"], ["v"], ["g"], num_buckets=3).collect()}
     assert got == {("a", 1): 1, ("a", 2): 3, ("a", 3): 7, ("b", 1): 5, ("b", 3): 6}
 
 
@@ -181,3 +181,80 @@ def test_leak_matches_brute_force(spark):
             if hit is not None and len(hit) == 1:
                 exp.append((i, lag, hit[0]))
     assert got == sorted(exp)
+
+
+def test_ordered_primitives_with_ties_and_nulls(spark):
+    rows = [(i % 7 if i % 11 else None, i, i % 3) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, t int, v int").repartition(5)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for n in (1, 8, 50):
+        got = rel.with_global_row_number(df, ["k", "t"], "rn", num_buckets=n).collect()
+        assert {r["rn"]: (r["k"], r["t"]) for r in got} == {i + 1: w[:2] for i, w in enumerate(want)}
+        sums = {(r["k"], r["t"]): r["cum_v"] for r in prefix_sums(df, ["k", "t"], ["v"], num_buckets=n).collect()}
+        total = 0
+        for w in want:
+            total += w[2]
+            assert sums[w[:2]] == total
+    x = [r[1] for r in rows]
+    assert exact_quantiles(df, "t", [0.0, 0.25, 0.9, 1.0]) == pytest.approx(list(pd.Series(x).quantile([0.0, 0.25, 0.9, 1.0])))
+    assert exact_quantiles(df.where("false"), "t", [0.5]) == [None]
+
+
+def test_small_group_after_large_keeps_its_digits(spark):
+    df = spark.createDataFrame([("a", 1, 1e17), ("a", 2, 1e17), ("b", 1, 0.25), ("b", 2, 0.5)], "g string, o int, v double")
+    got = {(r["g"], r["o"]): r["cum_v"] for r in prefix_sums(df, ["o"], ["v"], ["g"], num_buckets=3).collect()}
+    assert got["b", 1] == 0.25 and got["b", 2] == 0.75
+
+
+def test_integer_mean_imputation(spark):
+    from featmart.operators.profile import impute_mean_mode
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
+    assert sorted(r["x"] for r in impute_mean_mode(df).collect()) == [1.0, 1.5, 2.0]
+
+
+def test_drift_in_the_middle_of_the_range(spark):
+    train = spark.createDataFrame([(i, float(i % 100)) for i in range(2000)], "id int, x double")
+    test = spark.createDataFrame([(5000 + i, 50.0 + i % 3) for i in range(600)], "id int, x double")
+    assert ev.drift_report(train, test, ["x"], "id").first()["drift_score"] > 0.9
+    assert ev.drift_report(train, train.withColumn("id", F.col("id") + 9000), ["x"], "id").first()["drift_score"] < 0.6
+
+
+def test_feature_report_with_large_values(spark):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    x, b = 1.6e9 + rng.integers(0, 50, 400), rng.random(400)
+    y = 0.01 * (x - 1.6e9) + b + rng.random(400)
+    rows = [(float(y[i]), float(b[i]), float(x[i]), i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "y double, b double, x double, fold int")
+    got = ev.single_feature_report(df, "y", "b", "fold", ["x"]).first()["cv_rmse"]
+    want = []
+    for f in range(4):
+        tr, va = np.arange(400) % 4 != f, np.arange(400) % 4 == f
+        a = np.stack([np.ones(400), b, x - 1.6e9], axis=1)
+        k = np.linalg.lstsq(a[tr], y[tr], rcond=None)[0]
+        want.append(np.sqrt(np.mean((y[va] - a[va] @ k) ** 2)))
+    assert got == pytest.approx(np.mean(want), rel=1e-9)
+
+
+def test_category_with_a_third_of_the_rows(spark):
+    df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("c"), (F.col("id") % 50).cast("string"))).alias("c"))
+    out = enc.frequency_encode(df, "c")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and out.where("c = 'hot'").first()["c_frequency"] == pytest.approx(1 / 3)
+
+
+def test_left_mart_names_clashing_columns(spark):
+    base = spark.createDataFrame([(1, 5)], "k int, x int")
+    parts = {"a": spark.createDataFrame([(1, 6, 7)], "k int, x int, y int"), "b": spark.createDataFrame([(1, 8)], "k int, y int")}
+    out = rel.left_mart(base, parts, "k")
+    assert out.columns == ["k", "x", "a_x", "a_y", "b_y"] and tuple(out.first()) == (1, 5, 6, 7, 8)
+
+
+def test_lag_search_regroups_colliding_hashes(spark, monkeypatch):
+    """With hashes that always collide, keys are told apart by the third hash and compared themselves."""
+    cols = ["d4", "d3", "d2", "d1"]
+    df = spark.createDataFrame([(1, 9.0, 1.0, 2.0, 3.0), (2, 7.0, 8.0, 9.0, 1.0), (3, 5.0, 5.0, 5.0, 5.0)], "id int, d4 double, d3 double, d2 double, d1 double")
+    want = sorted(map(tuple, lk.lag_matches(df, "id", cols).collect()))
+    assert want
+    monkeypatch.setattr(lk.F, "xxhash64", lambda *c: F.lit(0).cast("long"))
+    assert sorted(map(tuple, lk.lag_matches(df, "id", cols).collect())) == want

@@ -52,3 +52,28 @@ def test_fill_template_and_fixed(spark):
     got = sorted((r["id"], r["target"]) for r in out.collect())
     assert got == [(1, None), (2, 0.125)]
     assert out.select(io.format_fixed("target", 2).alias("s")).where("id = 2").first()["s"] == "0.13"
+
+
+def test_quotes_and_line_breaks(spark):
+    p = os.path.join(_scratch(), "q.csv")
+    with open(p, "w") as f:
+        f.write('id,text,author\n1,"He said ""hi, you"" now",A\n2,"two\nlines",B\n')
+    rows = io.read_csv(spark, p, "id INT, text STRING, author STRING", multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [(1, 'He said "hi, you" now', "A"), (2, "two\nlines", "B")]
+    out = _scratch()
+    io.write_csv(spark.createDataFrame([(1, 'He said "hi", ok')], "id int, t string").coalesce(1), out)
+    part = [x for x in os.listdir(out) if x.endswith(".csv")][0]
+    assert '"He said ""hi"", ok"' in open(os.path.join(out, part)).read()
+
+
+def test_malformed_rows_do_not_depend_on_columns_read(spark):
+    p = os.path.join(_scratch(), "a.csv")
+    with open(p, "w") as f:
+        f.write('id,days,amount\n007,1,1.5\n008,12,2.5\nbad,row\n009,x,3.0\n')
+    df = io.read_csv(spark, p, "id STRING, days INT, amount DOUBLE", drop_malformed=True)
+    assert df.count() == len(df.collect()) == df.select("id").count() == len(df.select("id").collect()) == 2
+
+
+def test_label_without_folder(spark):
+    df = spark.createDataFrame([("file",), ("a/b/file",)], "p string")
+    assert [r[0] for r in df.select(io.label_from_path(F.col("p"))).collect()] == [None, "b"]
