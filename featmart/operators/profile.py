@@ -96,11 +96,24 @@ def prune_columns(df: DataFrame, cols: Sequence[str], max_null_rate: float = 0.8
     return keep
 
 
-def type_census(df: DataFrame) -> DataFrame:
-    """AGG-20: number of columns per Spark type (schema metadata, no data scan)."""
-    from collections import Counter
-    counts = Counter(f.dataType.simpleString() for f in df.schema.fields)
-    return df.sparkSession.createDataFrame(sorted(counts.items()), "dtype string, n_columns long")
+def type_counts(df: DataFrame) -> DataFrame:
+    """AGG-20: columns and non-NULL values per kind of type (``whole``, ``real``, ``text``, ``time``, ``other``), in
+    one aggregate."""
+    def kind(t: T.DataType) -> str:
+        if isinstance(t, T.IntegralType):
+            return "whole"
+        if isinstance(t, T.NumericType):
+            return "real"
+        if isinstance(t, T.StringType):
+            return "text"
+        return "time" if isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)) else "other"
+
+    kinds: dict[str, list[str]] = {}
+    for f in df.schema.fields:
+        kinds.setdefault(kind(f.dataType), []).append(f.name)
+    one = df.agg(*[sum((F.count(c) for c in cols[1:]), F.count(cols[0])).alias(k) for k, cols in kinds.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.lit(len(cols)).cast("bigint").alias("n_columns"),
+                                                   F.col(k).alias("n_values")) for k, cols in kinds.items()])).alias("s")).select("s.*")
 
 
 def mode_exprs(cols: Sequence[str]) -> list:

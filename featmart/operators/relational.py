@@ -157,6 +157,12 @@ def left_mart(base: DataFrame, parts: Mapping[str, DataFrame], key: str | Sequen
     return out
 
 
+def join_on_index(df: DataFrame, other: DataFrame, key: str, index: str) -> DataFrame:
+    """JN-2: left join of column ``key`` to the other table's index column ``index``, which is not kept."""
+    other = other.withColumnRenamed(index, "__index")
+    return df.join(other, df[key] == other["__index"], "left").drop("__index")
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast hint only after counting the rows; above the bound the plain (shuffled) join is used.
 

@@ -173,3 +173,25 @@ def str345_keyword_rules(spark, base):
     p = tables(spark, base).pages.select("page_id", raw.alias("raw"))
     return p.select("page_id", F.coalesce(F.lower("raw"), F.lit("nan")).alias("x"), kw.browser_family("raw").alias("browser"),
                     kw.adcontent_group("raw").alias("adcontent"), kw.source_group("raw").alias("source"))
+
+
+# ---- joins to an index, type census -------------------------------------------------------------
+@query("jn02_index_join", """
+SELECT s_suppkey, n_lines, round(quantity, 4) AS quantity FROM supplier LEFT JOIN (
+  SELECT l_suppkey, count(*) AS n_lines, sum(l_quantity) AS quantity FROM lineitem GROUP BY l_suppkey) ON s_suppkey = l_suppkey
+""", ("JN-2", "JN-1"))
+def jn02_index_join(spark, base):
+    """A key column joined to another table's index: the grouped table is named by its group key, not by the column."""
+    t = tables(spark, base)
+    grouped = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n_lines"), F.round(F.sum("l_quantity"), 4).alias("quantity"))
+    return rel.join_on_index(t.supplier.select("s_suppkey"), grouped, "s_suppkey", "l_suppkey")
+
+
+@query("agg20_type_census", """
+SELECT kind, count(*) AS n_columns, CAST(sum(n) AS BIGINT) AS n_values FROM (
+  SELECT 'whole' AS kind, count(o_orderkey) AS n FROM orders UNION ALL SELECT 'whole', count(o_custkey) FROM orders
+  UNION ALL SELECT 'text', count(o_orderstatus) FROM orders UNION ALL SELECT 'real', count(o_totalprice) FROM orders
+  UNION ALL SELECT 'time', count(o_orderdate) FROM orders UNION ALL SELECT 'text', count(o_orderpriority) FROM orders) GROUP BY kind
+""", ("AGG-20",))
+def agg20_type_census(spark, base):
+    return prof.type_counts(tables(spark, base).orders)
