@@ -98,15 +98,23 @@ def frequency_encode(df: DataFrame, col: str, name: str | None = None) -> DataFr
     return category_join(df, freq, col)
 
 
-def target_mean_fit(df: DataFrame, col: str, target: str, alpha: float = 5.0,
-                    global_mean: float | None = None) -> tuple[DataFrame, float]:
+def _target(target: str, null_target: str) -> Column:
+    """Q17: rows without a target count not at all (``ignore``) or as zeros (``zero``)."""
+    if null_target not in ("ignore", "zero"):
+        raise ValueError(f"null_target {null_target!r}")
+    return F.coalesce(F.col(target), F.lit(0.0)) if null_target == "zero" else F.col(target)
+
+
+def target_mean_fit(df: DataFrame, col: str, target: str, alpha: float = 5.0, global_mean: float | None = None,
+                    null_target: str = "ignore") -> tuple[DataFrame, float]:
     """ENC-8 fit: ``(value, enc)`` with ``enc = (mean*n + global*alpha) / (n + alpha)`` over non-NULL
     targets; categories whose targets are all NULL get NULL (pandas ``mean`` of nothing)."""
+    y = _target(target, null_target)
     if global_mean is None:
-        global_mean = df.agg(F.avg(target)).first()[0]
+        global_mean = df.agg(F.avg(y)).first()[0]
     g = F.lit(global_mean)
     stats = (df.where(F.col(col).isNotNull()).groupBy(col)
-             .agg(F.count(target).alias("__n"), F.sum(target).alias("__s")))
+             .agg(F.count(y).alias("__n"), F.sum(y).alias("__s")))
     enc = F.when(F.col("__n") > 0, (F.col("__s") + g * alpha) / (F.col("__n") + alpha))
     return stats.select(col, enc.alias("enc")), global_mean
 
@@ -117,7 +125,7 @@ def target_mean_apply(df: DataFrame, params: DataFrame, col: str, name: str) ->
 
 
 def target_mean_oof(df: DataFrame, col: str, target: str, fold: str, alpha: float = 5.0,
-                    global_mean: float | None = None, name: str | None = None) -> DataFrame:
+                    global_mean: float | None = None, name: str | None = None, null_target: str = "ignore") -> DataFrame:
     """ENC-9: out-of-fold smoothed target mean for every training row, in one pass.
 
     For a row in fold f the statistics come from the other folds:
@@ -125,11 +133,12 @@ def target_mean_oof(df: DataFrame, col: str, target: str, fold: str, alpha: floa
     targets per category and per (category, fold), g the global mean of the whole training table.
     A category absent from the other folds yields g, which equals the reference's ``fillna(g)``.
     """
+    y = _target(target, null_target)
     if global_mean is None:
-        global_mean = df.agg(F.avg(target)).first()[0]
+        global_mean = df.agg(F.avg(y)).first()[0]
     g = F.lit(global_mean)
     per_cf = (df.where(F.col(col).isNotNull()).groupBy(col, fold)
-              .agg(F.count(target).alias("__ncf"), F.coalesce(F.sum(target), F.lit(0.0)).alias("__scf")))
+              .agg(F.count(y).alias("__ncf"), F.coalesce(F.sum(y), F.lit(0.0)).alias("__scf")))
     w = Window.partitionBy(col)  # over the (category, fold) table: at most k rows per category
     per_cf = per_cf.select(col, fold, "__ncf", "__scf", F.sum("__ncf").over(w).alias("__nc"),
                            F.sum("__scf").over(w).alias("__sc"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -116,9 +116,36 @@ def type_counts(df: DataFrame) -> DataFrame:
                                                    F.col(k).alias("n_values")) for k, cols in kinds.items()])).alias("s")).select("s.*")
 
 
-def mode_exprs(cols: Sequence[str]) -> list:
-    """AGG-21: most frequent value per column; ties -> smallest value."""
-    return [F.mode(F.col(c), deterministic=True).alias(f"{c}_mode") for c in cols]
+def group_modes(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """AGG-21: most frequent non-NULL value of each column per group (ties: smallest), as ``<col>_mode``.
+
+    From counts of ``(keys, value)``: no buffer holds the distinct values of a group."""
+    out = df.select(*keys).distinct()
+    for c in cols:
+        n = df.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(F.count(F.lit(1)).alias("__n"))
+        best = n.groupBy(*keys).agg(F.min(F.struct((-F.col("__n")).alias("n"), F.col(c).alias("v")))["v"].alias(f"{c}_mode"))
+        out = out.join(best, list(keys), "left")
+    return out
+
+
+def text_modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    """Most frequent non-NULL value of text columns (ties: smallest), one job for all of them."""
+    long = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("v")) for c in cols])).alias("s")).select("s.*")
+    n = long.where("v is not null").groupBy("c", "v").agg(F.count(F.lit(1)).alias("n"))
+    best = n.groupBy("c").agg(F.min(F.struct((-F.col("n")).alias("n"), "v"))["v"].alias("v"))
+    return {r["c"]: r["v"] for r in best.collect()}  # one row per column
+
+
+def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFrame:
+    """AGG-5: exact median per group, from counts of ``(keys, value)`` and their running sums."""
+    n = df.select(*keys, value.cast("double").alias("__v")).where("__v is not null").groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys)
+    upto, total = F.sum("__n").over(w.orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)), F.sum("__n").over(w)
+    ranked = n.select(*keys, "__v", upto.alias("__to"), (upto - F.col("__n")).alias("__from"), total.alias("__all"))
+    def holds(rank):
+        return (F.col("__from") < rank) & (rank <= F.col("__to"))
+    low, high = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
+    return ranked.groupBy(*keys).agg(((F.max(F.when(holds(low), F.col("__v"))) + F.max(F.when(holds(high), F.col("__v")))) / 2).alias(name))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -162,13 +189,13 @@ def equal_width_histogram(df: DataFrame, col: str, bins: int, lo: float | None =
 
 def impute_mean_mode(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """NUL-2: fill numeric NULLs with the column mean, text NULLs with the column mode (one
-    statistics aggregate; its single row is the parameter set)."""
+    aggregate of the means, one of the value counts)."""
     num = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in exclude]
     txt = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in exclude]
     if not num and not txt:
         return df
-    row = df.agg(*[F.avg(c).alias(c) for c in num], *[F.mode(c, deterministic=True).alias(c) for c in txt]).first()
-    fills = {c: row[c] for c in num + txt if row[c] is not None}
+    means = df.agg(*[F.avg(c).alias(c) for c in num]).first().asDict() if num else {}
+    fills = {**{c: v for c, v in means.items() if v is not None}, **(text_modes(df, txt) if txt else {})}
     out = df
     for c, v in fills.items():
         # a mean of integers is no integer: filled numeric columns become double

@@ -99,8 +99,7 @@ FROM r JOIN rb ON r.c_nationkey = rb.c_nationkey AND rb.rn = 1 WHERE r.rn = 1
 """, ("AGG-21",))
 def agg21_mode(spark, base):
     c = tables(spark, base).customer.withColumn("acctbal_k", F.floor(F.col("c_acctbal") / 1000).cast("bigint"))
-    return c.groupBy("c_nationkey").agg(F.mode("c_mktsegment", deterministic=True).alias("c_mktsegment_mode"),
-                                        F.mode("acctbal_k", deterministic=True).alias("acctbal_k_mode"))
+    return prof.group_modes(c, ["c_nationkey"], ["c_mktsegment", "acctbal_k"])
 
 
 _CORR_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -13,6 +13,7 @@ from featmart.functions.scalar import (cross, epoch_to_ts, floor_div, hour_of, i
 from featmart.operators import encode as enc
 from featmart.operators import relational as rel
 from featmart.operators import windows as win
+from featmart.operators.profile import group_median
 from featmart.operators.split import group_kfold, kfold
 from featmart.plans.registry import query, rounded
 from featmart.sources import tables
@@ -71,14 +72,15 @@ def _user_agg(e, sum_of_logs: bool):
     k = json_number("props", "k")
     rev = F.when(F.col("event_type") == "purchase", F.col("value"))
     revenue = F.sum(F.log1p(rev)) if sum_of_logs else F.log1p(F.sum(rev))
-    return e.groupBy("user_id").agg(
+    stats = e.groupBy("user_id").agg(
         F.count(F.lit(1)).alias("n_events"),
         F.coalesce(revenue, F.lit(0.0)).alias("revenue_log"),
-        F.avg(k).alias("k_mean"), F.median(k).alias("k_median"), F.var_samp(k).alias("k_var"),
+        F.avg(k).alias("k_mean"), F.var_samp(k).alias("k_var"),
         F.stddev_samp("value").alias("value_std"), F.max(k).alias("k_max"),
         F.floor((ts_micros(F.max("ts")) - ts_micros(F.min("ts"))) / F.lit(86_400_000_000)).cast("bigint")
         .alias("span_days"),
         F.count_distinct(F.to_date("ts")).alias("n_days"))
+    return stats.join(group_median(e, ["user_id"], k, "k_median"), "user_id", "left")
 
 
 USER_AGG_SQL = """

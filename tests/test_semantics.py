@@ -258,3 +258,18 @@ def test_lag_search_regroups_colliding_hashes(spark, monkeypatch):
     assert want
     monkeypatch.setattr(lk.F, "xxhash64", lambda *c: F.lit(0).cast("long"))
     assert sorted(map(tuple, lk.lag_matches(df, "id", cols).collect())) == want
+
+
+def test_group_median_and_mode(spark):
+    from featmart.operators.profile import group_median, group_modes
+    rows = [("a", 1.0, "x"), ("a", 5.0, "x"), ("a", 2.0, "y"), ("a", 2.0, None), ("b", 7.0, "q"), ("b", 8.0, "p"), ("c", None, None)]
+    df = spark.createDataFrame(rows, "k string, v double, s string")
+    assert {r["k"]: r["m"] for r in group_median(df, ["k"], F.col("v"), "m").collect()} == {"a": 2.0, "b": 7.5}
+    assert {r["k"]: r["s_mode"] for r in group_modes(df, ["k"], ["s"]).collect()} == {"a": "x", "b": "p", "c": None}
+
+
+def test_null_targets_ignored_or_zero(spark):
+    df = spark.createDataFrame([("a", 4.0), ("a", None), ("b", 2.0)], "c string, y double")
+    ignore = {r["c"]: r["enc"] for r in enc.target_mean_fit(df, "c", "y", alpha=0.0)[0].collect()}
+    zero = {r["c"]: r["enc"] for r in enc.target_mean_fit(df, "c", "y", alpha=0.0, null_target="zero")[0].collect()}
+    assert ignore == {"a": 4.0, "b": 2.0} and zero == {"a": 2.0, "b": 2.0}
