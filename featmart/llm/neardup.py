@@ -9,14 +9,15 @@ in a coordinate with probability equal to their similarity. Darts are generated
 (doubling weight and time intervals, a Poisson number in each), in order of time, until every
 coordinate of a text is filled, which takes about ``k log k`` darts whatever the text's length.
 
-Links: texts that agree in all rows of one of ``bands`` bands are candidates. Exact copies are first
-folded into one representative. In each band bucket every text is compared with the bucket's first
-text; where a bucket then still holds several components, all of its texts outside the largest one
-are compared with all of the others. So no pair inside one component is ever listed, and no link
-between components is missed. Every candidate is verified by the exact similarity.
+Links: exact copies are first folded into one representative. Texts that agree in all rows of one of
+``bands`` bands are candidates; each bucket is joined to its first text, and the components of these
+joins are *families*. Inside a family, texts that no link joins yet are compared by the exact
+similarity and every new link is kept, so that no link between components is missed and none inside
+one is listed: a family of ``n`` texts gives at most ``n - 1`` links from a group.
 
-Bounds: a block of texts at a time inside a task; all groups are joined and aggregated by Spark, no
-group is gathered. Chance of missing a pair of similarity 0.8 with 20 bands of 4 rows: 3e-5.
+Bounds: a block of texts at a time inside a task. A family of more than ``FAMILY`` texts is cut into
+parts by a hash, and each two parts meet in a group of their own, so no task has more than two parts.
+Chance of missing a pair of similarity 0.8 with 36 bands of 6 rows: 2e-5.
 
 Defined edge cases: null, empty and wordless texts are copies of each other; repeated rows are
 copies; a null id stays null and never names a class that has another id; an empty table gives no rows.
@@ -38,8 +39,10 @@ from featmart.llm.common import (LOWER, NON_WORD, blocks, gram_hash, id_text, in
 
 SHINGLE = 5
 SIMILARITY = 0.8
-BANDS = 20
-ROWS = 4
+BANDS = 36
+ROWS = 6
+FAMILY = 4096  # texts in one part of a family
+DENSE = 32  # runs of at least so many texts of a group are compared as bits
 FIRST_TIME = 1 / 64  # end of the first time interval; later ones double
 
 _cdf: dict[float, np.ndarray] = {}
@@ -117,8 +120,8 @@ def _shingles(block, n: int):
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Stored: ``row`` (unique), ``doc_id``, ``copy`` (hash of the word sequence), ``size`` (number of
-    runs), ``buckets`` (a hash for each band), ``signature`` and ``runs`` (sorted 32-bit hashes of
-    (run, occurrence), whose plain intersection is the weighted one)."""
+    runs), ``buckets`` (a hash for each band) and ``runs`` (sorted 32-bit hashes of (run, occurrence),
+    whose plain intersection is the weighted one)."""
     k = bands * rows
 
     def run(batches):
@@ -142,13 +145,12 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHI
                 pa.array(base + number + np.arange(len(b))), b.rows.column(0), pa.array(copies, pa.binary()),
                 pa.array(size.astype(np.int64)),
                 pa.array([x if s else None for x, s in zip(keys, size)], pa.list_(pa.int64())),
-                pa.array([x.tobytes() for x in (sig & np.uint64(0xFFFFFFFF)).astype("<u4")], pa.binary()),
                 pa.array([np.sort(runs[e - s:e]).tobytes() for s, e in zip(size, last)], pa.binary()),
-            ], ["row", "doc_id", "copy", "size", "buckets", "signature", "runs"])
+            ], ["row", "doc_id", "copy", "size", "buckets", "runs"])
             number += len(b)
 
     return stored(id_text(docs, id_col, text_col).mapInArrow(
-        run, "row long, doc_id long, copy binary, size long, buckets array<long>, signature binary, runs binary"), "sketches")
+        run, "row long, doc_id long, copy binary, size long, buckets array<long>, runs binary"), "sketches")
 
 
 def gram_hash_rows(values: np.ndarray) -> np.ndarray:
@@ -159,27 +161,50 @@ def gram_hash_rows(values: np.ndarray) -> np.ndarray:
     return h
 
 
-def _similar(pairs: DataFrame, table: DataFrame, column: str, least: float, exact: bool) -> DataFrame:
-    """Pairs ``(a, b)`` whose ``column`` blobs agree enough: share of equal signature places, or the
-    exact similarity of run sets."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    blob = stored(table.select("row", column).join(used, "row", "left_semi"), "blobs")
-    both = (pairs.join(blob.select(F.col("row").alias("a"), F.col(column).alias("x")), "a")
-            .join(blob.select(F.col("row").alias("b"), F.col(column).alias("y")), "b").select("a", "b", "x", "y"))
-
-    def keep(batches):
-        for batch in batches:
-            ok = np.zeros(batch.num_rows, dtype=bool)
-            for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                p, q = (np.frombuffer(v.as_buffer(), "<u4") for v in (x, y))
-                if exact:
-                    both_have = len(np.intersect1d(p, q))
-                    ok[i] = both_have >= least * (len(p) + len(q) - both_have) - 1e-9
-                else:
-                    ok[i] = (p == q).mean() >= least
-            yield batch.select([0, 1]).filter(pa.array(ok))
-
-    return both.mapInArrow(keep, "a long, b long")
+def _family_links(similarity: float):
+    """Links between the texts of one group ``(row, runs)``, as few as join what they join."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.column("row").to_numpy()
+        runs = [np.unique(np.frombuffer(x.as_buffer(), "<u4")) for x in table.column("runs")]
+        size = np.array([len(x) for x in runs])
+        order = np.lexsort((rows, size))
+        rows, size, runs = rows[order], size[order], [runs[i] for i in order]
+        n = len(rows)
+        uniq, place, df = np.unique(np.concatenate(runs), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(n), size)
+        # runs of many texts: one bit for each; runs of few: lists of their texts
+        column = np.cumsum(df >= DENSE) - 1
+        dense = df[place] >= DENSE
+        bits = np.zeros((n, int(column[-1]) // 64 + 1 if n else 1), dtype=np.uint64)
+        at = column[place[dense]]
+        np.bitwise_or.at(bits, (owner[dense], at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+        few = ~dense & (df[place] > 1)
+        by_run = np.argsort(place[few], kind="stable")
+        listed, run_of = owner[few][by_run], place[few]
+        starts = np.searchsorted(run_of[by_run], np.arange(len(uniq) + 1))
+        first = np.searchsorted(owner[few], np.arange(n + 1))
+        part = np.arange(n)
+        out = []
+        last = np.searchsorted(size, size / similarity + 1e-9, side="right")  # longer ones are too long
+        for i in range(n):
+            js = np.arange(i + 1, last[i])
+            js = js[part[js] != part[i]]
+            if not len(js):
+                continue
+            common = np.bitwise_count(bits[js] & bits[i]).sum(axis=1, dtype=np.int64)
+            mine = run_of[first[i]:first[i + 1]]
+            if len(mine):
+                length = starts[mine + 1] - starts[mine]
+                inner = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+                common += np.bincount(listed[np.repeat(starts[mine], length) + inner], minlength=n)[js]
+            for j in js[common >= similarity * (size[i] + size[js] - common) - 1e-9]:
+                if part[j] != part[i]:
+                    out.append((rows[i], rows[j]))
+                    part[part == part[j]] = part[i]
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+
+    return run
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -208,40 +233,21 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")) if label is None else label
 
 
-def links(sketch: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
-    """``(texts, label)``: the representatives ``(row, copy, size)`` of exact copies, and
-    ``(node, label)`` for the representatives that have a link."""
-    texts = stored(sketch.groupBy("copy").agg(F.min("row").alias("row"), F.first("size").alias("size"),
-                                              F.first("buckets").alias("buckets")), "texts")
-    member = texts.select("row", "size", F.explode("buckets").alias("bucket"))
-    groups = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min(F.struct("row", "size")).alias("head")).where("n > 1")
-    member = stored(member.join(groups, "bucket"), "buckets")
-
-    def fits(x: str, y: str):  # the similarity is at most the ratio of the sizes
-        return F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9
-
-    tried = stored(member.where(F.col("row") != F.col("head.row")).where(fits("size", "head.size"))
-                   .select(F.col("head.row").alias("a"), F.col("row").alias("b")).distinct(), "pairs")
-    edges = stored(_similar(tried, sketch, "runs", similarity, True), "links")
-    label = components(edges)
-    # buckets of three or more that still hold several components
-    named = stored(member.where("n > 2").join(label.withColumnRenamed("node", "row"), "row", "left").select(
-        "bucket", "row", "size", F.coalesce("label", "row").alias("part")), "named")
-    parts = named.groupBy("bucket", "part").agg(F.count("*").alias("n"))
-    main = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "part"))["part"].alias("main")).where("parts > 1")
-    open_ = named.join(main, "bucket")
-    left = open_.where("part <> main").select("bucket", F.col("row").alias("r1"), F.col("size").alias("s1"), F.col("part").alias("p1"))
-    right = open_.select("bucket", F.col("row").alias("r2"), F.col("size").alias("s2"), F.col("part").alias("p2"), "main")
-    more = (left.join(right, "bucket").where("p1 <> p2 and (p2 = main or r1 < r2)").where(fits("s1", "s2"))
-            .select(F.least("r1", "r2").alias("a"), F.greatest("r1", "r2").alias("b")).distinct())
-    more = stored(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-    if not more.isEmpty():
-        # five standard deviations below the wanted share of equal places
-        k = bands * rows
-        rough = max(0.0, similarity - 5 * math.sqrt(similarity * (1 - similarity) / k))
-        near = stored(_similar(more, sketch, "signature", rough, False), "pairs")
-        label = components(edges.unionByName(_similar(near, sketch, "runs", similarity, True)))
-    return texts, label
+def links(sketch: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """``(texts, label)``: the representatives ``(row, copy)`` of exact copies, and ``(node, label)``
+    for the representatives that have a link."""
+    texts = stored(sketch.groupBy("copy").agg(F.min("row").alias("row"), F.first("buckets").alias("buckets")), "texts")
+    member = texts.select("row", F.explode("buckets").alias("bucket"))
+    heads = member.groupBy("bucket").agg(F.count("*").alias("n"), F.min("row").alias("head")).where("n > 1")
+    family = components(member.join(heads, "bucket").select(F.col("head").alias("a"), F.col("row").alias("b")))
+    parts = family.groupBy("label").agg(F.ceil(F.count("*") / FAMILY).cast("int").alias("parts"))
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    other = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: i != own))
+    spread = (family.join(parts, "label").select(F.col("node").alias("row"), "label", own.alias("own"), F.explode(other).alias("other"))
+              .select("row", "label", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
+    runs = sketch.select("row", "runs").join(spread, "row")
+    found = runs.groupBy("label", "x", "y").applyInArrow(_family_links(similarity), "a long, b long")
+    return texts.select("row", "copy"), components(found)
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
@@ -249,7 +255,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     """One row per input row: ``doc_id``, ``class_id`` (least id of its class), ``copy_id`` (least id
     of its exact copies) and ``first`` (true for one row of each class)."""
     sketch = sketches(docs, bands, rows, id_col=id_col, text_col=text_col)
-    texts, label = links(sketch, similarity, bands, rows)
+    texts, label = links(sketch, similarity)
     ids = sketch.groupBy("copy").agg(F.min("doc_id").alias("copy_id"))
     classes = (texts.select("copy", "row").join(label.withColumnRenamed("node", "row"), "row", "left")
                .select("copy", F.coalesce("label", "row").alias("label")).join(ids, "copy"))
