@@ -245,7 +245,8 @@ def links(sketch: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
     other = F.when(F.col("parts") == 1, F.array(F.lit(0))).otherwise(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: i != own))
     spread = (family.join(parts, "label").select(F.col("node").alias("row"), "label", own.alias("own"), F.explode(other).alias("other"))
               .select("row", "label", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
-    runs = sketch.select("row", "runs").join(spread, "row")
+    # one plan at every size: the families grow with the corpus, so they are never the side to broadcast
+    runs = sketch.select("row", "runs").join(spread.hint("merge"), "row")
     found = runs.groupBy("label", "x", "y").applyInArrow(_family_links(similarity), "a long, b long")
     return texts.select("row", "copy"), components(found)
 
