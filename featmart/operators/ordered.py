@@ -41,6 +41,35 @@ def prefix_sums(df: DataFrame, order_cols: Sequence[str], value_cols: Sequence[s
     return out.select(*df.columns, *[r.alias(f"cum_{v}") for r, v in zip(res, value_cols)])
 
 
+def grouped_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str,
+                       size_name: str | None = None, num_buckets: int | None = None) -> DataFrame:
+    """1-based row number within ``keys`` in ``order`` (total within a group), and optionally the group's size.
+
+    Groups are cut into ordered buckets, so a group that holds a third of the rows is numbered by many
+    tasks; the rows before a bucket come from a count with one row for each group and bucket, which is
+    joined on the keys the rows are already partitioned by."""
+    keys = list(keys)
+    s = with_bucket(df, [*keys, *order], buckets=num_buckets)
+    part = [*keys, "__b"]
+    counts = s.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    w = Window.partitionBy(*keys)
+    shift = counts.select(*part, (F.sum("__n").over(w.orderBy("__b")) - F.col("__n")).alias("__off"), F.sum("__n").over(w).alias("__all"))
+    out = s.withColumn("__local", F.row_number().over(Window.partitionBy(*part).orderBy(*order)))
+    out = null_safe_join(out, shift, part)
+    return out.select(*df.columns, (F.col("__local") + F.col("__off")).alias(name),
+                      *([F.col("__all").alias(size_name)] if size_name else []))
+
+
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where NULL equals NULL; the right side's keys are not kept."""
+    other = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(other[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(other, cond).drop(*[f"__r_{k}" for k in keys])
+
+
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
     """Exact ``percentile_cont`` values of ``col`` (NULLs ignored) for each probability.
 

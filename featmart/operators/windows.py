@@ -1,5 +1,6 @@
-"""Window features (WIN-*). Windows are partitioned by an entity key (visitor, user); none runs
-over an unpartitioned window. Whole-group statistics use aggregate + join (``group_stat_on_rows``)."""
+"""Window features (WIN-*). Windows run inside ordered buckets of an entity's rows (visitor, user), with a
+carry from the buckets before, so one entity may hold any share of the rows. Whole-group statistics use
+aggregate + join (``group_stat_on_rows``)."""
 
 from __future__ import annotations
 
@@ -9,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.functions.scalar import hours_between
+from featmart.operators.ordered import grouped_row_number, null_safe_join
 from featmart.operators.relational import group_stat_on_rows
 from featmart.operators.layout import with_bucket
 
@@ -19,19 +21,23 @@ def session_gaps(df: DataFrame, entity: str, ts: str, tiebreak: str) -> DataFram
     ``hours_since_prev = floor((ts - prev_ts)/1h)``, ``hours_to_next = floor((ts - next_ts)/1h)``
     (<= 0); NULL for the first / last row (Q11, Q12). Order: ``ts`` then ``tiebreak``.
     """
-    w = Window.partitionBy(entity).orderBy(ts, tiebreak)
-    return (df.withColumn("hours_since_prev", hours_between(F.col(ts), F.lag(ts).over(w)))
-              .withColumn("hours_to_next", hours_between(F.col(ts), F.lead(ts).over(w))))
+    s = with_bucket(df, [entity, ts, tiebreak])
+    part = [entity, "__b"]
+    edges = s.groupBy(*part).agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"))  # one row per entity and bucket
+    w = Window.partitionBy(entity).orderBy("__b")
+    edges = edges.select(*part, F.lag("__hi").over(w).alias("__before"), F.lead("__lo").over(w).alias("__after"))
+    inner = Window.partitionBy(*part).orderBy(ts, tiebreak)
+    s = null_safe_join(s.withColumns({"__prev": F.lag(ts).over(inner), "__next": F.lead(ts).over(inner)}), edges, part)
+    return s.select(*df.columns, hours_between(F.col(ts), F.coalesce("__prev", "__before")).alias("hours_since_prev"),
+                    hours_between(F.col(ts), F.coalesce("__next", "__after")).alias("hours_to_next"))
 
 
 def ordinal_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                      name: str = "ordinal", size_name: str = "group_size",
                      ratio_name: str | None = "ordinal_ratio") -> DataFrame:
     """WIN-2/3/4: 1-based running ordinal within ``keys`` (``cumcount()+1``), the group size, and
-    their ratio. The size comes from an aggregate + join, the ordinal from ``row_number``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    out = df.withColumn(name, F.row_number().over(w))
-    out = group_stat_on_rows(out, list(keys), [F.count(F.lit(1)).alias(size_name)])
+    their ratio, both from ordered buckets of the groups."""
+    out = grouped_row_number(df, keys, order, name, size_name)
     if ratio_name:
         out = out.withColumn(ratio_name, F.col(name) / F.col(size_name))
     return out
@@ -40,9 +46,15 @@ def ordinal_in_group(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def forward_fill(df: DataFrame, cols: Sequence[str], partition: Sequence[str],
                  order: Sequence[str]) -> DataFrame:
     """WIN-7 within groups: ``fillna(method='pad')`` per ``partition`` in ``order``."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(*[F.last(c, ignorenulls=True).over(w).alias(c) if c in cols else F.col(c)
-                       for c in df.columns])
+    s = with_bucket(df, [*partition, *order])
+    part = [*partition, "__b"]
+    lasts = s.groupBy(*part).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"__last_{c}") for c in cols])
+    before = Window.partitionBy(*partition).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = lasts.select(*part, *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__carry_{c}") for c in cols])
+    inner = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.select("*", *[F.last(c, ignorenulls=True).over(inner).alias(f"__fill_{c}") for c in cols])
+    out = null_safe_join(s, carry, part)
+    return out.select(*[F.coalesce(f"__fill_{c}", f"__carry_{c}").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def global_forward_fill(df: DataFrame, cols: Sequence[str], order: Sequence[str],
@@ -78,5 +90,5 @@ def partition_mean(df: DataFrame, keys: str | Sequence[str], col: str, name: str
 def ordered_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, name: str = "pos") -> DataFrame:
     """AGG-12 / WIN-9: every value with its 0-based position in its group, as ``(keys..., name, value)``.
     ``order`` must be total within a group. No list is built, so a group may have any length."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.select(*keys, (F.row_number().over(w) - 1).cast("bigint").alias(name), F.col(value).alias("value"))
+    numbered = grouped_row_number(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, name)
+    return numbered.select(*keys, (F.col(name) - 1).cast("bigint").alias(name), F.col(value).alias("value"))
