@@ -208,11 +208,11 @@ load AS (SELECT o_custkey, avg(x) AS credit_load FROM (
   SELECT o_custkey, max(l_extendedprice) / nullif(max(o_totalprice), 0) AS x FROM b GROUP BY o_custkey, o_orderkey, o_totalprice) GROUP BY o_custkey),
 dpd AS (SELECT o_custkey, avg(c) AS dpd_count FROM (
   SELECT o_custkey, count(*) FILTER (WHERE l_discount <> 0) AS c FROM b GROUP BY o_custkey, o_orderkey) GROUP BY o_custkey)
-SELECT o_custkey, count(DISTINCT o_orderkey) AS n_loans, round(count(*) / count(DISTINCT o_orderkey), 4) AS installments_per_loan,
-  round(any_value(credit_load), 4) AS credit_load, round(any_value(dpd_count), 4) AS dpd_count, round(avg(l_discount), 5) AS avg_dpd,
-  round(100.0 * count(*) FILTER (WHERE l_quantity < 10) / count(*), 4) AS pct_missed,
-  round(100.0 * coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'R'), 0) / nullif(sum(l_extendedprice), 0), 4) AS cash_card_ratio,
-  round(100.0 * sum(l_extendedprice) / nullif(sum(l_quantity), 0), 2) AS drawings_ratio
+SELECT o_custkey, count(DISTINCT o_orderkey) AS n_loans, round(count(*) / count(DISTINCT o_orderkey) + 1e-9, 4) AS installments_per_loan,
+  round(any_value(credit_load) + 1e-9, 4) AS credit_load, round(any_value(dpd_count) + 1e-9, 4) AS dpd_count, round(avg(l_discount) + 1e-9, 5) AS avg_dpd,
+  round(100.0 * count(*) FILTER (WHERE l_quantity < 10) / count(*) + 1e-9, 4) AS pct_missed,
+  round(100.0 * coalesce(sum(l_extendedprice) FILTER (WHERE l_returnflag = 'R'), 0) / nullif(sum(l_extendedprice), 0) + 1e-9, 4) AS cash_card_ratio,
+  round(100.0 * sum(l_extendedprice) / nullif(sum(l_quantity), 0) + 1e-9, 2) AS drawings_ratio
 FROM b JOIN load USING (o_custkey) JOIN dpd USING (o_custkey) GROUP BY o_custkey
 """, ("AGG-25", "AGG-6", "AGG-11", "PRJ-5"))
 def agg25_card_features(spark, base):
@@ -226,13 +226,16 @@ def agg25_card_features(spark, base):
         F.sum("l_discount").alias("due"), F.count("l_discount").alias("n_discount"), F.count_if(F.col("l_quantity") < 10).alias("n_missed"),
         F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_extendedprice"))).alias("cash"),
         F.sum("l_extendedprice").alias("amount"), F.sum("l_quantity").alias("times"))
+    def off(x, decimals):  # off rounding ties, as in the SQL
+        return F.round(x + 1e-9, decimals)
+
     loans = t.orders.select("o_custkey", "o_orderkey", "o_totalprice").join(per_order, "o_orderkey")
     out = loans.groupBy("o_custkey").agg(
-        F.count(F.lit(1)).alias("n_loans"), F.round(F.sum("n") / F.count(F.lit(1)), 4).alias("installments_per_loan"),
-        F.round(F.avg(safe_div("balance", "o_totalprice")), 4).alias("credit_load"), F.round(F.avg("n_due"), 4).alias("dpd_count"),
-        F.round(F.sum("due") / F.sum("n_discount"), 5).alias("avg_dpd"), F.round(100.0 * F.sum("n_missed") / F.sum("n"), 4).alias("pct_missed"),
-        F.round(100.0 * safe_div(F.coalesce(F.sum("cash"), F.lit(0.0)), F.sum("amount")), 4).alias("cash_card_ratio"),
-        F.round(100.0 * safe_div(F.sum("amount"), F.sum("times")), 2).alias("drawings_ratio"))
+        F.count(F.lit(1)).alias("n_loans"), off(F.sum("n") / F.count(F.lit(1)), 4).alias("installments_per_loan"),
+        off(F.avg(safe_div("balance", "o_totalprice")), 4).alias("credit_load"), off(F.avg("n_due"), 4).alias("dpd_count"),
+        off(F.sum("due") / F.sum("n_discount"), 5).alias("avg_dpd"), off(100.0 * F.sum("n_missed") / F.sum("n"), 4).alias("pct_missed"),
+        off(100.0 * safe_div(F.coalesce(F.sum("cash"), F.lit(0.0)), F.sum("amount")), 4).alias("cash_card_ratio"),
+        off(100.0 * safe_div(F.sum("amount"), F.sum("times")), 2).alias("drawings_ratio"))
     return out
 
 
