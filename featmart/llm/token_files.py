@@ -22,6 +22,7 @@ an id are ordered by their content; an empty table makes an empty data set.
 
 from __future__ import annotations
 
+import struct
 import uuid
 
 import numpy as np
@@ -38,37 +39,88 @@ END = 1
 MAX_BITS = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 18
-CACHE = 400_000
+CACHE = 150_000
 ROWS_AT_ONCE = 128
 
 _tokenizers: dict[str, "WordEncoder"] = {}
 
 
+def _byte_letters() -> dict[int, int]:
+    """How byte-level tokenizers write bytes as characters: printable Latin-1 as it is, the others, in
+    order, from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 0x100 + k for k, b in enumerate(hidden)}
+
+
 class WordEncoder:
-    """Ids of texts whose tokenizer drops white space: words between white space are encoded once."""
+    """Ids of texts whose tokenizer drops white space: words between white space are encoded once.
+
+    A word of Latin letters goes straight to the tokenizer's merges, lower-cased and as byte letters, which
+    is what its normalizer and splitter make of it; sentence marks at its end are a piece of their own.
+    All other words go through the whole tokenizer.
+    """
 
     _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")  # str.split takes these for white space, the tokenizer does not
+    _MARKS = ".,;:!?"
+    _LATIN = "\u0130"  # letters below lower-case alike everywhere and have no other normal form
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        self.tokenizer, self.cache = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+        self.cache, self.before = {}, {}
 
-    def _words(self, text: str) -> list[str]:
+    def _split(self, text: str) -> list[str]:
         if any(c in text for c in self._ODD):
             return [w for w in regex.split(r"\s+", text) if w]
         return text.split()
 
+    def _latin(self, word: str) -> bytes:
+        """Ids of a word of Latin letters."""
+        low = word.lower()
+        known = self.cache.get(low)
+        if known is None:
+            known = self.before.get(low)
+            if known is None:
+                letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
+                known = self._pack([t.id for t in self.merges(letters)])
+            self.cache[low] = known
+        return known
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.cache:
+            self.cache[marks] = self._pack(self.tokenizer.encode(marks, add_special_tokens=False).ids)
+        return self.cache[marks]
+
+    _FORMATS = [f"<{n}I" for n in range(64)]
+
+    def _pack(self, ids: list[int]) -> bytes:
+        n = len(ids)
+        return struct.pack(self._FORMATS[n] if n < 64 else f"<{n}I", *ids)
+
     def encode(self, texts: list[str], end: int | None) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text, then ``end``."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        words = [self._words(t) for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.cache})
-        for at in range(0, len(new), 1 << 14):
-            part = new[at:at + (1 << 14)]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self.cache[w] = np.array(e.ids, dtype="<u4").tobytes()
-        tail = b"" if end is None else np.array([end], dtype="<u4").tobytes()
+        if len(self.cache) > CACHE:  # words not met since the last time are forgotten
+            self.before, self.cache = self.cache, {}
+        words = [self._split(t) for t in texts]
+        cache, before, rest = self.cache, self.before, []
+        for w in set().union(*words).difference(cache):
+            known = before.get(w)
+            if known is None:
+                body = w.rstrip(self._MARKS)
+                if not body.isalpha() or not (body.isascii() or max(body) < self._LATIN):
+                    rest.append(w)
+                    continue
+                known = self._latin(body)
+                if len(body) < len(w):
+                    known += self._marks(w[len(body):])
+            cache[w] = known
+        for at in range(0, len(rest), 1 << 14):
+            part = rest[at:at + (1 << 14)]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.cache[w] = self._pack(e.ids)
+        tail = b"" if end is None else self._pack([end])
         return [b"".join(map(self.cache.__getitem__, ws)) + tail for ws in words]
 
 
@@ -111,13 +163,12 @@ def id_counts(encoded: DataFrame) -> DataFrame:
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for n, ids in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                c = np.bincount(_wide(ids, n))
-                if len(c) > len(total):
-                    c[:len(total)] += total
-                    total = c
-                else:
-                    total[:len(c)] += c
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                ids = [_wide(x, n) for n, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist())]
+                c = np.bincount(np.concatenate(ids), minlength=len(total))
+                c[:len(total)] += total
+                total = c
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "count"])
 
