@@ -45,8 +45,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: ``doc_id``, ``n_tokens``, ``ids`` and digests of the ids and of the decoded text."""
-    path = tokenizer_file(VOCABULARY)
-    both = bpe.decode(bpe.encode(docs, path), path)
+    both = bpe.encode(docs, tokenizer_file(VOCABULARY), round_trip=True)
     return both.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -8,7 +8,7 @@ what is there, and after an edit only the prefixes near it are computed anew.
 
 The vocabulary is a rank file (base64 token and rank on each line) at a path that every machine can
 read. Text is split by a pattern first; pieces are encoded separately and a task keeps the encodings
-of up to ``CACHE`` distinct pieces (a full cache is emptied, results do not depend on it).
+of up to twice ``CACHE`` distinct pieces (results do not depend on it).
 
 Defined edge cases: a null text is empty and has no tokens; repeated rows are encoded each; ids that
 the vocabulary does not have raise an error when decoded; an empty table gives an empty table.
@@ -17,6 +17,9 @@ the vocabulary does not have raise an error when decoded; an empty table gives a
 from __future__ import annotations
 
 import base64
+import struct
+from array import array
+from collections.abc import Iterable
 from itertools import islice
 
 import numpy as np
@@ -25,7 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 300_000
+CACHE = 100_000
+STEM = 6  # bytes of a piece whose prefix table is shared with other pieces
 LONG_TEXT = 1 << 20  # characters; longer texts are split piece by piece
 PIECES = 1 << 16
 #: The pattern that splits text before the merges (fixed value, public).
@@ -40,7 +44,10 @@ class Vocabulary:
             self.rank = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(None, f))}
         self.token = {r: t for t, r in self.rank.items()}
         self.longest = max(map(len, self.rank))
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self.reach: dict[bytes, int] = {}  # longest token by its last two bytes
+        for t in self.rank:
+            self.reach[t[-2:]] = max(len(t), self.reach.get(t[-2:], 1))
+        self.pairs: dict[int, bool] = {}  # by ``left << 32 | right``
         self._parts: dict[int, tuple[int, int] | None] = {}
 
     def merge(self, data: bytes, stop: int = 1) -> list[int]:
@@ -70,12 +77,12 @@ class Vocabulary:
         next of their own merges. The border is followed back in time: the later of the two tokens
         is taken apart, and ``limit`` is the rank up to which a merge over the border came first.
         """
-        key = (left, right)
-        known = self._pairs.get(key)
+        key = left << 32 | right
+        known = self.pairs.get(key)
         if known is None:
-            if len(self._pairs) >= 4 * CACHE:
-                self._pairs.clear()
-            known = self._pairs[key] = self._stay_apart(left, right)
+            if len(self.pairs) >= 2 * CACHE:
+                self.pairs.clear()
+            known = self.pairs[key] = self._stay_apart(left, right)
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -103,20 +110,35 @@ class PrefixTable:
         self.vocab, self.data, self.last = vocab, b"", [START]
         self.append(data)
 
-    def _fill(self, data: bytes, last: list[int], i: int) -> int:
-        """Valid last token of the prefix that ends at ``i``, from those of shorter prefixes."""
-        rank, compatible = self.vocab.rank.get, self.vocab.compatible
-        for j in range(max(0, i - self.vocab.longest), i):
-            t = rank(data[j:i])
-            if t is not None and (last[j] == START or compatible(last[j], t)):
-                return t
-        raise ValueError(f"byte {data[i - 1]} is not in the vocabulary")
+    def _extend(self, data: bytes, last: list[int], until: int) -> None:
+        """Add the valid last tokens of the prefixes of ``data`` that end at ``len(last)`` to ``until``."""
+        vocab = self.vocab
+        rank, known, reach = vocab.rank.get, vocab.pairs.get, vocab.reach.get
+        for i in range(len(last), until + 1):
+            for j in range(max(0, i - reach(data[i - 2:i] if i > 1 else data[:1], 1)), i):
+                t = rank(data[j:i])
+                if t is not None:
+                    before = last[j]
+                    fits = before == START or known(before << 32 | t)
+                    if fits is None:
+                        fits = vocab.compatible(before, t)
+                    if fits:
+                        last.append(t)
+                        break
+            else:
+                raise ValueError(f"byte {data[i - 1]} is not in the vocabulary")
 
     def append(self, data: bytes) -> None:
         """Add bytes at the end; nothing before them changes."""
-        begin, self.data = len(self.data) + 1, self.data + data
-        for i in range(begin, len(self.data) + 1):
-            self.last.append(self._fill(self.data, self.last, i))
+        self.data += data
+        self._extend(self.data, self.last, len(self.data))
+
+    @classmethod
+    def of(cls, vocab: Vocabulary, data: bytes, last: Iterable[int]) -> "PrefixTable":
+        """The table of ``data`` whose last tokens are already known."""
+        table = cls(vocab)
+        table.data, table.last = data, list(last)
+        return table
 
     def replace(self, start: int, end: int, data: bytes) -> int:
         """Put ``data`` in place of ``[start, end)``; returns how many prefixes were computed anew.
@@ -128,7 +150,7 @@ class PrefixTable:
         shift, reach = len(data) - (end - start), self.vocab.longest
         last, same, i = self.last[:start + 1], 0, start + 1
         while i <= len(new) and same < reach:
-            last.append(self._fill(new, last, i))
+            self._extend(new, last, i)
             behind = i >= start + len(data) + reach and i - shift >= end + reach
             same = same + 1 if behind and last[i] == self.last[i - shift] else 0
             i += 1
@@ -146,16 +168,20 @@ class PrefixTable:
 
 
 class _Memo(dict):
-    """A bounded memo of a function of one short string."""
+    """A bounded memo of a function of one short key. When it is full, the keys not used since it was
+    last full are forgotten."""
 
-    def __init__(self, make):
+    def __init__(self, make, size: int = CACHE):
         super().__init__()
-        self.make = make
+        self.make, self.size, self.before = make, size, {}
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= CACHE:
+    def __missing__(self, key):
+        if len(self) >= self.size:
+            self.before = dict(self)
             self.clear()
-        out = self.make(key)
+        out = self.before.pop(key, None)
+        if out is None:
+            out = self.make(key)
         if len(key) <= 64:
             self[key] = out
         return out
@@ -167,6 +193,7 @@ class Encoder:
     def __init__(self, vocab: Vocabulary, pattern: str = PATTERN):
         self.vocab, self.pattern = vocab, regex.compile(pattern)
         self.piece = _Memo(self._piece)
+        self.stem = _Memo(lambda data: array("i", PrefixTable(vocab, data).last), CACHE // 2)
         self.spaced = _Memo(lambda chunk: self._split(" " + chunk))
         # a space followed by a non-space begins a piece of the public pattern, whatever went before
         self.by_space = pattern == PATTERN
@@ -174,7 +201,12 @@ class Encoder:
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
         whole = self.vocab.rank.get(data)
-        return np.array(PrefixTable(self.vocab, data).tokens() if whole is None else [whole], dtype="<u4").tobytes()
+        if whole is not None:
+            return whole.to_bytes(4, "little")
+        table = PrefixTable.of(self.vocab, data[:STEM], self.stem[data[:STEM]])  # many pieces begin alike
+        table.append(data[STEM:])
+        ids = table.tokens()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _split(self, text: str) -> bytes:
         if len(text) <= LONG_TEXT:
@@ -245,8 +277,9 @@ def _passed(docs: DataFrame, drop: str) -> tuple[list[str], str]:
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text", pattern: str = PATTERN,
-           keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns of ``keep``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) of every row."""
+           keep: tuple[str, ...] = ("doc_id",), round_trip: bool = False) -> DataFrame:
+    """Columns of ``keep``, ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit) of every row, and with
+    ``round_trip`` also ``decoded``, the bytes that the ids stand for, from the same Python worker."""
     rows = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast("string").alias("__text"))
     names, schema = _passed(rows, "__text")
 
@@ -256,11 +289,12 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", pattern: str = PA
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 ids = [enc.encode(t or "") for t in part.column(len(names)).to_pylist()]
+                out = [pa.array([enc.decode(x) for x in ids], pa.binary())] if round_trip else []
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:-1], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                    [*names, "n_tokens", "ids"])
+                    [*part.columns[:-1], pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), *out],
+                    [*names, "n_tokens", "ids", *(["decoded"] if round_trip else [])])
 
-    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids binary")
+    return rows.mapInArrow(run, f"{schema}, n_tokens long, ids binary" + (", decoded binary" if round_trip else ""))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str = PATTERN) -> DataFrame:

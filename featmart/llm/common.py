@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from featmart.session import checkpoint_dir
 
 #: Bytes of text handled at once inside a task; a longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15

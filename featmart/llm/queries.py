@@ -54,8 +54,7 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_file("byte_bpe_multi_50k.tiktoken")
-    both = bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"), path), path)
+    both = bpe.encode(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"), round_trip=True)
     return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
