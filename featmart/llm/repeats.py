@@ -35,10 +35,10 @@ LENGTH = 200
 GRAM = 32
 SEGMENT_BYTES = 2 << 20
 SLICE = 1 << 20
-SORT_BYTES = 1 << 19  # text sorted at once
+SORT_BYTES = 1 << 18  # text sorted at once
 HOT = 1000
 PARTITION_ITEMS = 1 << 18
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 2 << 20
 ANCHORS, CONTENTS, WINDOWS = 0, 1, 2
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
@@ -220,13 +220,19 @@ def _window_hashes(s: Stretches, pick: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _parts(bits: int, hot: int):
-    """Stretches of a segment that have to be compared, packed by anchor group."""
+    """Stretches of a segment that have to be compared, packed by anchor group; and, with the bucket -1,
+    the distinct window hashes (as ``anchors``) and their counts (as ``contents``) of those with a
+    frequent anchor."""
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         out, total = [], answers(right.to_pylist())
         for row in left.to_pylist():
             s, _ = _load(row)
             known = _Known(s, total, hot)
+            uniq, count = np.unique(_window_hashes(s, _hot_once(s, known))[0], return_counts=True)
+            if len(uniq):
+                out.append({"bucket": -1, "segment": row["segment"], "n": len(uniq), "anchors": uniq.astype("<u8").tobytes(),
+                            "contents": count.astype("<u4").tobytes()})
             number = np.flatnonzero(known.open & ~known.hot)
             # one copy of a content from a segment
             number = number[np.unique(s.content[number], return_index=True)[1]]
@@ -354,32 +360,16 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = bits_for(n_bytes // 85, PARTITION_ITEMS)
     counted = stored(totals(texts, _stretch_items, bits), "totals")
     by_segment = counted.groupBy("segment")
-    parts = texts.groupBy("segment").cogroup(by_segment).applyInArrow(
-        _parts(group_bits := bits_for(n_bytes, GROUP_BYTES), hot), "bucket long, segment long, n long, n_bytes long, anchors binary, "
-        "contents binary, sizes binary, asks binary, numbers binary, text binary")
-    compared = parts.groupBy("bucket").applyInArrow(_compare, REPLY_SCHEMA)
-    frequent = _hot_totals(texts, counted, group_bits, hot)
+    bits = bits_for(n_bytes, GROUP_BYTES)
+    parts = stored(texts.groupBy("segment").cogroup(by_segment).applyInArrow(
+        _parts(bits, hot), "bucket long, segment long, n long, n_bytes long, anchors binary, "
+        "contents binary, sizes binary, asks binary, numbers binary, text binary"), "parts")
+    compared = parts.where("bucket >= 0").groupBy("bucket").applyInArrow(_compare, REPLY_SCHEMA)
+    frequent = totals(parts.where("bucket < 0").select("segment", "anchors", "contents"), _window_items, bits)
     known = stored(compared.unionByName(frequent), "compared")
     return texts.groupBy("segment").cogroup(counted.unionByName(known).groupBy("segment")).applyInArrow(
         _cut(hot), "doc_id long, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
 
 
-def _hot_totals(texts: DataFrame, counted: DataFrame, bits: int, hot: int) -> DataFrame:
-    """Counts of the windows of stretches with a frequent anchor, hash by hash."""
-
-    def windows(left: pa.Table, right: pa.Table) -> pa.Table:
-        total, out = answers(right.to_pylist()), []
-        for row in left.to_pylist():
-            s, _ = _load(row)
-            uniq, count = np.unique(_window_hashes(s, _hot_once(s, _Known(s, total, hot)))[0], return_counts=True)
-            if len(uniq):
-                out.append((row["segment"], len(uniq), uniq.astype("<u8").tobytes(), count.astype("<u4").tobytes()))
-        return pa.table({"segment": pa.array([r[0] for r in out], pa.int64()), "n": pa.array([r[1] for r in out], pa.int64()),
-                         "hashes": pa.array([r[2] for r in out], pa.binary()), "counts": pa.array([r[3] for r in out], pa.binary())})
-
-    def items(row: dict) -> Items:
-        yield WINDOWS, np.frombuffer(row["hashes"], "<u8"), np.frombuffer(row["counts"], "<u4")
-
-    asked = texts.groupBy("segment").cogroup(counted.groupBy("segment")).applyInArrow(
-        windows, "segment long, n long, hashes binary, counts binary")
-    return totals(asked, items, bits)
+def _window_items(row: dict) -> Items:
+    yield WINDOWS, np.frombuffer(row["anchors"], "<u8"), np.frombuffer(row["contents"], "<u4")
