@@ -274,7 +274,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     give one row; rows without an id cannot be told apart and stay."""
     out = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col=id_col, **options)
     kept = stored(out.where("first").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
-    stay = docs.join(kept, docs[id_col].cast("long") == kept["__kept"], "left_semi")
+    # the kept ids grow with the corpus: one plan at every size
+    stay = docs.join(kept.hint("merge"), docs[id_col].cast("long") == kept["__kept"], "left_semi")
     if not out.groupBy("doc_id").count().where("count > 1").isEmpty():
         stay = stay.dropDuplicates([id_col])
     return stay.unionByName(docs.where(F.col(id_col).isNull()))
