@@ -40,7 +40,7 @@ PATTERNS = {
 # Looser forms, by kind.
 LOOSE = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++\x20?[\[(]\x20?(?:at|AT)\x20?[\])]\x20?[A-Za-z0-9-]++"
-              r"(?:\x20?(?:\.|[\[(]\x20?(?:dot|DOT)\x20?[\])])\x20?[A-Za-z0-9-]++)++", "("),
+              r"(?:\x20?(?:\.|[\[(]\x20?(?:dot|DOT)\x20?[\])])\x20?[A-Za-z0-9-]++)++", ("(", "[")),
     "phone": (r"(?<![0-9+])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[.-][0-9]{4}(?![0-9])", None),
     "id": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-"),
     "iban": (r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){3,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])", None),

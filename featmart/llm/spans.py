@@ -7,6 +7,8 @@ offsets. Patterns are possessive or guarded so that Java's matcher neither recur
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,17 +30,21 @@ def _offsets(steps: Column) -> Column:
     return F.flatten(F.zip_with(pieces, running(sums, F.lit(0)), running))
 
 
-def find(df: DataFrame, text: str, patterns: dict[str, tuple[str, str | None]]) -> DataFrame:
+def find(df: DataFrame, text: str, patterns: dict[str, tuple[str, str | tuple[str, ...] | None]]) -> DataFrame:
     """``df`` with a column for each pattern: its leftmost non-overlapping matches as ``SPAN``.
 
-    ``patterns`` maps a column name to the pattern and a string that every match contains, or None.
+    ``patterns`` maps a column name to the pattern and a string that every match contains, strings of
+    which every match contains one, or None.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast("array<string>")
 
-    def hits(pattern: str, needle: str | None) -> Column:
+    def hits(pattern: str, needle: str | tuple[str, ...] | None) -> Column:
         got = F.regexp_extract_all(body, F.lit(pattern), F.lit(0))
-        return got if needle is None else F.when(F.contains(body, F.lit(needle)), got).otherwise(none)
+        if needle is None:
+            return got
+        some = [F.contains(body, F.lit(n)) for n in ((needle,) if isinstance(needle, str) else needle)]
+        return F.when(reduce(Column.__or__, some), got).otherwise(none)
 
     df = df.withColumns({f"__hit_{k}": hits(*p) for k, p in patterns.items()})
     df = df.withColumns({f"__gap_{k}": F.when(F.size(f"__hit_{k}") > 0, F.transform(

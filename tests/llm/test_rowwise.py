@@ -209,6 +209,15 @@ def test_personal_data_adds_loose_forms(spark):
     assert clean[103].startswith("mail [EMAIL], call [PHONE], version")
 
 
+def test_personal_data_in_square_brackets(spark):
+    rows = [(i, f"write to jane.doe{i} [at] example{i} [dot] com today") for i in range(40)]  # no round bracket anywhere
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for r in pii.personal_data(df).collect():
+        text = dict(rows)[r.doc_id]
+        assert [(s.kind, text[s.start:s.end]) for s in r.spans] == [("email", text[len("write to "):-len(" today")])]
+    assert {r.text for r in pii.redacted(df).collect()} == {"write to [EMAIL] today"}
+
+
 def test_span_operators_odd_rows(odd, none):
     weights = pii.fit(odd)
     for op, kinds in ((lambda d: pii.personal_data(d, weights), brute.PII), (secret_scan.secrets, brute.SECRETS)):
