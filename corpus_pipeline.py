@@ -2,7 +2,8 @@
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows that the stage before kept. All but
 the last return the columns of ``documents``; the last returns one row of token counts and digests per
-document. Documents are told apart by ``doc_id``.
+document. Rows are told apart by ``doc_id`` and ``text``, so rows without an id, or that share one, are
+each judged by their own text.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featmart.llm import bpe, decontaminate, neardup, pii, quality
-from featmart.llm.common import stored, tokenizer_file
+from featmart.llm.common import row_key, stored, tokenizer_file
 from featmart.sources.tables import read_table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,15 +28,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each class of near copies."""
+    """One document, that of the least id, of each class of near copies (and one of those without an id)."""
     return neardup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of which no notable share is benchmark text."""
-    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
+    rows = docs.withColumn("__row_key", row_key())
+    found = decontaminate.contamination(rows, read_table(spark, sf_dir, "benchmark"), id_col="__row_key")
     out = stored(found.where("contaminated").select(F.col("doc_id").alias("__out")).distinct(), "contaminated")
-    return docs.join(out, docs["doc_id"].eqNullSafe(out["__out"]), "left_anti")
+    return rows.join(out, rows["__row_key"] == out["__out"], "left_anti").drop("__row_key")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

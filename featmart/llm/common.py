@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featmart.session import checkpoint_dir
@@ -26,6 +26,12 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """64-bit hash of id and text, for rows that an id does not tell apart: only rows that repeat both
+    share it. A null text counts as empty."""
+    return F.xxhash64(F.col(f"`{id_col}`"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 

@@ -31,11 +31,11 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featmart.llm.common import (LOWER, NON_WORD, blocks, gram_hash, id_text, inside, mix64, prefix_hash,
-                                 range_hash, stored)
+                                 range_hash, row_key, stored)
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -118,11 +118,14 @@ def _shingles(block, n: int):
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE,
-             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
     """Stored: ``row`` (unique), ``doc_id``, ``copy`` (hash of the word sequence), ``size`` (number of
     runs), ``buckets`` (a hash for each band) and ``runs`` (sorted 32-bit hashes of (run, occurrence),
-    whose plain intersection is the weighted one)."""
+    whose plain intersection is the weighted one); and ``key``, if given (a long)."""
     k = bands * rows
+    read = id_text(docs, id_col, text_col) if key is None else docs.select(
+        F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"), key.alias("key"))
+    more = read.columns[2:]
 
     def run(batches):
         base, number = TaskContext.get().partitionId() << 36, 0
@@ -146,11 +149,12 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHI
                 pa.array(size.astype(np.int64)),
                 pa.array([x if s else None for x, s in zip(keys, size)], pa.list_(pa.int64())),
                 pa.array([np.sort(runs[e - s:e]).tobytes() for s, e in zip(size, last)], pa.binary()),
-            ], ["row", "doc_id", "copy", "size", "buckets", "runs"])
+                *b.rows.columns[2:],
+            ], ["row", "doc_id", "copy", "size", "buckets", "runs", *more])
             number += len(b)
 
-    return stored(id_text(docs, id_col, text_col).mapInArrow(
-        run, "row long, doc_id long, copy binary, size long, buckets array<long>, runs binary"), "sketches")
+    return stored(read.mapInArrow(run, "row long, doc_id long, copy binary, size long, buckets array<long>, runs binary"
+                                  + "".join(f", {c} long" for c in more)), "sketches")
 
 
 def gram_hash_rows(values: np.ndarray) -> np.ndarray:
@@ -252,10 +256,12 @@ def links(sketch: DataFrame, similarity: float = SIMILARITY) -> tuple[DataFrame,
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                    id_col: str = "doc_id", text_col: str = "text", key: Column | None = None) -> DataFrame:
     """One row per input row: ``doc_id``, ``class_id`` (least id of its class), ``copy_id`` (least id
-    of its exact copies) and ``first`` (true for one row of each class)."""
-    sketch = sketches(docs, bands, rows, id_col=id_col, text_col=text_col)
+    of its exact copies) and ``first`` (true for one row of each class); with a ``key`` of the rows,
+    also ``key`` and ``label`` (a number for each class)."""
+    sketch = sketches(docs, bands, rows, id_col=id_col, text_col=text_col, key=key)
+    keys = [] if key is None else ["key"]
     texts, label = links(sketch, similarity)
     ids = sketch.groupBy("copy").agg(F.min("doc_id").alias("copy_id"))
     classes = (texts.select("copy", "row").join(label.withColumnRenamed("node", "row"), "row", "left")
@@ -263,19 +269,24 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, bands: int
     classes = stored(classes, "classes")
     heads = classes.groupBy("label").agg(F.min("copy_id").alias("class_id"))
     named = classes.join(heads, "label").select("copy", "label", "copy_id", "class_id")
-    chosen = sketch.select("copy", "doc_id", "row").join(named, "copy")
+    chosen = sketch.select("copy", "doc_id", "row", *keys).join(named, "copy")
     first = stored(chosen, "members")
     head = first.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"].alias("row")).select("row", F.lit(True).alias("first"))
-    return first.join(head, "row", "left").select("doc_id", "class_id", "copy_id", F.coalesce("first", F.lit(False)).alias("first"))
-
-
-def keep_one(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without all but one document of each class. Rows of the same id are one document and
-    give one row; rows without an id cannot be told apart and stay."""
-    out = near_duplicates(docs.where(F.col(id_col).isNotNull()), id_col=id_col, **options)
-    kept = stored(out.where("first").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
-    # the kept ids grow with the corpus: one plan at every size
-    stay = docs.join(kept.hint("merge"), docs[id_col].cast("long") == kept["__kept"], "left_semi")
-    if not out.groupBy("doc_id").count().where("count > 1").isEmpty():
-        stay = stay.dropDuplicates([id_col])
-    return stay.unionByName(docs.where(F.col(id_col).isNull()))
+    return first.join(head, "row", "left").select("doc_id", "class_id", "copy_id", F.coalesce("first", F.lit(False)).alias("first"),
+                                                 *keys, *(["label"] if keys else []))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without all but one row of each class, that of the least id. Rows are told apart by id and
+    text: of rows that share an id each is judged by its own text. Rows without an id are compared with all
+    others, and one of those in a class stays, beside the one with an id."""
+    key = row_key(id_col, text_col)
+    out = near_duplicates(docs, id_col=id_col, text_col=text_col, key=key, **options)
+    best = out.groupBy("label", F.col("doc_id").isNull()).agg(F.min(F.struct("doc_id", "key"))["key"].alias("__kept"))
+    kept = stored(best.select("__kept"), "kept")
+    # the kept rows grow with the corpus: one plan at every size
+    rows = docs.withColumn("__row_key", key)
+    stay = rows.join(kept.hint("merge"), rows["__row_key"] == kept["__kept"], "left_semi")
+    if not out.groupBy("key").count().where("count > 1").isEmpty():
+        stay = stay.dropDuplicates(["__row_key"])
+    return stay.drop("__row_key")

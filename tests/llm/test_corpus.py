@@ -152,6 +152,16 @@ def test_near_duplicates_odd_rows(spark, odd, none):
     assert neardup.near_duplicates(none).count() == 0 and neardup.keep_one(none).count() == 0
 
 
+def test_keep_one_tells_rows_of_an_id_apart(spark):
+    rng = random.Random(8)
+    a, b, c, d = (_text(rng, 80) for _ in range(4))
+    rows = [(1, a), (5, a), (5, b), (5, b), (7, c), (None, d), (None, d), (None, d + " more"), (None, None), (None, "")]
+    got = [(r.doc_id, r.text) for r in neardup.keep_one(_frame(spark, rows)).collect()]
+    ids = [i for i, _ in got]
+    assert sorted(x for x in got if x[0]) == sorted([(1, a), (5, b), (7, c)])
+    assert ids.count(None) == 2 and sum(t in (d, d + " more") for _, t in got) == 1
+
+
 # ---- repeated bytes -----------------------------------------------------------------------------
 
 def test_suffix_array_and_common_prefixes():
@@ -339,6 +349,15 @@ def _contaminated(text, bench):
     return hit > 0 and 20 * hit >= n
 
 
+def test_decontamination_judges_rows_without_an_id(spark):
+    item = max((r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()), key=len)
+    clean = [(i, " ".join(f"own{i}x{k}" for k in range(40))) for i in range(3)]
+    rows = [(None, item), (None, clean[0][1]), (4, item), (4, clean[1][1]), (None, None), (6, clean[2][1])]
+    out = corpus_pipeline.decontamination(spark, _frame(spark, rows), SMALL)
+    assert out.columns == ["doc_id", "text"]
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted((r for r in rows if r[1] != item), key=str)
+
+
 def test_pipeline_odd_rows(spark, odd):
     docs = odd.withColumn("source", F.lit(None).cast("string"))
     for _, stage in corpus_pipeline.STAGES[:4]:
