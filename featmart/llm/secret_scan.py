@@ -5,8 +5,10 @@ digit. It belongs to the narrowest character class that holds all of it. A windo
 characters slides over it; the counts of the characters in the window change by the one that enters
 and the one that leaves, and with them the sum of ``n * log2(n)``, which gives the window's Shannon
 entropy. Windows at or above the threshold of the class are joined to spans. A candidate that an
-allow-list pattern matches is suppressed. Spans of the fixed forms always stay; entropy spans are
-added where they overlap none of them. Entropy is held in fixed point, so results are exact.
+allow-list pattern matches from end to end is suppressed. Allow words are judged for each part between
+``/`` and ``=``: windows that touch a part with such a word do not count, the others do. Spans of the
+fixed forms always stay; windows count where they overlap none of them. Entropy is held in fixed point,
+so results are exact.
 
 All of it uses Spark's own functions, in one pass without a shuffle.
 
@@ -18,11 +20,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featmart.llm.spans import apart, find, listing, packed_rows, tagged, unpacked
+from featmart.llm.spans import find, listing, packed_rows, tagged, unpacked
 
 BASE = ("assign", "access", "hex")
 WINDOW = 20
@@ -43,23 +46,25 @@ CLASSES = (
     ("entropy_lower", r"^[a-z0-9]+$", 3.7),
     ("entropy_base64", r"^[A-Za-z0-9+/_=-]+$", 3.8),
 )
-#: Candidates that match one of these are no secrets: placeholders, dates, repeats, separators.
+#: No secrets: parts of a candidate with a placeholder word; candidates that are dates, separators,
+#: repeats or numbers from end to end (patterns that begin with ``^`` look at the whole candidate).
 ALLOW = (
-    r"(?i)example|sample|placeholder|changeme|your[_-]|dummy|xxxx|test",
-    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}",
-    r"^[=_-]+|[=_-]{4,}",
-    r"^(.{1,4})\1{3,}",
+    r"(?i)(?<![a-z0-9])(example|sample|placeholder|changeme|your|dummy|x{4,}|test)(?![a-z0-9])",
+    r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([T_-][0-9Z-]*)?$",
+    r"^[=_-]+$",
+    r"^(.{1,4})\1{3,}.{0,3}$",
     r"^[0-9-]+$",
 )
+BLANK = " "  # stands where a candidate must not be looked at
 _FIXED = 1_000_000
 _N_LOG_N = [round(n * math.log2(n) * _FIXED) if n else 0 for n in range(WINDOW + 1)]
 
 
 def entropy_spans(value: Column, least_bits: Column) -> Column:
-    """Maximal unions of windows of ``value`` with at least ``least_bits`` of entropy, as
-    ``array<struct<start,end>>`` within it."""
+    """Maximal unions of windows of ``value`` with at least ``least_bits`` of entropy and without a
+    blank, as ``array<struct<start,end>>`` within it."""
     table = F.array(*(F.lit(v).cast("long") for v in _N_LOG_N))
-    codes = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET)) - 1)
+    codes = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET + BLANK)) - 1)
     # entropy = log2(WINDOW) - sum / WINDOW, so high entropy is a small sum
     most = ((math.log2(WINDOW) - least_bits) * (WINDOW * _FIXED)).cast("long")
     none = F.array().cast("array<struct<start:int,end:int>>")
@@ -78,9 +83,9 @@ def entropy_spans(value: Column, least_bits: Column) -> Column:
             F.element_at(a["out"], -1)["start"].alias("start"), end.alias("end"))))).otherwise(
             F.concat(a["out"], F.array(F.struct(start.alias("start"), end.alias("end")))))
         return F.struct(counts.alias("n"), total.alias("sum"),
-                        F.when((start >= 0) & (total <= most), grown).otherwise(a["out"]).alias("out"))
+                        F.when((start >= 0) & (total <= most) & (F.element_at(counts, -1) == 0), grown).otherwise(a["out"]).alias("out"))
 
-    begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET)).alias("n"), F.lit(0).cast("long").alias("sum"), none.alias("out"))
+    begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET + BLANK)).alias("n"), F.lit(0).cast("long").alias("sum"), none.alias("out"))
     return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), begin, step, lambda a: a["out"])
 
 
@@ -91,6 +96,30 @@ def _class(value: Column, pick) -> Column:
     return out
 
 
+def _free(run: Column, base: Column, allow: Sequence[str]) -> Column:
+    """The value of ``run``, blank where ``allow`` matches (all of it, or a part) and under the spans ``base``."""
+    value = run["value"]
+
+    def matched(x: Column, patterns: list[str]) -> Column:
+        return reduce(Column.__or__, [x.rlike(p) for p in patterns], F.lit(False))
+
+    def blank(x: Column) -> Column:
+        return F.repeat(F.lit(BLANK), F.length(x))
+
+    whole, words = ([p for p in allow if p.startswith("^") == w] for w in (True, False))
+    parts = F.split(value, "(?<=[/=])", -1)  # a part keeps the delimiter after it
+    parted = F.array_join(F.transform(parts, lambda part: F.when(matched(part, words), blank(part)).otherwise(part)), "")
+    value = F.when(matched(value, whole), blank(value)).when(matched(value, words), parted).otherwise(value)
+
+    def covered(a: Column, b: Column) -> Column:
+        start = F.greatest(b["start"], run["start"])
+        n = F.least(b["end"], run["end"]) - start
+        return F.overlay(a, F.repeat(F.lit(BLANK), n), start - run["start"] + 1, n)
+
+    over = F.filter(base, lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
+    return F.aggregate(over, value, covered)
+
+
 def secrets(docs: DataFrame, text_col: str = "text", allow: Sequence[str] = ALLOW) -> DataFrame:
     """``docs`` with ``base`` (fixed forms) and ``spans`` (these and the entropy spans): arrays of
     ``struct(start, place, end, kind)`` by start, then kind (columns of these names are replaced)."""
@@ -99,16 +128,17 @@ def secrets(docs: DataFrame, text_col: str = "text", allow: Sequence[str] = ALLO
     forms = {k: F.col(f"__{k}") for k in BASE}
     forms["assign"] = F.filter("__assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
     found = found.withColumn("__base", F.array_sort(F.concat(*(tagged(k, i, forms[k]) for i, k in enumerate(BASE)))))
-    runs = F.filter("__run", lambda s: ~F.exists(F.array(*map(F.lit, allow)), lambda p: F.regexp_like(s["value"], p))) \
-        if allow else F.col("__run")
+    runs = F.transform("__run", lambda s: F.struct(s["start"].alias("start"), s["value"].alias("value"),
+                                                   _free(s, F.col("__base"), allow).alias("free")))
+    runs = F.filter(runs, lambda s: s["free"].rlike(f"[^{BLANK}]{{{WINDOW}}}"))
 
     def windows(s: Column) -> Column:
         bits = _class(s["value"], lambda k, c: F.lit(c[2]))
-        return F.transform(entropy_spans(s["value"], bits), lambda w: F.struct(
+        return F.transform(entropy_spans(s["free"], bits), lambda w: F.struct(
             (s["start"] + w["start"]).alias("start"), _class(s["value"], lambda k, c: F.lit(len(BASE) + k)).alias("place"),
             (s["start"] + w["end"]).alias("end"), _class(s["value"], lambda k, c: F.lit(c[0])).alias("kind")))
 
-    found = found.withColumn("__free", apart(runs, F.col("__base")))
+    found = found.withColumn("__free", runs)
     found = found.withColumn("__high", F.when(F.size("__free") > 0, F.flatten(F.transform("__free", windows)))
                              .otherwise(F.array().cast("array<struct<start:int,place:int,end:int,kind:string>>")))
     return found.select(*unpacked(names), F.col("__base").alias("base"),
