@@ -47,3 +47,15 @@ def rounded(df: DataFrame, decimals: int = DECIMALS) -> DataFrame:
 
 def r(c: Column | str, decimals: int = DECIMALS) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, decimals)
+
+
+def case_sql(x: str, rules, exact=None, default="others") -> str:
+    """The same first-match rules as an SQL CASE (used only for the oracles)."""
+    parts = []
+    if exact:
+        parts.append(f"WHEN {x} IN ({', '.join(repr(v) for v in exact)}) THEN {x}")
+    for needles, label in rules:
+        cond = " OR ".join(f"contains({x}, '{nd}')" for nd in needles)
+        out = x if label is None else f"'{label}'"
+        parts.append(f"WHEN {cond} THEN {out}")
+    return "CASE " + " ".join(parts) + f" ELSE '{default}' END"

@@ -15,7 +15,7 @@ from featmart.operators import relational as rel
 from featmart.operators import windows as win
 from featmart.operators.profile import group_median
 from featmart.operators.split import group_kfold, kfold
-from featmart.plans.registry import query, rounded
+from featmart.plans.registry import case_sql, query, rounded
 from featmart.sources import tables
 
 DAYS = list(range(1, 32))  # every day a month can have
@@ -200,24 +200,12 @@ def str01_category_cross(spark, base):
     return d.groupBy(cross(lower_or_nan("lang"), "source").alias("lang_source")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _case_sql(x: str, rules, exact=None, default="others") -> str:
-    """The same first-match rules as an SQL CASE (used only for the oracles)."""
-    parts = []
-    if exact:
-        parts.append(f"WHEN {x} IN ({', '.join(repr(v) for v in exact)}) THEN {x}")
-    for needles, label in rules:
-        cond = " OR ".join(f"contains({x}, '{nd}')" for nd in needles)
-        out = x if label is None else f"'{label}'"
-        parts.append(f"WHEN {cond} THEN {out}")
-    return "CASE " + " ".join(parts) + f" ELSE '{default}' END"
-
-
 _URL = "lower(coalesce(url, 'nan'))"
 
 
 @query("str35_keyword_maps", f"""
-SELECT page_id, {_case_sql(_URL, kw.BROWSER_RULES, kw.BROWSER_EXACT)} AS browser,
-  {_case_sql(_URL, kw.ADCONTENT_RULES)} AS adcontent, {_case_sql(_URL, kw.SOURCE_RULES)} AS source
+SELECT page_id, {case_sql(_URL, kw.BROWSER_RULES, kw.BROWSER_EXACT)} AS browser,
+  {case_sql(_URL, kw.ADCONTENT_RULES)} AS adcontent, {case_sql(_URL, kw.SOURCE_RULES)} AS source
 FROM pages
 """, ("STR-3", "STR-4", "STR-5"))
 def str35_keyword_maps(spark, base):

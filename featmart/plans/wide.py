@@ -10,7 +10,7 @@ from featmart.functions.scalar import json_struct
 from featmart.operators import evaluate as ev
 from featmart.operators import profile as prof
 from featmart.operators import relational as rel
-from featmart.plans.registry import query, rounded
+from featmart.plans.registry import case_sql, query, rounded
 from featmart.sources import tables
 
 _MMM = ("mean", "max", "min")
@@ -148,24 +148,13 @@ _SAMPLES = [
     "phandroid", "baidu", "mdn", "duckduckgo", "seroundtable", "analytics metrics", "sogou", "businessinsider", "github.io", "gophergala",
     "yandex", "msn.com", "dfa", "feedly", "arstechnica", "squishable", "flipboard", "t-online.de", "sm.cn", "wow.com", "partners", "basket mail",
 ]
-_BROWSER_SQL = """CASE WHEN x IN ('chrome', 'safari', 'firefox', 'internet explorer', 'edge', 'opera', 'coc coc', 'maxthon', 'iron') THEN x
-  WHEN regexp_matches(x, 'android|samsung|mini|iphone|in-app|playstation|mozilla|chrome|blackberry|nokia|browser|amazon|lunascape|netscape|konqueror|puffin')
-  THEN 'mobile browser' WHEN contains(x, '(not set)') THEN x ELSE 'others' END"""
-_AD_SQL = """CASE WHEN contains(x, 'google') THEN 'google' WHEN contains(x, 'placement') OR contains(x, 'placememnt') THEN 'placement'
-  WHEN contains(x, '(not set)') OR contains(x, 'nan') THEN x WHEN contains(x, 'ad') THEN 'ad' ELSE 'others' END"""
-_SOURCE_WORDS = ("yahoo facebook reddit bing quora outlook linkedin pinterest ask siliconvalley lunametrics amazon mysearch qiita messenger twitter t.co "
-                 "vk.com search edu mail ad golang direct dealspotr sashihara phandroid baidu mdn duckduckgo seroundtable metrics sogou "
-                 "businessinsider github gophergala yandex msn dfa").split()
-_SOURCE_LAST = "feedly arstechnica squishable flipboard t-online.de sm.cn wow partners".split()
-_SOURCE_SQL = ("CASE WHEN contains(x, 'google') THEN 'google' WHEN contains(x, 'youtube') THEN 'youtube' "
-               "WHEN contains(x, '(not set)') OR contains(x, 'nan') THEN x "
-               + " ".join(f"WHEN contains(x, '{w}') THEN '{w}'" for w in [*_SOURCE_WORDS, *_SOURCE_LAST]) + " ELSE 'others' END")
 _SAMPLE_SQL = ", ".join("NULL" if s is None else f"'{s}'" for s in _SAMPLES)
 
 
 @query("str345_keyword_rules", f"""
 WITH s AS (SELECT page_id, [{_SAMPLE_SQL}][1 + page_id % {len(_SAMPLES)}] AS raw FROM pages), t AS (SELECT page_id, coalesce(lower(raw), 'nan') AS x FROM s)
-SELECT page_id, x, {_BROWSER_SQL} AS browser, {_AD_SQL} AS adcontent, {_SOURCE_SQL} AS source FROM t
+SELECT page_id, x, {case_sql('x', kw.BROWSER_RULES, kw.BROWSER_EXACT)} AS browser, {case_sql('x', kw.ADCONTENT_RULES)} AS adcontent,
+  {case_sql('x', kw.SOURCE_RULES)} AS source FROM t
 """, ("STR-2", "STR-3", "STR-4", "STR-5"))
 def str345_keyword_rules(spark, base):
     """The page's number picks one of the texts, so that every rule and every shadowed branch occurs."""
