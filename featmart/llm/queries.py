@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, repeats, ring, secret_scan, token_files
+from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, repeats, ring, secret_scan, spelling, token_files
 from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
@@ -138,8 +138,12 @@ def op11_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"), "home")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op6_suffix_dedup, op7_lm_scoring, op8_token_files, op9_personal_data,
-                                    op10_quality_rules, op11_ring_shards)}
+                                    op10_quality_rules, op11_ring_shards, op12_spelling_variants)}
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL, "op7_lm_scoring": OP7_SQL}
 
