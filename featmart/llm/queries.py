@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, decontaminate, language, lm, neardup, pii, quality, repeats, ring, secret_scan, spelling, token_files
+from featmart.llm import bpe, decontaminate, language, lm, neardup, phrases, pii, quality, repeats, ring, secret_scan, spelling, token_files
 from featmart.llm.common import tokenizer_file
 from featmart.llm.spans import listing
 from featmart.sources.tables import read_table
@@ -142,10 +142,39 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(read_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+       translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase FROM
+        (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k))),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+x AS (SELECT f.lang, f.phrase, f.a, c.j, array_to_string(string_split(f.phrase, ' ')[1:c.j], ' ') AS lp,
+        array_to_string(string_split(f.phrase, ' ')[c.j + 1:f.k], ' ') AS rp
+      FROM f JOIN (SELECT unnest(range(1, 5)) AS j) c ON c.j < f.k),
+s AS (SELECT x.lang, x.phrase, x.a, x.j, l.a AS l, r.a AS r, t.n,
+        CAST((CAST(1000 AS HUGEINT) * x.a * t.n) // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score
+      FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.lp JOIN f r ON r.lang = x.lang AND r.phrase = x.rp JOIN t ON t.lang = x.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT f.lang, f.a, array_to_string(string_split(f.phrase, ' ')[z.s:z.s + z.m - 1], ' ') AS phrase
+      FROM f JOIN (SELECT m, s FROM (SELECT unnest(range(2, 5)) AS m), (SELECT unnest(range(1, 5)) AS s)) z ON z.m < f.k AND z.s + z.m - 1 <= f.k),
+d AS (SELECT lang, phrase, max(a) AS more FROM i GROUP BY ALL)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+  FROM b LEFT JOIN d ON d.lang = b.lang AND d.phrase = b.phrase WHERE more IS NULL OR more < a) WHERE rank <= 2000
+"""
+
+
 QUERIES = {f.__name__: f for f in (op1_benchmark_decontamination, op2_language_id, op3_secret_scan, op4_byte_bpe, op5_minhash_near_dedup, op6_suffix_dedup, op7_lm_scoring, op8_token_files, op9_personal_data,
-                                    op10_quality_rules, op11_ring_shards, op12_spelling_variants)}
+                                    op10_quality_rules, op11_ring_shards, op12_spelling_variants,
+                                    op13_collocations)}
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL, "op7_lm_scoring": OP7_SQL}
+SQL: dict[str, str] = {"op1_benchmark_decontamination": OP1_SQL, "op7_lm_scoring": OP7_SQL, "op13_collocations": OP13_SQL}
 
 
 def queries() -> dict:
