@@ -13,19 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_PER_BUCKET = 50
+SAMPLE_PER_BUCKET = 30
 PER_PARTITION = 3  # buckets for each shuffle partition, so that hashing them leaves few tasks empty
-MAX_BUCKETS = 4096
+MAX_BUCKETS = 2048
+TREE = 64  # points that one chain of comparisons decides
 
 
 def split_points(df: DataFrame, order: Sequence[str], buckets: int) -> list:
-    """At most ``buckets - 1`` ascending order tuples, from ``SAMPLE_PER_BUCKET`` rows for each bucket
-    (the first by a hash of the tuple: a top-n job, its rows are bounded by the parameters)."""
+    """At most ``buckets - 1`` ascending order tuples, from a sample of about ``SAMPLE_PER_BUCKET`` rows for each bucket
+    (their number is bounded by the parameters). Rows are sampled, not tuples, so a tuple that many rows hold
+    becomes a point of its own and the buckets around it stay even."""
     keys = df.select(F.struct(*order).alias("k"))
-    sample = keys.orderBy(F.xxhash64("k")).limit(buckets * SAMPLE_PER_BUCKET)
-    rows = [r.k for r in sample.distinct().orderBy("k").collect()]
+    wanted, n = buckets * SAMPLE_PER_BUCKET, keys.count()
+    if n > 2 * wanted:
+        keys = keys.sample(1.0 * wanted / n, seed=7)
+    rows = [r.k for r in keys.orderBy("k").collect()]
     step = max(1, len(rows) // buckets)
-    return rows[step::step][:buckets - 1]
+    points = rows[step::step][:buckets - 1]
+    return [p for i, p in enumerate(points) if i == 0 or p != points[i - 1]]
 
 
 def _literal(df: DataFrame, order: Sequence[str], point) -> Column:
@@ -38,10 +43,21 @@ def with_bucket(df: DataFrame, order: Sequence[str], name: str = "__b", buckets:
     points = split_points(df, order, min(n, MAX_BUCKETS))
     if not points:
         return df.withColumn(name, F.lit(0))
-    key, width = F.struct(*order), max(1, int(len(points) ** 0.5))
-    fine = F.array(*(_literal(df, order, p) for p in points))
-    coarse = F.array(*(_literal(df, order, p) for p in points[::width]))
+    key, width = F.struct(*order), -(-len(points) // TREE)
+    literals = [_literal(df, order, p) for p in points]
     # how many points are not above the row: whole groups of ``width`` first, then inside the last group
-    group = F.size(F.filter(coarse, lambda p: p <= key))
-    inner = F.size(F.filter(F.slice(fine, (group - 1) * width + 1, F.lit(width)), lambda p: p <= key))
-    return df.withColumn(name, F.when(group == 0, 0).otherwise((group - 1) * width + inner).cast("int"))
+    group = _count_below(key, literals[::width], 0)
+    if width == 1:
+        return df.withColumn(name, group)
+    fine = F.array(*literals)
+    inner = F.size(F.filter(F.slice(fine, (F.col("__group") - 1) * width + 1, F.lit(width)), lambda p: p <= key))
+    out = df.withColumn("__group", group)
+    return out.withColumn(name, F.when(F.col("__group") == 0, 0).otherwise((F.col("__group") - 1) * width + inner).cast("int")).drop("__group")
+
+
+def _count_below(key: Column, points: list[Column], base: int) -> Column:
+    """``base`` plus the number of ascending ``points`` that are not above ``key``: a binary search as nested CASEs."""
+    if not points:
+        return F.lit(base)
+    mid = len(points) // 2
+    return F.when(key < points[mid], _count_below(key, points[:mid], base)).otherwise(_count_below(key, points[mid + 1:], base + mid + 1))

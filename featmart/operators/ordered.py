@@ -5,7 +5,7 @@ helpers get the same answers from ordered buckets (``layout.with_bucket``): a wi
 bucket (one exchange of the table) plus a carry from a partial aggregate with one row per bucket.
 
 - ``prefix_sums``: running sums in a global order (optionally restarting per group);
-- ``exact_quantiles``: exact linear-interpolated quantiles (``percentile_cont``) by rank lookup.
+- ``exact_quantiles``: exact linear-interpolated quantiles (``percentile_cont``), see :mod:`featmart.operators.ranks`.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.operators.layout import with_bucket
+from featmart.operators.ranks import quantiles
 
 
 def prefix_sums(df: DataFrame, order_cols: Sequence[str], value_cols: Sequence[str],
@@ -71,36 +72,5 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Da
 
 
 def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
-    """Exact ``percentile_cont`` values of ``col`` (NULLs ignored) for each probability.
-
-    The values are counted by ordered bucket; only the buckets that hold a wanted rank are sorted.
-    Memory does not grow with the number of distinct values, unlike a global ``percentile`` aggregate
-    whose final merge holds them all.
-    """
-    vals = df.select(F.col(col).cast("double").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    s = with_bucket(vals, ["v"])
-    counts = sorted((r["__b"], r["count"]) for r in s.groupBy("__b").count().collect())  # one row per bucket
-    n = sum(c for _, c in counts)
-    if n == 0:
-        return [None for _ in probs]
-    ranks = sorted({r for p in probs for r in (int(p * (n - 1)) + 1, min(int(p * (n - 1)) + 2, n))})
-    before, wanted = 0, {}  # bucket -> (rank in it, rank)
-    for b, c in counts:
-        here = [(r - before, r) for r in ranks if before < r <= before + c]
-        if here:
-            wanted[b] = here
-        before += c
-    w = Window.partitionBy("__b").orderBy("v")
-    numbered = s.where(F.col("__b").isin(list(wanted))).withColumn("rk", F.row_number().over(w))
-    hit = None
-    for b, here in wanted.items():
-        cond = (F.col("__b") == b) & F.col("rk").isin([k for k, _ in here])
-        hit = cond if hit is None else hit | cond
-    got = {(r["__b"], r["rk"]): r["v"] for r in numbered.where(hit).collect()}  # two rows per probability at most
-    value = {r: got[b, k] for b, here in wanted.items() for k, r in here}
-    out = []
-    for p in probs:
-        pos = p * (n - 1)
-        a, b = value[int(pos) + 1], value[min(int(pos) + 2, n)]
-        out.append(a + (pos - int(pos)) * (b - a))
-    return out
+    """Exact ``percentile_cont`` values of ``col`` (NULLs ignored) for each probability."""
+    return quantiles(df, [col], probs)[col]
