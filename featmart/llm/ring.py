@@ -56,10 +56,11 @@ def homes(nodes: DataFrame) -> DataFrame:
     spark = nodes.sparkSession
     first = nodes.groupBy("cell").agg(F.min(F.struct("point", "shard"))["shard"].alias("shard"))
     cells = spark.range(1 << CELL_BITS).select(F.col("id").cast("int").alias("cell")).join(first, "cell", "left")
-    ahead = Window.orderBy("cell").rowsBetween(0, Window.unboundedFollowing)
-    whole = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    here = F.first("shard", ignorenulls=True)
-    return cells.select("cell", F.coalesce(here.over(ahead), here.over(whole)).alias("home"))
+    ahead = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, 0)
+    seen = cells.withColumn("home", F.last("shard", ignorenulls=True).over(ahead))
+    # behind the last node the ring begins again
+    start = first.agg(F.min(F.struct("cell", "shard"))["shard"].alias("start"))
+    return seen.join(F.broadcast(start)).select("cell", F.coalesce("home", "start").alias("home"))
 
 
 def _bounds(total: Column, shards: int, slack: float) -> Column:
