@@ -17,12 +17,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.llm import blooms
-from featmart.llm.common import LOWER, byte_set, mix64, stored
+from featmart.llm.common import LOWER, byte_set, mix64, prefix_hash, range_hash, stored
 from featmart.llm.packed import squeeze, unsqueeze
 
 #: Words of a phrase at most, and occurrences of a candidate at least.
@@ -35,6 +35,8 @@ SEGMENT, OPEN = 2 << 20, 8 << 20
 SIDE, DENSE = 1024, 4
 #: Dense tiles and coordinates a task holds before it sends its sums.
 TILES, COORDINATES = 24, 2 << 20
+#: Words or pairs whose numbers are broadcast (the most frequent of all languages), and the bytes of such a word at most.
+HOT, HOT_BYTES = 1 << 18, 64
 #: Phrases of equal frequency are numbered by this many tasks.
 SPREAD = 64
 
@@ -145,11 +147,9 @@ class _Tiles:
         place = (a // SIDE) * DENSE + b // SIDE
         for p in np.unique(place):
             mine = place == p
-            counts = np.bincount((a[mine] % SIDE) * SIDE + b[mine] % SIDE, minlength=SIDE * SIDE)
-            if (lang, int(p)) in self.dense:
-                self.dense[lang, int(p)] += counts
-            else:
-                self.dense[lang, int(p)] = counts
+            if (lang, int(p)) not in self.dense:
+                self.dense[lang, int(p)] = np.zeros(SIDE * SIDE, np.int32)
+            self.dense[lang, int(p)] += np.bincount((a[mine] % SIDE) * SIDE + b[mine] % SIDE, minlength=SIDE * SIDE).astype(np.int32)
         keys, n = np.unique((left[~near].astype(np.int64) << 32) | right[~near], return_counts=True)
         self.sparse.setdefault(lang, []).append((keys, n))
         self.held += len(keys)
@@ -204,25 +204,6 @@ def _word_counts(made: DataFrame) -> DataFrame:
 
 
 # ---- numbering again ----------------------------------------------------------------------------
-def _number_words(made: DataFrame, words: DataFrame) -> DataFrame:
-    """Segments as rows of the numbers of frequent words."""
-    listed = made.select("segment", "lang", F.posexplode("words").alias("local", "word"))
-    known = listed.join(words.select("lang", "word", "id"), ["lang", "word"]).groupBy("segment").agg(
-        F.collect_list("local").alias("local"), F.collect_list("id").alias("id"))  # at most a segment's words
-
-    def recode(batches):
-        for batch in batches:
-            local, ids = (batch.column(batch.schema.get_field_index(c)) for c in ("local", "id"))
-            out = []
-            for i, codes in _rows(batch, "codes"):
-                table = np.full(int(codes.max(initial=-1)) + 2, -1, dtype="<i4")  # the last entry answers -1
-                table[local[i].values.to_numpy()] = ids[i].values.to_numpy()
-                out.append(_packed(table[codes]))
-            yield _row_batch(batch, out)
-
-    return stored(made.select("segment", "lang", "length", "codes").join(known, "segment").mapInArrow(recode, _ROW_SCHEMA), "rows")
-
-
 def _packed(row: np.ndarray) -> np.ndarray:
     """The row without numbers that stand alone, and with one break where there were several."""
     gap = row < 0
@@ -241,81 +222,187 @@ def _row_batch(batch: pa.RecordBatch, rows: list[np.ndarray]) -> pa.RecordBatch:
                             pa.array([squeeze(r) for r in rows], pa.binary())], names=["segment", "lang", "length", "row"])
 
 
-def _pair_hash(lang: str, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    salt = mix64(np.frombuffer(lang.encode().ljust(-(-len(lang.encode()) // 8) * 8 + 8, b"\0"), "<u8")).sum(dtype=np.uint64)
-    return mix64(mix64((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64)) + salt)
+def _lang_salt(lang: str) -> np.uint64:
+    data = lang.encode() + b"\x01"
+    return mix64(np.frombuffer(data.ljust(-(-len(data) // 8) * 8, b"\0"), "<u8")).sum(dtype=np.uint64)
 
 
-def _pair_filter(pairs: DataFrame, n: int) -> Broadcast:
-    per = blooms.blocks_for({0: n})
+def _pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return (left.astype(np.int64) << 32) | right
 
-    def add(batches):
-        for batch in batches:
-            langs, left, right = (batch.column(k) for k in range(3))
-            table = pa.table([langs, left, right], names=["lang", "left", "right"])
-            for lang in langs.unique().to_pylist():
-                mine = table.filter(pc.equal(table["lang"], lang))
-                yield blooms.rows(0, _pair_hash(lang, mine["left"].to_numpy(), mine["right"].to_numpy()), per[0])
 
-    return blooms.build(pairs.select("lang", "left", "right").mapInArrow(add, blooms.ROWS), per)[0]
+def _pair_hashes(lang: str, keys: np.ndarray) -> np.ndarray:
+    return mix64(mix64(keys.view(np.uint64)) + _lang_salt(lang))
+
 
+def _word_hashes(lang: str, words: pa.Array) -> np.ndarray:
+    words = words.cast(pa.large_binary())
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
+    return mix64(range_hash(prefix_hash(data), at[:-1] - at[0], at[1:] - at[0]) + _lang_salt(lang))
 
-def _number_pairs(rows: DataFrame, pairs: DataFrame, n: int) -> DataFrame:
-    """Rows whose numbers are those of the frequent pairs that begin there. A segment asks only for pairs that a
-    filter of bounded size lets through."""
-    bits = _pair_filter(pairs, n)
+
+class _Numbers:
+    """Numbers of frequent items (words or pairs), for the rows of all segments.
+
+    The most frequent ``HOT`` items, which most segments hold, are broadcast. What is left goes the exact way round:
+    a segment asks for those of its other items that a filter of bounded size lets through, and a join answers."""
+
+    def __init__(self, items: DataFrame, langs: int, keys, hashes):
+        """``items``: ``lang``, the item's columns, ``n``, ``id``; ``keys(columns)`` makes an array to look items up in,
+        ``hashes(lang, keys)`` their hashes. ``id`` follows frequency, so a bound on it takes the most frequent."""
+        limit = max(1, HOT // max(1, langs))
+        self.names = [c for c in items.columns if c not in ("lang", "n", "id")]
+        size = sum((F.octet_length(c) for c in self.names if items.schema[c].dataType.simpleString() == "string"), F.lit(0))
+        hot = (F.col("id") < limit) & (size <= HOT_BYTES)
+        table = items.where(hot).select("lang", *self.names, "id").toArrow()  # at most HOT rows of HOT_BYTES
+        tables = {}
+        for lang in table["lang"].unique().to_pylist():
+            mine = table.filter(pc.equal(table["lang"], lang)).combine_chunks()
+            tables[lang] = (keys(*(mine[c].combine_chunks() for c in self.names)), mine["id"].to_numpy())
+        self.hot = items.sparkSession.sparkContext.broadcast(tables)
+        self.cold = items.where(~hot).select("lang", *self.names, "id")
+        names, count = self.names, self.cold.count()
+        per = blooms.blocks_for({0: max(1, count)})
+
+        def add(batches):
+            for batch in batches:
+                column = pa.table(batch)
+                for lang in column["lang"].unique().to_pylist():
+                    mine = column.filter(pc.equal(column["lang"], lang)).combine_chunks()
+                    yield blooms.rows(0, hashes(lang, keys(*(mine[c].combine_chunks() for c in names))), per[0])
+
+        self.bits = blooms.build(self.cold.drop("id").mapInArrow(add, blooms.ROWS), per)[0]
+
+
+def _asked(rows: DataFrame, numbers: _Numbers, items, look_up, hashes, answer, schema: str) -> DataFrame:
+    """Per segment the numbers of those items that are not broadcast: ``segment`` and two arrays, in one order, of
+    what ``answer`` makes of an item and of its number. ``items(batch)`` lists ``(position, lang, keys, columns)``."""
+    hot, bits, names = numbers.hot, numbers.bits, numbers.names
 
     def ask(batches):
         for batch in batches:
-            names = {c: batch.column(batch.schema.get_field_index(c)) for c in ("segment", "lang")}
-            for i, row in _rows(batch, "row"):
-                at = _neighbours(row)
-                keys = np.unique((row[at].astype(np.int64) << 32) | row[at + 1])
-                left, right = keys >> 32, keys & 0xFFFFFFFF
-                lang = names["lang"][i].as_py()
-                good = blooms.hit(bits.value, _pair_hash(lang, left, right))
-                m = int(good.sum())
-                if m:
-                    yield pa.record_batch([pa.array([names["segment"][i].as_py()] * m), pa.array([lang] * m), left[good].astype(np.int32),
-                                           right[good].astype(np.int32)], names=["segment", "lang", "left", "right"])
-
-    asked = rows.mapInArrow(ask, "segment long, lang string, left int, right int")
-    known = asked.join(pairs.select("lang", "left", "right", "id"), ["lang", "left", "right"]).groupBy("segment").agg(
-        F.collect_list(F.shiftleft(F.col("left").cast("long"), 32).bitwiseOR(F.col("right").cast("long"))).alias("pair"),
-        F.collect_list("id").alias("id"))  # at most a segment's distinct pairs
+            segments = batch.column(batch.schema.get_field_index("segment"))
+            for i, lang, keys, columns in items(batch):
+                other = np.flatnonzero(look_up(hot.value.get(lang), keys) < 0)
+                rest = keys.take(pa.array(other)) if isinstance(keys, pa.Array) else keys[other]
+                other = other[blooms.hit(bits.value, hashes(lang, rest))]
+                if len(other):
+                    at = pa.array(other)
+                    m = len(other)
+                    yield pa.record_batch([pa.array([segments[i].as_py()] * m), pa.array([lang] * m), *(c.take(at) for c in columns)],
+                                          names=["segment", "lang", *[f.split()[0] for f in schema.split(", ")]])
+
+    asked = rows.mapInArrow(ask, f"segment long, lang string, {schema}")
+    return asked.join(numbers.cold, ["lang", *names]).groupBy("segment").agg(
+        F.collect_list(answer).alias("items"), F.collect_list("id").alias("ids"))  # at most a segment's distinct items
+
+
+def _find_words(table: tuple | None, words: pa.Array) -> np.ndarray:
+    if table is None or not len(table[0]):
+        return np.full(len(words), -1, np.int64)
+    at = pc.index_in(words, value_set=table[0])
+    found = pc.fill_null(at, 0).to_numpy()
+    return np.where(pc.is_valid(at).to_numpy(zero_copy_only=False), table[1][found], -1)
+
+
+def _find_pairs(table: tuple | None, keys: np.ndarray) -> np.ndarray:
+    if table is None or not len(table[0]) or not len(keys):
+        return np.full(len(keys), -1, np.int64)
+    known, ids = table
+    place = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+    return np.where(known[place] == keys, ids[place], -1)
+
+
+def _sorted_pairs(table: tuple) -> tuple:
+    order = np.argsort(table[0])
+    return table[0][order], table[1][order]
+
+
+def _answers(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
+    items, ids = (batch.column(batch.schema.get_field_index(c))[i].values for c in ("items", "ids"))
+    if items is None:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return items.to_numpy(), ids.to_numpy()
+
+
+def _number_words(made: DataFrame, words: DataFrame, langs: int) -> DataFrame:
+    """Segments as rows of the numbers of frequent words."""
+    numbers = _Numbers(words, langs, lambda w: w, _word_hashes)
+
+    def items(batch):
+        listed = batch.column(batch.schema.get_field_index("words"))
+        names = batch.column(batch.schema.get_field_index("lang"))
+        for i in range(len(batch)):
+            own = listed[i].values
+            yield i, names[i].as_py(), own, [pa.array(np.arange(len(own), dtype=np.int32)), own]
+
+    known = _asked(made.select("segment", "lang", "words"), numbers, items, _find_words, _word_hashes, "local", "local int, word string")
+    hot = numbers.hot
+
+    def recode(batches):
+        for batch in batches:
+            out, names = [], batch.column(batch.schema.get_field_index("lang"))
+            listed = batch.column(batch.schema.get_field_index("words"))
+            for i, codes in _rows(batch, "codes"):
+                own = listed[i].values
+                table = np.full(len(own) + 1, -1, dtype="<i4")  # the last entry answers -1
+                table[:-1] = _find_words(hot.value.get(names[i].as_py()), own)
+                local, ids = _answers(batch, i)
+                table[local] = ids
+                out.append(_packed(table[codes]))
+            yield _row_batch(batch, out)
+
+    asked = made.select("segment", "lang", "length", "codes", "words").join(known, "segment", "left")
+    return stored(asked.mapInArrow(recode, _ROW_SCHEMA), "rows")
+
+
+def _number_pairs(rows: DataFrame, pairs: DataFrame, langs: int) -> DataFrame:
+    """Rows whose numbers are those of the frequent pairs that begin there."""
+    numbers = _Numbers(pairs, langs, lambda a, b: _pair_keys(a.to_numpy(), b.to_numpy()), _pair_hashes)
+    hot = numbers.hot = rows.sparkSession.sparkContext.broadcast({lang: _sorted_pairs(t) for lang, t in numbers.hot.value.items()})
+
+    def items(batch):
+        names = batch.column(batch.schema.get_field_index("lang"))
+        for i, row in _rows(batch, "row"):
+            at = _neighbours(row)
+            keys = np.unique(_pair_keys(row[at], row[at + 1]))
+            yield i, names[i].as_py(), keys, [pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32))]
+
+    answer = F.shiftleft(F.col("left").cast("long"), 32).bitwiseOR(F.col("right").cast("long"))
+    known = _asked(rows, numbers, items, _find_pairs, _pair_hashes, answer, "left int, right int")
 
     def recode(batches):
         for batch in batches:
-            pair, ids = (batch.column(batch.schema.get_field_index(c)) for c in ("pair", "id"))
-            out = []
+            out, names = [], batch.column(batch.schema.get_field_index("lang"))
             for i, row in _rows(batch, "row"):
-                keys, number = pair[i].values.to_numpy(), ids[i].values.to_numpy()
-                order = np.argsort(keys)
-                keys, number = keys[order], number[order]
                 at = _neighbours(row)
-                mine = (row[at].astype(np.int64) << 32) | row[at + 1]
-                place = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+                mine = _pair_keys(row[at], row[at + 1])
+                ids = _find_pairs(hot.value.get(names[i].as_py()), mine)
                 new = np.full(len(row), -1, dtype="<i4")
-                new[at] = np.where(keys[place] == mine, number[place], -1)
+                new[at] = np.maximum(ids, _find_pairs(_sorted_pairs(_answers(batch, i)), mine))
                 out.append(_packed(new))
             yield _row_batch(batch, out)
 
-    return stored(rows.join(known, "segment").mapInArrow(recode, _ROW_SCHEMA), "rows")
+    return stored(rows.join(known, "segment", "left").mapInArrow(recode, _ROW_SCHEMA), "rows")
 
 
 # ---- phrases ------------------------------------------------------------------------------------
 def frequent_phrases(made: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS) -> DataFrame:
     """``lang, words, n`` of all phrases of one to ``max_words`` words that occur ``min_count`` times in :func:`segments`."""
-    words = stored(frequency_ids(_word_counts(made).where(F.col("n") >= min_count)), "words")
+    counted = stored(_word_counts(made).where(F.col("n") >= min_count), "counted")
+    words = stored(frequency_ids(counted), "words")
+    langs = counted.select("lang").distinct().count()
     grams = words.select("lang", "id", "n", F.array("word").alias("words"))
     out, rows = grams, None
     for k in range(2, max_words + 1):
-        rows = _number_words(made, words) if rows is None else _number_pairs(rows, pairs, found)
-        counted = rows.mapInArrow(_count_pairs, "lang string, left int, right int, n long")
-        counted = counted.groupBy("lang", "left", "right").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count)
+        rows = _number_words(made, words, langs) if rows is None else _number_pairs(rows, pairs, langs)
+        sums = rows.mapInArrow(_count_pairs, "lang string, left int, right int, n long").groupBy("lang", "left", "right").agg(F.sum("n").alias("n"))
+        counted = stored(sums.where(F.col("n") >= min_count), "counted")
         pairs = stored(frequency_ids(counted), "pairs")
-        found = pairs.count()
-        if not found:
+        if not pairs.limit(1).count():
             break
         first = grams.select("lang", F.col("id").alias("left"), "words")
         last = grams.select("lang", F.col("id").alias("right"), F.element_at("words", -1).alias("last"))

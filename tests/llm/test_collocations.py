@@ -70,10 +70,11 @@ def test_equals_brute_force(spark, seed, min_count, top):
     assert found(phrases.collocations(spark.createDataFrame(rows, SCHEMA).repartition(7), min_count, top=top)) == want
 
 
-def test_small_tiles_and_segments(spark, monkeypatch):
-    """Every tile path: dense, sparse, sums sent early; texts cut into many segments."""
+@pytest.mark.parametrize("hot", [1 << 18, 9])
+def test_small_tiles_and_segments(spark, monkeypatch, hot):
+    """Every tile path: dense, sparse, sums sent early; texts cut into many segments; numbers broadcast or joined."""
     rows = make(4) + [("en", "\n".join(t or "" for _, t in make(5, 300)))]
-    for name, value in (("SIDE", 4), ("TILES", 3), ("COORDINATES", 20), ("SEGMENT", 500), ("OPEN", 900)):
+    for name, value in (("SIDE", 4), ("TILES", 3), ("COORDINATES", 20), ("SEGMENT", 500), ("OPEN", 900), ("HOT", hot)):
         monkeypatch.setattr(phrases, name, value)
     assert found(phrases.collocations(spark.createDataFrame(rows, SCHEMA).repartition(3), 6)) == brute(rows, 6)
 
