@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +95,29 @@ class Boosted:
         return out
 
 
+def out_of_fold(df: DataFrame, features: Sequence[str], label: str, fold: str, k: int, out: str = "prediction",
+                test: str | None = None, threads: int = 4, **params) -> DataFrame:
+    """MDL-10: ``df`` with each row's prediction by the model of the folds without it; rows where the flag ``test`` is
+    true train no model and get the mean of all. The models of the folds are fitted side by side; their
+    predictions are one expression, so the table is read once."""
+    is_test = F.coalesce(F.col(f"`{test}`"), F.lit(False)) if test else F.lit(False)
+
+    def one(f: int) -> Boosted:
+        return fit(df.where((F.col(f"`{fold}`") != f) & ~is_test), features, label, **params)
+
+    with ThreadPoolExecutor(min(threads, k)) as pool:
+        models = list(pool.map(inheritable_thread_target(df.sparkSession)(one), range(k)))
+    parts = [f"__p{f}" for f in range(k)]
+    scored = df
+    for name, m in zip(parts, models):
+        scored = m.predict(scored, name)
+    own = F.lit(None).cast("double")
+    for f, name in enumerate(parts):
+        own = F.when(F.col(f"`{fold}`") == f, F.col(name)).otherwise(own)
+    mean = sum((F.col(p) for p in parts[1:]), F.col(parts[0])) / k
+    return scored.withColumn(out, F.when(is_test, mean).otherwise(own)).drop(*parts)
+
+
 def _probability(score: Column) -> Column:
     return F.lit(1.0) / (F.exp(-score) + 1.0)
 

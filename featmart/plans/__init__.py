@@ -6,7 +6,7 @@ the submodules fills ``REGISTRY``.
 """
 
 from featmart.plans.registry import REGISTRY, query  # noqa: F401
-from featmart.plans import mart, sessions, prep, text, evaluation, models, io, wide  # noqa: F401,E402
+from featmart.plans import mart, sessions, prep, text, evaluation, models, boosted, io, wide  # noqa: F401,E402
 
 
 def queries():

@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featmart.operators import encode as enc
 from featmart.operators import models as md
-from featmart.operators.split import BUCKETS, group_kfold, kfold, split_flag
-from featmart.plans.registry import query, rounded
+from featmart.operators.split import BUCKETS, kfold, split_flag
+from featmart.plans.registry import query
+from featmart.session import materialize
 from featmart.sources import tables
 
 _NUMERIC = ["n_chars", "upper_share", "digit_share", "n_lines"]
@@ -66,15 +67,6 @@ def _split_docs(spark, base, seed, features=None):
     return df.where(~F.col("is_valid")), df.where("is_valid"), names
 
 
-@query("mdl01_gbt_binary", _held_out(11), ("MDL-1", "MDL-14", "MDL-15", "SPL-1", "SCL-9"))
-def mdl01_gbt_binary(spark, base):
-    train, valid, _ = _split_docs(spark, base, 11)
-    model = md.fit(train, "gbt_classifier", label="quality", maxIter=10, maxDepth=3, seed=1)
-    pred = md.positive_probability(model.transform(valid))
-    inside = F.min("p1").between(0, 1) & F.max("p1").between(0, 1)
-    return _checked(pred, inside & _classifies("quality"), "doc_id", "quality")
-
-
 def _length_docs(spark, base, seed):
     """The text's length as the target, with features that do not contain it."""
     df, names = _doc_features(spark, base)
@@ -92,60 +84,6 @@ def mdl09_early_stopping(spark, base):
     return _checked(model.transform(df.where("is_valid")), _regresses("y"), "doc_id")
 
 
-_USER_SQL = """u AS (SELECT user_id, ln(1 + coalesce(sum(value) FILTER (WHERE event_type = 'purchase'), 0.0)) AS y FROM events GROUP BY user_id)"""
-_FOLD_SQL = "CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '|{seed}'), 1, 8))::BIGINT % {k} AS INTEGER)"
-
-
-def _users(spark, base):
-    e = tables(spark, base).events
-    return e.groupBy("user_id").agg(
-        F.count(F.lit(1)).cast("double").alias("n_events"), F.avg("value").alias("value_mean"),
-        F.count_if(F.col("event_type") == "purchase").cast("double").alias("n_purchases"),
-        F.count_distinct(F.to_date("ts")).cast("double").alias("n_days"),
-        F.log1p(F.coalesce(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))), F.lit(0.0))).alias("y"))
-
-
-@query("mdl02_gbt_oof", f"""
-WITH {_USER_SQL}
-SELECT user_id, round(y, 6) AS y, CASE WHEN user_id % 5 = 0 THEN 'test' ELSE 'train' END AS part,
-  CASE WHEN user_id % 5 <> 0 THEN {_FOLD_SQL.format(seed=2, k=3)} END AS fold, TRUE AS holds_up FROM u
-""", ("MDL-2", "MDL-10", "SPL-5", "EVL-5"))
-def mdl02_gbt_oof(spark, base):
-    """Every training user is predicted once, by the model of the folds without it; test users get the mean of the
-    folds' predictions."""
-    feats = ["n_events", "value_mean", "n_days", "n_purchases"]
-    df = md.assemble(_users(spark, base), feats, null_indicators=False).withColumn("fold", kfold("user_id", 3, 2))
-    train, test = df.where("user_id % 5 <> 0"), df.where("user_id % 5 = 0")
-    oof, averaged = md.oof_predictions(train, "gbt_regressor", "fold", 3, "user_id", label="y", test=test, maxIter=10, maxDepth=3, seed=1)
-    rows = (train.join(oof, "user_id").select("user_id", "y", F.lit("train").alias("part"), "fold", "prediction")
-            .unionByName(test.join(averaged, "user_id").select("user_id", "y", F.lit("test").alias("part"), F.lit(None).cast("int").alias("fold"), "prediction")))
-    return rounded(_checked(rows, _regresses("y"), "user_id", "y", "part", "fold"))
-
-
-@query("mdl11_two_level_stack", f"""
-WITH {_USER_SQL}
-SELECT user_id, round(y, 6) AS y, {_FOLD_SQL.format(seed=21, k=3)} AS fold, TRUE AS holds_up FROM u
-""", ("MDL-11", "MDL-10", "AGG-14", "AGG-15", "SPL-5"))
-def mdl11_two_level_stack(spark, base):
-    """Level one predicts each event's log revenue out of fold, folds grouped by user; its predictions, rolled up
-    per user (sum of logs, log of sum, mean, count), join the user's own features for level two, again out of fold."""
-    e = tables(spark, base).events.select(
-        "event_id", "user_id", F.hour("ts").cast("double").alias("hour"), F.dayofweek("ts").cast("double").alias("weekday"),
-        (F.col("event_type") == "purchase").cast("double").alias("is_purchase"), "value",
-        F.when(F.col("event_type") == "purchase", F.log1p("value")).otherwise(0.0).alias("y1"))
-    level1 = md.assemble(e, ["hour", "weekday", "is_purchase"], null_indicators=False).withColumn("fold", group_kfold("user_id", 3, 21))
-    oof, _ = md.oof_predictions(level1, "gbt_regressor", "fold", 3, "event_id", label="y1", maxIter=5, maxDepth=3, seed=2)
-    rolled = e.select("event_id", "user_id").join(oof, "event_id").groupBy("user_id").agg(
-        F.sum("prediction").alias("sum_of_logs"), F.log1p(F.sum(F.expm1(F.greatest("prediction", F.lit(0.0))))).alias("log_of_sum"),
-        F.avg("prediction").alias("mean_pred"))
-    users = _users(spark, base).drop("n_purchases").join(rolled, "user_id")
-    feats = ["n_events", "value_mean", "n_days", "sum_of_logs", "log_of_sum", "mean_pred"]
-    level2 = md.assemble(users, feats, null_indicators=False).withColumn("fold", group_kfold("user_id", 3, 21))
-    final, _ = md.oof_predictions(level2, "gbt_regressor", "fold", 3, "user_id", label="y", maxIter=8, maxDepth=3, seed=3)
-    rows = level2.select("user_id", "y", "fold").join(final, "user_id")
-    return rounded(_checked(rows, _regresses("y"), "user_id", "y", "fold"))
-
-
 @query("mdl03_rf_importance", _held_out(13), ("MDL-3", "MDL-13", "SRT-3"))
 def mdl03_rf_importance(spark, base):
     """A forest, its 20 most important features (or all, if fewer), and a second forest on these alone."""
@@ -171,12 +109,14 @@ def _scaled(train: DataFrame, valid: DataFrame):
     return model.transform(train), model.transform(valid)
 
 
-@query("mdl05_linear_svc", _held_out(15), ("MDL-5",))
+@query("mdl05_linear_svc", None, ("MDL-5",))
 def mdl05_linear_svc(spark, base):
+    """The class of held-out documents and their distance from the plane; no SQL, the solver decides the last digits."""
     train, valid, _ = _split_docs(spark, base, 15)
     train, valid = _scaled(train, valid)
     model = md.fit(train, "linear_svc", label="quality", features="scaled", maxIter=50, regParam=0.001)
-    return _checked(model.transform(valid), _classifies("quality"), "doc_id", "quality")
+    margin = vector_to_array("rawPrediction")[1]
+    return model.transform(valid).select("doc_id", "quality", F.col("prediction").cast("int").alias("prediction"), F.round(margin, 6).alias("margin"))
 
 
 @query("mdl06_mlp", _held_out(16), ("MDL-6", "SCA-1"))
@@ -187,17 +127,20 @@ def mdl06_mlp(spark, base):
     return _checked(model.transform(valid), _classifies("quality"), "doc_id", "quality")
 
 
-_GRID = {"numTrees": [3, 6], "maxDepth": [2, 4], "minInstancesPerNode": [1, 5], "featureSubsetStrategy": ["sqrt", "onethird", "all"]}
+_GRID = {"numTrees": [3, 6], "maxDepth": [2, 4], "minInstancesPerNode": [1, 5], "featureSubsetStrategy": ["sqrt", "onethird", "all"],
+         "maxBins": [32], "subsamplingRate": [0.9], "minInfoGain": [0.0], "impurity": ["gini"]}
 
 
-@query("mdl08_grid_search", "SELECT 24 AS n_models, 4 AS n_folds, TRUE AS holds_up", ("MDL-8",))
+@query("mdl08_grid_search", None, ("MDL-8",))
 def mdl08_grid_search(spark, base):
-    """24 combinations over four keys, 4 folds; boosters' leaf and bagging keys have no MLlib counterpart."""
+    """24 combinations over eight keys, 4 folds: one row each with the mean area under the curve and its rank."""
     train, _, _ = _split_docs(spark, base, 17)
     ev = BinaryClassificationEvaluator(labelCol="quality", metricName="areaUnderROC")
-    cv = md.grid_search(train.cache(), "rf_classifier", _GRID, ev, folds=4, label="quality", parallelism=4, seed=5)
-    best = max(cv.avgMetrics)
-    return train.limit(1).select(F.lit(len(cv.avgMetrics)).alias("n_models"), F.lit(4).alias("n_folds"), F.lit(best > 0.5).alias("holds_up"))
+    cv = md.grid_search(materialize(train), "rf_classifier", _GRID, ev, folds=4, label="quality", parallelism=4, seed=5)
+    rows = [(*(m[getattr(cv.getEstimator(), k)] for k in _GRID), float(a)) for m, a in zip(cv.getEstimatorParamMaps(), cv.avgMetrics)]
+    types = {int: "int", float: "double", str: "string"}
+    out = spark.createDataFrame(rows, ", ".join(f"{k} {types[type(v[0])]}" for k, v in _GRID.items()) + ", auc double")  # one row a combination
+    return out.withColumn("place", F.rank().over(Window.orderBy(F.desc("auc"))))
 
 
 @query("clu01_kmeans_cluster", "SELECT c_custkey, TRUE AS in_range, TRUE AS holds_up FROM customer", ("CLU-1",))
