@@ -4,51 +4,94 @@ Columns ``cols`` are ordered newest first. For lag ``L`` (0..n-3) the key of a r
 target row" is ``cols[:n-L-2]`` and the key of a row seen "as the source row" is ``cols[L+2:]``; when a
 target key equals exactly one source key, the source row's ``cols[L]`` is the leaked value.
 
-All lags are one plan: both sides are exploded to narrow ``(lag, hashes, id)`` rows, source keys that
-occur more than once per lag are dropped with one aggregate, and one equi-join on the hashes finds every
-match; the keys themselves are compared for matched rows only. The per-lag statistics then come from a table with one row per lag.
+All lags are one plan: a row becomes one narrow row for each lag with the hashes of its two keys, source keys that
+occur more than once per lag are dropped with one aggregate, and one equi-join on the hashes finds every match.
+The per-lag statistics then come from a table with one row per lag.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featmart.functions.rows import nonzero_row_mean, pack
 
 LOG_FALLBACK = 14.49  # fixed value: log-space fill for rows without any estimate
 
 
+#: Odd multipliers of the two polynomial hashes that make a 128-bit key (fixed values, any would do).
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+
+def _mixed(x: np.ndarray, salt: int) -> np.ndarray:
+    """64-bit values whose every bit depends on every bit of the input."""
+    x = x + np.uint64(salt)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def _lag_keys(n: int, fields: Sequence[str]):
+    """For Arrow batches of ``(id, n values)``: one row for each lag with the hashes of the row's key as a target, those
+    of its key as a source, and the value it would leak.
+
+    A row's values are hashed once; running sums of ``hash * base**i`` make the hash of every stretch a difference of two
+    sums (times a power that shifts it to the origin), so a lag costs the same however long its key is."""
+    lags = np.arange(n - 2)
+    up, down = [], []
+    for base in _BASES:
+        for powers, step in ((up, base), (down, pow(base, -1, 1 << 64))):
+            p = np.full(n + 1, np.uint64(step), dtype=np.uint64)
+            p[0] = 1
+            powers.append(np.cumprod(p, dtype=np.uint64))
+
+    def run(batches):
+        for batch in batches:
+            m = len(batch)
+            column = batch.column(1)
+            cells = column.flatten()
+            missing = cells.is_null().to_numpy(zero_copy_only=False)
+            v = pc.fill_null(cells, 0.0).to_numpy(zero_copy_only=False) + 0.0  # -0.0 counts as 0.0
+            bits = np.where(np.isnan(v), np.uint64(0x7FF8000000000000), v.view(np.uint64))
+            bits = np.where(missing, np.uint64(0xFFF8000000000001), bits).reshape(m, n)
+            keys = []
+            for k, base in enumerate(_BASES):
+                sums = np.zeros((m, n + 1), dtype=np.uint64)
+                np.cumsum(_mixed(bits, base) * up[k][:n], axis=1, dtype=np.uint64, out=sums[:, 1:])
+                target = sums[:, n - 2 - lags]
+                source = (sums[:, n:] - sums[:, lags + 2]) * down[k][lags + 2]
+                keys += [_mixed(target, 1), _mixed(source, 1)]
+            value = pa.array(v.reshape(m, n)[:, :n - 2].ravel(), mask=missing.reshape(m, n)[:, :n - 2].ravel())
+            t1, s1, t2, s2 = (pa.array(x.ravel().view(np.int64)) for x in keys)
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(m), n - 2)))
+            yield pa.record_batch([ids, pa.array(np.tile(lags, m).astype(np.int32)), t1, t2, s1, s2, value], names=list(fields))
+
+    return run
+
+
 def lag_matches(df: DataFrame, id_col: str, cols: Sequence[str]) -> DataFrame:
     """LEK-1: ``(id, lag, pred)`` for every (row, lag) whose key matches a unique source key.
 
-    Unmatched (row, lag) pairs are absent (the reference's 0). Only ids and hashes of the keys are
-    shuffled; the arrays are fetched for matched rows, where the keys themselves are compared. Source
-    rows that share the hashes but not the key (seen by a third hash) are regrouped by the key itself.
+    Unmatched (row, lag) pairs are absent (the reference's 0). Keys are 128-bit hashes, made from a row's prefix hashes
+    (the work is linear in the number of columns); NULL equals NULL in a key. Only ids, hashes and the value that
+    would leak are shuffled: source keys are counted per lag with one aggregate, and one join finds all matches.
     """
     n = len(cols)
     base = df.select(F.col(id_col).alias("__id"), pack(list(cols)).alias("__a"))
-    klen = F.lit(n) - F.col("lag") - 2
-    ex = base.select("__id", "__a", F.explode(F.array(*[F.lit(i) for i in range(n - 2)])).alias("lag"))
-
-    def hashed(key, *keep):
-        return ex.select("lag", F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"), *keep)
-
-    source_key = F.slice("__a", F.col("lag") + 3, klen)
-    left = hashed(F.slice("__a", 1, klen), "__id")
-    right = hashed(source_key, "__id", F.hash(source_key).alias("h3"))
-    groups = right.groupBy("lag", "h1", "h2").agg(F.count(F.lit(1)).alias("__c"), F.min("__id").alias("__src"),
-                                                  (F.min("h3") != F.max("h3")).alias("__mixed"))
-    once = groups.where("__c = 1").select("lag", "h1", "h2", "__src")
-    mixed = (right.join(groups.where("__mixed").select("lag", "h1", "h2"), ["lag", "h1", "h2"], "left_semi")
-             .join(base, "__id").groupBy("lag", "h1", "h2", source_key.alias("__k"))
-             .agg(F.count(F.lit(1)).alias("__c"), F.min("__id").alias("__src")).where("__c = 1").select("lag", "h1", "h2", "__src"))
-    m = left.join(once.unionByName(mixed), ["lag", "h1", "h2"]).select("__id", "lag", "__src")
-    m = m.join(base.withColumnRenamed("__a", "__x"), "__id").join(base.select(F.col("__id").alias("__src"), F.col("__a").alias("__y")), "__src")
-    same = F.slice("__x", 1, klen) == F.slice("__y", F.col("lag") + 3, klen)
-    return m.where(same).select(F.col("__id").alias(id_col), "lag", F.element_at("__y", F.col("lag") + 1).alias("pred"))
+    if n < 3:
+        return base.select(F.col("__id").alias(id_col), F.lit(0).alias("lag"), F.element_at("__a", 1).alias("pred")).where("false")
+    fields = ["__id", "lag", "t1", "t2", "s1", "s2", "pred"]
+    schema = T.StructType([T.StructField("__id", df.schema[id_col].dataType), T.StructField("lag", T.IntegerType()),
+                           *(T.StructField(c, T.LongType()) for c in fields[2:6]), T.StructField("pred", T.DoubleType())])
+    keys = base.mapInArrow(_lag_keys(n, fields), schema)
+    once = keys.groupBy("lag", F.col("s1").alias("t1"), F.col("s2").alias("t2")).agg(F.count(F.lit(1)).alias("__c"), F.min("pred").alias("pred")).where("__c = 1")
+    return keys.select("__id", "lag", "t1", "t2").join(once, ["lag", "t1", "t2"]).select(F.col("__id").alias(id_col), "lag", "pred")
 
 
 def compile_leak(df: DataFrame, id_col: str, cols: Sequence[str], max_lag: int | None = None) -> DataFrame:
