@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from featmart.operators.bin_models import boosted_feature_report, drift_report  # noqa: F401
 from featmart.operators.ordered import prefix_sums
 
 
@@ -85,43 +86,6 @@ def unpivot_features(df: DataFrame, ids: Sequence[str], features: Sequence[str])
         .alias("s")).select(*ids, "s.feature", "s.value")
 
 
-def drift_report(train: DataFrame, test: DataFrame, features: Sequence[str], id_col: str, threshold: float = 0.8,
-                 top: int | None = None, bins: int = 32, folds: int = 4, seed: int = 0) -> DataFrame:
-    """EVL-8 (adversarial validation, one feature at a time): how well each feature alone tells test rows
-    (``origin`` 1) from train rows. A feature's range is cut into equal-width bins (NULL is a bin of its
-    own); a row's score is the mean ``origin`` of its bin over the *other* folds, so drift inside the range
-    counts as well as a shift. ``drift_score`` is the AUC of these scores, ``drifted`` = above ``threshold``.
-
-    One aggregate for the ranges and one over ``(feature, bin, fold)``; all that follows is a table of
-    ``features * bins * folds`` rows."""
-    from pyspark.sql import Window
-
-    from featmart.operators.split import kfold
-    both = (train.select(id_col, *features).withColumn("origin", F.lit(0))
-            .unionByName(test.select(id_col, *features).withColumn("origin", F.lit(1)))).withColumn("__fold", kfold(id_col, folds, seed))
-    edge = both.agg(*[F.min(F.col(f).cast("double")).alias(f"lo_{i}") for i, f in enumerate(features)],
-                    *[F.max(F.col(f).cast("double")).alias(f"hi_{i}") for i, f in enumerate(features)]).first()
-    binned = []
-    for i, f in enumerate(features):
-        lo, hi = edge[f"lo_{i}"], edge[f"hi_{i}"]
-        width = (hi - lo) / bins if lo is not None and hi > lo else 1.0
-        at = F.least(F.floor((F.col(f).cast("double") - F.lit(lo or 0.0)) / F.lit(width)).cast("int"), F.lit(bins - 1))
-        binned.append(F.struct(F.lit(f).alias("feature"), F.coalesce(at, F.lit(-1)).alias("bin")))
-    cells = (both.select("origin", "__fold", F.explode(F.array(*binned)).alias("s"))
-             .groupBy("s.feature", "s.bin", "__fold").agg(F.count_if(F.col("origin") == 1).alias("pos"), F.count_if(F.col("origin") == 0).alias("neg")))
-    w = Window.partitionBy("feature", "bin")
-    rest_pos, rest_neg = (F.sum(c).over(w) - F.col(c) for c in ("pos", "neg"))
-    scored = cells.withColumn("score", F.coalesce(F.try_divide(rest_pos, rest_pos + rest_neg), F.lit(0.5)))
-    by_score = scored.groupBy("feature", "score").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    below = F.coalesce(F.sum("neg").over(Window.partitionBy("feature").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = by_score.withColumn("u", F.col("pos") * (below + F.col("neg") / 2))
-    rep = ranked.groupBy("feature").agg(F.try_divide(F.sum("u"), F.sum("pos") * F.sum("neg")).alias("drift_score"))
-    rep = rep.withColumn("drifted", F.col("drift_score") > threshold)
-    if top is not None:
-        rep = rep.orderBy(F.desc("drift_score"), "feature").limit(top)
-    return rep
-
-
 def single_feature_report(df: DataFrame, y: str, base: str, fold: str, features: Sequence[str]) -> DataFrame:
     """EVL-9 re-aimed: per feature, the cross-validated RMSE of the least-squares plane ``y ~ base + feature``
     fitted on the other folds and scored on each fold (mean of the fold values), plus zero and distinct
