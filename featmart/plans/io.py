@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from featmart.plans.registry import query, rounded
 from featmart.session import checkpoint_dir
 from featmart.sources import files as io
+from featmart.sources import positions
 from featmart.sources import tables
 
 CUSTOMER_CSV_SCHEMA = "c_custkey STRING, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -91,3 +92,42 @@ def snk04_fill_template(spark, base):
     preds = (t.orders.where(F.col("o_orderstatus") == "F").groupBy(F.col("o_custkey").alias("c_custkey"))
              .agg(F.count(F.lit(1)).alias("target")))
     return io.fill_template(template, preds, "c_custkey", "target")
+
+
+# ---- rows by position -----------------------------------------------------------------------------
+@query("jn10_positional_join", """
+WITH o AS (SELECT row_number() OVER () - 1 AS position, o_orderkey, o_totalprice FROM orders),
+p AS (SELECT row_number() OVER () - 1 AS position, p_partkey, p_retailprice FROM part)
+SELECT position, o_orderkey, p_partkey, round(0.25 * o_totalprice + 0.75 * p_retailprice, 6) AS blended FROM o JOIN p USING (position)
+""", ("JN-10", "SRT-8"))
+def jn10_positional_join(spark, base):
+    """Two tables without a common key, row by row in file order, as prediction files are blended."""
+    o = positions.parquet_positions(spark, f"{base}/orders.parquet").select("position", "o_orderkey", "o_totalprice")
+    p = positions.parquet_positions(spark, f"{base}/part.parquet").select("position", "p_partkey", "p_retailprice")
+    blended = (0.25 * F.col("o_totalprice") + 0.75 * F.col("p_retailprice")).alias("blended")
+    return rounded(positions.positional_join(o, p).select("position", "o_orderkey", "p_partkey", blended))
+
+
+@query("prj11_positional_slice", """
+SELECT * FROM (SELECT row_number() OVER () - 1 AS position, l_orderkey, l_linenumber, l_partkey FROM lineitem) WHERE position >= 1000 AND position < 5000
+""", ("PRJ-11", "SRT-8"))
+def prj11_positional_slice(spark, base):
+    """A stretch of the file's rows, as they stand."""
+    li = positions.parquet_positions(spark, f"{base}/lineitem.parquet")
+    return positions.positional_slice(li, 1000, 5000).select("position", "l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("snk04_fill_by_position", """
+WITH o AS (SELECT row_number() OVER () - 1 AS position, o_orderkey FROM orders), l AS (SELECT row_number() OVER () - 1 AS position, l_extendedprice FROM lineitem)
+SELECT position, o_orderkey, round(l_extendedprice, 6) AS target FROM o LEFT JOIN l USING (position)
+""", ("SNK-4", "JN-10"))
+def snk04_fill_by_position(spark, base):
+    """A template's column filled from predictions that were written without ids: both go through CSV files."""
+    root = _scratch(spark, "by_position")
+    o = positions.parquet_positions(spark, f"{base}/orders.parquet").orderBy("position").select("o_orderkey", F.lit(0.0).alias("target"))
+    li = positions.parquet_positions(spark, f"{base}/lineitem.parquet").orderBy("position").select("l_extendedprice")
+    o.write.csv(f"{root}/template", header=True)
+    li.write.csv(f"{root}/predictions", header=True)
+    template = positions.csv_positions(spark, f"{root}/template", "o_orderkey long, target double")
+    predicted = positions.csv_positions(spark, f"{root}/predictions", "l_extendedprice double")
+    return rounded(positions.positional_join(template.drop("target"), predicted.withColumnRenamed("l_extendedprice", "target"), how="left"))

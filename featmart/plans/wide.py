@@ -12,6 +12,7 @@ from featmart.operators import profile as prof
 from featmart.operators import relational as rel
 from featmart.plans.registry import case_sql, query, rounded
 from featmart.sources import tables
+from featmart.sources.bucketed import BucketedCache, bucketed_mart
 
 _MMM = ("mean", "max", "min")
 
@@ -28,7 +29,7 @@ def _mmm_sql(cols, prefix=""):
 _CLASH = ", ".join(f"{p}.o_totalprice_{f} AS {p}_o_totalprice_{f}" for p in ("filled", "open") for f in _MMM)
 
 
-@query("customer_full_mart", f"""
+_FULL_MART_SQL = f"""
 WITH filled AS (SELECT o_custkey AS k, {_mmm_sql(['o_totalprice'])}, count(*) AS n_filled FROM orders WHERE o_orderstatus = 'F' GROUP BY 1),
 open AS (SELECT o_custkey AS k, {_mmm_sql(['o_totalprice'])}, count(*) AS n_open FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1),
 prio AS (SELECT o_custkey AS k, nullif(count(*) FILTER (WHERE o_orderpriority = '1-URGENT'), 0) AS "o_orderpriority_1-URGENT",
@@ -46,11 +47,25 @@ SELECT c_custkey, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment, {
   parts.n_distinct AS parts_n_distinct, supp.n_distinct AS supp_n_distinct
 FROM customer LEFT JOIN filled ON c_custkey = filled.k LEFT JOIN open ON c_custkey = open.k LEFT JOIN prio ON c_custkey = prio.k
 LEFT JOIN lines ON c_custkey = lines.k LEFT JOIN parts ON c_custkey = parts.k LEFT JOIN supp ON c_custkey = supp.k
-""", ("JN-1", "JN-3", "JN-11", "AGG-2", "AGG-8", "AGG-9", "FLT-1"))
+"""
+
+
+@query("customer_full_mart", _FULL_MART_SQL, ("JN-1", "JN-3", "JN-11", "AGG-2", "AGG-8", "AGG-9", "FLT-1"))
 def customer_full_mart(spark, base):
     """Six branches per customer: filled and other orders (the same statistics under the same names), orders by
     priority, lines, parts and suppliers. The three line branches come from one joined, column-pruned table; a
     line's part and supplier are looked up before any aggregate."""
+    return rel.left_mart(*_full_mart_parts(spark, base), "c_custkey")
+
+
+@query("jn03_bucketed_mart", _FULL_MART_SQL, ("JN-3", "SRC-9", "JN-1", "JN-11"))
+def jn03_bucketed_mart(spark, base):
+    """The same mart over feature tables that are cached in buckets of the customer's key: the joins move no rows."""
+    customers, parts = _full_mart_parts(spark, base)
+    return bucketed_mart(BucketedCache.sized_for(customers, "c_custkey"), customers, parts)
+
+
+def _full_mart_parts(spark, base):
     t = tables(spark, base)
     o = t.orders.withColumnRenamed("o_custkey", "c_custkey")
 
@@ -74,7 +89,7 @@ def customer_full_mart(spark, base):
         "supp": mmm(lines, "s_acctbal", extra=[F.count_distinct("l_suppkey").alias("n_distinct")]),
     }
     c = t.customer.select("c_custkey", "c_nationkey", F.round("c_acctbal", 6).alias("c_acctbal"), "c_mktsegment")
-    return rel.left_mart(c, parts, "c_custkey")
+    return c, parts
 
 
 @query("agg10_category_long", """
