@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from featmart.operators import text as tx
+from featmart.operators import treebank as tb
 from featmart.plans.registry import query, rounded
 from featmart.sources import tables
 
@@ -158,3 +159,14 @@ def txt12_corpus_stats(spark, base):
     lengths = d.agg(F.max(size).alias("longest"), F.sum(size).alias("n_tokens"), F.count(F.lit(1)).alias("n_docs"))
     vocab = d.select(F.explode("toks").alias("t")).distinct().agg(F.count("t").alias("vocab_size"))
     return vocab.join(F.broadcast(lengths)).select("vocab_size", "longest", "n_tokens", "n_docs")  # one row each
+
+
+@query("txt01_treebank_tokens", f"""
+WITH t AS (SELECT doc_id, unnest(list_filter(regexp_split_to_array({tb.rewritten_sql('text')}, '[ \\n\\t\\r\\x0b\\x0c]+'), lambda x: x <> '')) AS token FROM documents)
+SELECT token, count(*) AS n, count(DISTINCT doc_id) AS n_docs FROM t GROUP BY token
+""", ("TXT-1",))
+def txt01_treebank_tokens(spark, base):
+    """How often each Treebank token occurs, and in how many texts."""
+    d = tables(spark, base).documents.select("doc_id", F.explode(tb.treebank_tokens("text")).alias("token"))
+    per = d.groupBy("token", "doc_id").agg(F.count(F.lit(1)).alias("n"))  # pre-aggregated: a frequent token is a row a text
+    return per.groupBy("token").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_docs"))
