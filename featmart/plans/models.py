@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from featmart.operators import encode as enc
 from featmart.operators import models as md
+from featmart.operators import one_class as oc
 from featmart.operators.split import BUCKETS, kfold, split_flag
 from featmart.plans.registry import query
 from featmart.session import materialize
@@ -127,6 +128,15 @@ def mdl06_mlp(spark, base):
     return _checked(model.transform(valid), _classifies("quality"), "doc_id", "quality")
 
 
+@query("mdl07_one_class", None, ("MDL-7", "SPL-8"))
+def mdl07_one_class(spark, base):
+    """A boundary around the documents that are not toxic, a tenth of them outside; all documents with their distance."""
+    df, names = _doc_features(spark, base)
+    rows = materialize(df.select("doc_id", "toxic", *names))
+    model = oc.fit(rows.where("toxic = 0"), names, nu=0.1)
+    return model.predict(rows).select("doc_id", "toxic", "flagged", F.round("margin", 6).alias("margin"))
+
+
 _GRID = {"numTrees": [3, 6], "maxDepth": [2, 4], "minInstancesPerNode": [1, 5], "featureSubsetStrategy": ["sqrt", "onethird", "all"],
          "maxBins": [32], "subsamplingRate": [0.9], "minInfoGain": [0.0], "impurity": ["gini"]}
 
