@@ -33,8 +33,8 @@ from featmart.llm.packed import Items, answers, bits_for, squeeze, totals, unsqu
 
 ORDER = 3
 ALPHA = 0.4
-SEGMENT_BYTES = 5 << 20
-PARTITION_WORDS = 1 << 20
+SEGMENT_BYTES = 7 << 19
+PARTITION_WORDS = 1 << 19
 
 _SCORE = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("log_score", pa.float64())])
 
