@@ -55,6 +55,7 @@ ALLOW = (
     r"^(.{1,4})\1{3,}.{0,3}$",
     r"^[0-9-]+$",
 )
+PIECE = 1024  # windows slid over at a time
 BLANK = " "  # stands where a candidate must not be looked at
 _FIXED = 1_000_000
 _N_LOG_N = [round(n * math.log2(n) * _FIXED) if n else 0 for n in range(WINDOW + 1)]
@@ -62,37 +63,68 @@ _N_LOG_N = [round(n * math.log2(n) * _FIXED) if n else 0 for n in range(WINDOW +
 
 def entropy_spans(value: Column, least_bits: Column) -> Column:
     """Maximal unions of windows of ``value`` with at least ``least_bits`` of entropy and without a
-    blank, as ``array<struct<start,end>>`` within it."""
+    blank, as ``array<struct<start,end>>`` within it.
+
+    The characters are looked up once, and the window slides over pieces of ``PIECE`` of them (each begins with the
+    window before it), so that the work is in proportion to the length."""
     table = F.array(*(F.lit(v).cast("long") for v in _N_LOG_N))
     codes = F.transform(F.filter(F.split(value, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(ALPHABET + BLANK)) - 1)
     # entropy = log2(WINDOW) - sum / WINDOW, so high entropy is a small sum
     most = ((math.log2(WINDOW) - least_bits) * (WINDOW * _FIXED)).cast("long")
     none = F.array().cast("array<struct<start:int,end:int>>")
-
-    def step(a: Column, i: Column) -> Column:
-        new = codes[i]
-        old = F.when(i >= WINDOW, codes[F.greatest(i - WINDOW, F.lit(0))]).otherwise(-1)
-        n_old = F.when(old >= 0, a["n"][F.greatest(old, F.lit(0))]).otherwise(0)
-        without = a["sum"] - F.when(n_old > 0, table[n_old] - table[F.greatest(n_old - 1, F.lit(0))]).otherwise(0)
-        n_new = a["n"][new] - F.when(new == old, 1).otherwise(0)
-        total = without + table[n_new + 1] - table[n_new]
-        counts = F.transform(a["n"], lambda n, j: n + F.when(j == new, 1).otherwise(0) - F.when(j == old, 1).otherwise(0))
-        start, end = i - (WINDOW - 1), i + 1
-        joins = (F.size(a["out"]) > 0) & (F.element_at(a["out"], -1)["end"] >= start)
-        grown = F.when(joins, F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1), F.array(F.struct(
-            F.element_at(a["out"], -1)["start"].alias("start"), end.alias("end"))))).otherwise(
-            F.concat(a["out"], F.array(F.struct(start.alias("start"), end.alias("end")))))
-        return F.struct(counts.alias("n"), total.alias("sum"),
-                        F.when((start >= 0) & (total <= most) & (F.element_at(counts, -1) == 0), grown).otherwise(a["out"]).alias("out"))
-
-    begin = F.struct(F.array_repeat(F.lit(0), len(ALPHABET + BLANK)).alias("n"), F.lit(0).cast("long").alias("sum"), none.alias("out"))
-    return F.aggregate(F.sequence(F.lit(0), F.length(value) - 1), begin, step, lambda a: a["out"])
-
-
-def _class(value: Column, pick) -> Column:
+    # the counts stand in a string, one character each from "0" on: changing one copies a few dozen bytes
+    begin = F.struct(F.lit("0" * len(ALPHABET + BLANK)).alias("n"), F.lit(0).cast("long").alias("sum"), none.alias("out"))
+
+    def count(counts: Column, code: Column) -> Column:
+        return F.ascii(F.substring(counts, code + 1, F.lit(1))) - ord("0")
+
+    def counted(counts: Column, code: Column, n: Column) -> Column:
+        return F.overlay(counts, F.char(n + ord("0")), code + 1, F.lit(1))
+
+    def piece(text: Column, first: Column) -> Column:
+        """Unions of the windows that end in ``first`` to ``first + PIECE - 1``."""
+        warm = F.greatest(first - (WINDOW - 1), F.lit(0))
+
+        def step(a: Column, i: Column) -> Column:
+            new = F.get(text, i)
+            old = F.when(i - WINDOW >= warm, F.get(text, F.greatest(i - WINDOW, F.lit(0)))).otherwise(-1)
+            n_old = F.when(old >= 0, count(a["n"], old)).otherwise(0)
+            without = a["sum"] - F.when(n_old > 0, F.get(table, n_old) - F.get(table, n_old - 1)).otherwise(0)
+            rest = F.when(old >= 0, counted(a["n"], old, n_old - 1)).otherwise(a["n"])
+            n_new = count(a["n"], new) - F.when(new == old, 1).otherwise(0)
+            total = without + F.get(table, n_new + 1) - F.get(table, n_new)
+            counts = counted(rest, new, n_new + 1)
+            start, end = i - (WINDOW - 1), i + 1
+            joins = (F.size(a["out"]) > 0) & (F.element_at(a["out"], -1)["end"] >= start)
+            grown = F.when(joins, F.concat(F.slice(a["out"], 1, F.size(a["out"]) - 1), F.array(F.struct(
+                F.element_at(a["out"], -1)["start"].alias("start"), end.alias("end"))))).otherwise(
+                F.concat(a["out"], F.array(F.struct(start.alias("start"), end.alias("end")))))
+            full = (start >= 0) & (i >= first) & (total <= most) & counts.endswith("0")
+            return F.struct(counts.alias("n"), total.alias("sum"), F.when(full, grown).otherwise(a["out"]).alias("out"))
+
+        return F.aggregate(F.sequence(warm, F.least(first + PIECE, F.size(text)) - 1), begin, step, lambda a: a["out"])
+
+    def pieces(text: Column) -> Column:
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(text) - 1, F.lit(PIECE)), lambda first: piece(text, first)))
+
+    def united(spans: Column) -> Column:
+        """Unions of pieces that touch: a span begins where the one before ends earlier, and ends likewise."""
+        starts = F.filter(spans, lambda s, i: (i == 0) | (F.get(spans, i - 1)["end"] < s["start"]))
+        ends = F.filter(spans, lambda s, i: (i == F.size(spans) - 1) | (F.get(spans, i + 1)["start"] > s["end"]))
+        return F.zip_with(starts, ends, lambda s, e: F.struct(s["start"].alias("start"), e["end"].alias("end")))
+
+    def bound(expression: Column, body) -> Column:
+        """``body`` of a value that is worked out once."""
+        return F.get(F.transform(F.array(expression), body), F.lit(0))
+
+    return bound(codes, lambda text: F.when(F.size(text) > 0, bound(pieces(text), united)).otherwise(none))
+
+
+def _class(value: Column) -> Column:
+    """Number of the narrowest class that holds all of ``value``."""
     out = None
     for k, c in enumerate(CLASSES):
-        out = F.when(value.rlike(c[1]), pick(k, c)) if out is None else out.when(value.rlike(c[1]), pick(k, c))
+        out = F.when(value.rlike(c[1]), k) if out is None else out.when(value.rlike(c[1]), k)
     return out
 
 
@@ -128,15 +160,16 @@ def secrets(docs: DataFrame, text_col: str = "text", allow: Sequence[str] = ALLO
     forms = {k: F.col(f"__{k}") for k in BASE}
     forms["assign"] = F.filter("__assign", lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= 6)
     found = found.withColumn("__base", F.array_sort(F.concat(*(tagged(k, i, forms[k]) for i, k in enumerate(BASE)))))
-    runs = F.transform("__run", lambda s: F.struct(s["start"].alias("start"), s["value"].alias("value"),
+    runs = F.transform("__run", lambda s: F.struct(s["start"].alias("start"), _class(s["value"]).alias("class"),
                                                    _free(s, F.col("__base"), allow).alias("free")))
     runs = F.filter(runs, lambda s: s["free"].rlike(f"[^{BLANK}]{{{WINDOW}}}"))
 
+    names_of, bits_of = (F.array(*(F.lit(c[i]) for c in CLASSES)) for i in (0, 2))
+
     def windows(s: Column) -> Column:
-        bits = _class(s["value"], lambda k, c: F.lit(c[2]))
-        return F.transform(entropy_spans(s["free"], bits), lambda w: F.struct(
-            (s["start"] + w["start"]).alias("start"), _class(s["value"], lambda k, c: F.lit(len(BASE) + k)).alias("place"),
-            (s["start"] + w["end"]).alias("end"), _class(s["value"], lambda k, c: F.lit(c[0])).alias("kind")))
+        return F.transform(entropy_spans(s["free"], F.get(bits_of, s["class"])), lambda w: F.struct(
+            (s["start"] + w["start"]).alias("start"), (s["class"] + len(BASE)).alias("place"),
+            (s["start"] + w["end"]).alias("end"), F.get(names_of, s["class"]).alias("kind")))
 
     found = found.withColumn("__free", runs)
     found = found.withColumn("__high", F.when(F.size("__free") > 0, F.flatten(F.transform("__free", windows)))
