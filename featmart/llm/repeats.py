@@ -163,7 +163,7 @@ class Stretches:
         first = np.flatnonzero(new)
         low, high, anchor = start[first], start[np.append(first[1:], len(start)) - 1], anchor[first]
         content = mix64(range_hash(prefix, low, high + LENGTH) + (anchor - low).astype(np.uint64))
-        return low + cut, high + cut, h[anchor], content
+        return low + cut, high + cut, mix64(h[anchor]), content  # the least hashes crowd at zero: spread them for the buckets
 
 
 def _load(row: dict) -> tuple[Stretches, np.ndarray]:
