@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from featmart.operators import encode as enc
 from featmart.operators import models as md
+from featmart.operators import neural as nn
 from featmart.operators import one_class as oc
 from featmart.operators.split import BUCKETS, kfold, split_flag
 from featmart.plans.registry import query
@@ -128,6 +129,16 @@ def mdl06_mlp(spark, base):
     return _checked(model.transform(valid), _classifies("quality"), "doc_id", "quality")
 
 
+@query("mdl06_relu_dropout", None, ("MDL-6",))
+def mdl06_relu_dropout(spark, base):
+    """The probability of good quality for held-out documents, by a network with a ReLU layer and dropout."""
+    df, names = _doc_features(spark, base)
+    rows = materialize(df.select("doc_id", "quality", *names).withColumn("is_valid", split_flag("doc_id", 0.25, 16)))
+    net = nn.fit(rows.where(~F.col("is_valid")), names, "quality", "doc_id", (16,), epochs=4, batches=4, rate=0.2, dropout=0.2, seed=1)
+    out = net.predict(rows.where("is_valid"))
+    return out.select("doc_id", "quality", F.round("p1", 6).alias("p1"), (F.col("p1") > 0.5).cast("int").alias("prediction"))
+
+
 @query("mdl07_one_class", None, ("MDL-7", "SPL-8"))
 def mdl07_one_class(spark, base):
     """A boundary around the documents that are not toxic, a tenth of them outside; all documents with their distance."""
