@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from featmart.plans.registry import query, rounded
 from featmart.session import checkpoint_dir
 from featmart.sources import files as io
-from featmart.sources import positions
+from featmart.sources import positions, word_vectors
 from featmart.sources import tables
 
 CUSTOMER_CSV_SCHEMA = "c_custkey STRING, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING"
@@ -131,3 +131,15 @@ def snk04_fill_by_position(spark, base):
     template = positions.csv_positions(spark, f"{root}/template", "o_orderkey long, target double")
     predicted = positions.csv_positions(spark, f"{root}/predictions", "l_extendedprice double")
     return rounded(positions.positional_join(template.drop("target"), predicted.withColumnRenamed("l_extendedprice", "target"), how="left"))
+
+
+@query("src13_word_vectors", """
+SELECT 'w' || vec_id AS word, len(embedding) AS dim, round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 4) AS total FROM embeddings
+""", ("SRC-13", "TXT-10"))
+def src13_word_vectors(spark, base):
+    """The embeddings written as a word-vector file and read back by byte ranges."""
+    path = _scratch(spark, "word_vectors")
+    e = tables(spark, base).embeddings
+    word_vectors.write_word_vectors(e.select(F.concat(F.lit("w"), "vec_id").alias("word"), F.col("embedding").cast("array<float>").alias("vector")), path)
+    total = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double"))
+    return word_vectors.read_word_vectors(spark, path, rangebytes=4 << 20).select("word", F.size("vector").cast("bigint").alias("dim"), F.round(total, 4).alias("total"))
