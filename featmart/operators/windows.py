@@ -92,3 +92,12 @@ def ordered_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], val
     ``order`` must be total within a group. No list is built, so a group may have any length."""
     numbered = grouped_row_number(df.select(*dict.fromkeys([*keys, *order, value])), keys, order, name)
     return numbered.select(*keys, (F.col(name) - 1).cast("bigint").alias(name), F.col(value).alias("value"))
+
+
+def wide_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, width: int, prefix: str = "pred") -> DataFrame:
+    """AGG-12 in the wide form: one row a group with its first ``width`` values in ``order`` as ``<prefix>_0`` and so on
+    (NULL where the group is shorter) and ``n_values``, the length of the whole list. One aggregate over the numbered
+    rows, so a group of any length is summed up in parts."""
+    long = ordered_values(df, keys, order, value)
+    slots = [F.max(F.when(F.col("pos") == i, F.col("value"))).alias(f"{prefix}_{i}") for i in range(width)]
+    return long.groupBy(*keys).agg(*slots, F.count(F.lit(1)).alias("n_values"))

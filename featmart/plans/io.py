@@ -143,3 +143,18 @@ def src13_word_vectors(spark, base):
     word_vectors.write_word_vectors(e.select(F.concat(F.lit("w"), "vec_id").alias("word"), F.col("embedding").cast("array<float>").alias("vector")), path)
     total = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double"))
     return word_vectors.read_word_vectors(spark, path, rangebytes=4 << 20).select("word", F.size("vector").cast("bigint").alias("dim"), F.round(total, 4).alias("total"))
+
+
+@query("src11_labelled_bytes", """
+SELECT lang AS label, CAST(sum(strlen(text) + 1) AS BIGINT) AS n_bytes, CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_lines
+FROM documents GROUP BY lang
+""", ("SRC-11", "SRC-12"))
+def src11_labelled_bytes(spark, base):
+    """The texts written into a folder for each language and read back as files, bytes and all, labelled by their folder."""
+    root = _scratch(spark, "labelled")
+    tables(spark, base).documents.select("lang", F.coalesce("text", F.lit("")).alias("text")).write.partitionBy("lang").option(
+        "maxRecordsPerFile", 2000).text(root)  # bounded files: each is read as one value
+    read = io.read_labelled_files(spark, root, "*.txt")
+    lines = F.regexp_count(F.col("content").cast("string"), F.lit("\n"))
+    return read.groupBy(F.regexp_replace("label", "^lang=", "").alias("label")).agg(
+        F.sum(F.length("content")).alias("n_bytes"), F.sum(lines).cast("bigint").alias("n_lines"))

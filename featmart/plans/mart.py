@@ -384,3 +384,17 @@ def src12_label_dictionary(spark, base):
     p = tables(spark, base).pages.select("page_id", label_from_path(F.regexp_replace("url", "[?#].*$", "")).alias("label"))
     d = enc.label_dictionary(p, "label", null_text=None).withColumnRenamed("value", "label").withColumnRenamed("code", "label_id")
     return p.join(d, "label").select("page_id", "label", "label_id")
+
+
+_WIDTH = 16
+
+
+@query("agg12_wide_list", f"""
+WITH o AS (SELECT o_custkey, o_totalprice, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS pos FROM orders)
+SELECT o_custkey, {', '.join(f'round(max(o_totalprice) FILTER (WHERE pos = {i}), 6) AS pred_{i}' for i in range(_WIDTH))}, count(*) AS n_values
+FROM o GROUP BY o_custkey
+""", ("AGG-12", "WIN-9"))
+def agg12_wide_list(spark, base):
+    """A customer's first orders side by side, and how many there are."""
+    o = tables(spark, base).orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
+    return rounded(win.wide_values(o, ["o_custkey"], ["o_orderdate", "o_orderkey"], "o_totalprice", _WIDTH))
