@@ -28,7 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 100_000
+CACHE = 300_000  # distinct pieces remembered; beginnings of pieces and pairs of tokens in proportion
+LATIN_END = "\u0250"  # all letters below are letters to the pattern as well
 STEM = 6  # bytes of a piece whose prefix table is shared with other pieces
 LONG_TEXT = 1 << 20  # characters; longer texts are split piece by piece
 PIECES = 1 << 16
@@ -80,7 +81,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= 2 * CACHE:
+            if len(self.pairs) >= CACHE:
                 self.pairs.clear()
             known = self.pairs[key] = self._stay_apart(left, right)
         return known
@@ -192,11 +193,11 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary, pattern: str = PATTERN):
         self.vocab, self.pattern = vocab, regex.compile(pattern)
+        self.stem = _Memo(lambda data: array("i", PrefixTable(vocab, data).last), CACHE // 4)
         self.piece = _Memo(self._piece)
-        self.stem = _Memo(lambda data: array("i", PrefixTable(vocab, data).last), CACHE // 2)
-        self.spaced = _Memo(lambda chunk: self._split(" " + chunk))
         # a space followed by a non-space begins a piece of the public pattern, whatever went before
         self.by_space = pattern == PATTERN
+        self.marks = {"": b"", **{m: self._piece(m) for m in ".,;:!?" if m.encode() in vocab.rank}}
 
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
@@ -208,6 +209,14 @@ class Encoder:
         ids = table.tokens()
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _chunk(self, chunk: str) -> bytes:
+        """A space and ``chunk``, which reaches up to the next space: a word, or one with a mark behind it, is told
+        without the pattern."""
+        word, mark = (chunk[:-1], chunk[-1:]) if chunk[-1:] in self.marks else (chunk, "")
+        if word.isalpha() and (word.isascii() or max(word) < LATIN_END):
+            return self.piece[" " + word] + self.marks[mark]
+        return self._split(" " + chunk)
+
     def _split(self, text: str) -> bytes:
         if len(text) <= LONG_TEXT:
             return b"".join(map(self.piece.__getitem__, self.pattern.findall(text)))
@@ -221,7 +230,7 @@ class Encoder:
         if not self.by_space or any(w + " " in text for w in blank):
             return self._split(text)
         first, *chunks = text.split(" ")
-        return self._split(first) + b"".join(map(self.spaced.__getitem__, chunks))
+        return self._split(first) + b"".join(map(self._chunk, chunks))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocab.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
