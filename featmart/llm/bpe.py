@@ -8,7 +8,7 @@ what is there, and after an edit only the prefixes near it are computed anew.
 
 The vocabulary is a rank file (base64 token and rank on each line) at a path that every machine can
 read. Text is split by a pattern first; pieces are encoded separately and a task keeps the encodings
-of up to twice ``CACHE`` distinct pieces (results do not depend on it).
+of up to twice ``CACHE`` distinct words (results do not depend on it).
 
 Defined edge cases: a null text is empty and has no tokens; repeated rows are encoded each; ids that
 the vocabulary does not have raise an error when decoded; an empty table gives an empty table.
@@ -28,7 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 300_000  # distinct pieces remembered; beginnings of pieces and pairs of tokens in proportion
+CACHE = 600_000  # distinct words remembered
+PIECES_KEPT, STEMS, PAIRS = 100_000, 100_000, 300_000  # other pieces, beginnings of pieces and pairs of tokens remembered
 LATIN_END = "\u0250"  # all letters below are letters to the pattern as well
 STEM = 6  # bytes of a piece whose prefix table is shared with other pieces
 LONG_TEXT = 1 << 20  # characters; longer texts are split piece by piece
@@ -45,9 +46,11 @@ class Vocabulary:
             self.rank = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(None, f))}
         self.token = {r: t for t, r in self.rank.items()}
         self.longest = max(map(len, self.rank))
-        self.reach: dict[bytes, int] = {}  # longest token by its last two bytes
-        for t in self.rank:
-            self.reach[t[-2:]] = max(len(t), self.reach.get(t[-2:], 1))
+        ends: dict[bytes, set[int]] = {}
+        for t in filter(lambda t: len(t) > 2, self.rank):
+            ends.setdefault(t[-3:], set()).add(len(t))
+        #: Lengths of the tokens that end in three bytes, longest first; one and two bytes may always be a token.
+        self.ends = {e: (*sorted(n, reverse=True), 2, 1) for e, n in ends.items()}
         self.pairs: dict[int, bool] = {}  # by ``left << 32 | right``
         self._parts: dict[int, tuple[int, int] | None] = {}
 
@@ -81,7 +84,7 @@ class Vocabulary:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= CACHE:
+            if len(self.pairs) >= PAIRS:
                 self.pairs.clear()
             known = self.pairs[key] = self._stay_apart(left, right)
         return known
@@ -102,6 +105,7 @@ class Vocabulary:
 
 
 START = -1  # stands for the empty prefix
+_SHORT = (2, 1)
 
 
 class PrefixTable:
@@ -114,12 +118,14 @@ class PrefixTable:
     def _extend(self, data: bytes, last: list[int], until: int) -> None:
         """Add the valid last tokens of the prefixes of ``data`` that end at ``len(last)`` to ``until``."""
         vocab = self.vocab
-        rank, known, reach = vocab.rank.get, vocab.pairs.get, vocab.reach.get
+        rank, known, ends = vocab.rank.get, vocab.pairs.get, vocab.ends.get
         for i in range(len(last), until + 1):
-            for j in range(max(0, i - reach(data[i - 2:i] if i > 1 else data[:1], 1)), i):
-                t = rank(data[j:i])
+            for n in ends(data[i - 3:i], _SHORT) if i > 2 else _SHORT[2 - i:]:
+                if n > i:
+                    continue
+                t = rank(data[i - n:i])
                 if t is not None:
-                    before = last[j]
+                    before = last[i - n]
                     fits = before == START or known(before << 32 | t)
                     if fits is None:
                         fits = vocab.compatible(before, t)
@@ -137,8 +143,8 @@ class PrefixTable:
     @classmethod
     def of(cls, vocab: Vocabulary, data: bytes, last: Iterable[int]) -> "PrefixTable":
         """The table of ``data`` whose last tokens are already known."""
-        table = cls(vocab)
-        table.data, table.last = data, list(last)
+        table = cls.__new__(cls)
+        table.vocab, table.data, table.last = vocab, data, list(last)
         return table
 
     def replace(self, start: int, end: int, data: bytes) -> int:
@@ -188,16 +194,36 @@ class _Memo(dict):
         return out
 
 
+class _Words(_Memo):
+    """Encodings of a space and what follows up to the next. A word of Latin letters, or one with a mark behind it, is
+    told without the pattern and remembered; anything else is split by the pattern."""
+
+    def __init__(self, encoder: "Encoder"):
+        super().__init__(self._word)
+        self.encoder = encoder
+        self.marks = {m: encoder._piece(m) for m in ".,;:!?" if m.encode() in encoder.vocab.rank}
+
+    def __missing__(self, chunk: str) -> bytes:
+        word = chunk[:-1] if chunk[-1:] in self.marks else chunk
+        if word.isalpha() and (word.isascii() or max(word) < LATIN_END):
+            return super().__missing__(chunk)
+        return self.encoder._split(" " + chunk)
+
+    def _word(self, chunk: str) -> bytes:
+        mark = self.marks.get(chunk[-1])
+        return self.encoder._piece(" " + chunk) if mark is None else self[chunk[:-1]] + mark
+
+
 class Encoder:
     """Text to the bytes of its ids (little-endian unsigned 32-bit) and back."""
 
     def __init__(self, vocab: Vocabulary, pattern: str = PATTERN):
         self.vocab, self.pattern = vocab, regex.compile(pattern)
-        self.stem = _Memo(lambda data: array("i", PrefixTable(vocab, data).last), CACHE // 4)
-        self.piece = _Memo(self._piece)
+        self.stem = _Memo(lambda data: array("i", PrefixTable(vocab, data).last), STEMS)
+        self.piece = _Memo(self._piece, PIECES_KEPT)
         # a space followed by a non-space begins a piece of the public pattern, whatever went before
         self.by_space = pattern == PATTERN
-        self.marks = {"": b"", **{m: self._piece(m) for m in ".,;:!?" if m.encode() in vocab.rank}}
+        self.words = _Words(self)
 
     def _piece(self, piece: str) -> bytes:
         data = piece.encode()
@@ -209,14 +235,6 @@ class Encoder:
         ids = table.tokens()
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _chunk(self, chunk: str) -> bytes:
-        """A space and ``chunk``, which reaches up to the next space: a word, or one with a mark behind it, is told
-        without the pattern."""
-        word, mark = (chunk[:-1], chunk[-1:]) if chunk[-1:] in self.marks else (chunk, "")
-        if word.isalpha() and (word.isascii() or max(word) < LATIN_END):
-            return self.piece[" " + word] + self.marks[mark]
-        return self._split(" " + chunk)
-
     def _split(self, text: str) -> bytes:
         if len(text) <= LONG_TEXT:
             return b"".join(map(self.piece.__getitem__, self.pattern.findall(text)))
@@ -230,7 +248,7 @@ class Encoder:
         if not self.by_space or any(w + " " in text for w in blank):
             return self._split(text)
         first, *chunks = text.split(" ")
-        return self._split(first) + b"".join(map(self._chunk, chunks))
+        return self._split(first) + b"".join(map(self.words.__getitem__, chunks))
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.vocab.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
