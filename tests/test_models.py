@@ -1,6 +1,5 @@
 """Invariants of the model queries beyond their SQL oracles."""
 
-import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
@@ -38,6 +37,5 @@ def test_grid_search_reports_every_combination(spark):
     assert all(0 <= r.auc <= 1 for r in rows) and min(r.place for r in rows) == 1
 
 
-def test_stack_is_the_weighted_pair(spark):
-    got = Q["mdl11_two_level_stack"](spark, SMALL).agg(F.corr("y", "prediction")).first()[0]
-    assert got == pytest.approx(got) and got > 0
+def test_stack_follows_the_target(spark):
+    assert Q["mdl11_two_level_stack"](spark, SMALL).agg(F.corr("y", "prediction")).first()[0] > 0
