@@ -28,8 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 600_000  # distinct words remembered
-PIECES_KEPT, STEMS, PAIRS = 100_000, 100_000, 300_000  # other pieces, beginnings of pieces and pairs of tokens remembered
+CACHE = 150_000  # distinct words remembered
+PIECES_KEPT, STEMS, PAIRS = 50_000, 50_000, 200_000  # other pieces, beginnings of pieces and pairs of tokens remembered
 LATIN_END = "\u0250"  # all letters below are letters to the pattern as well
 STEM = 6  # bytes of a piece whose prefix table is shared with other pieces
 LONG_TEXT = 1 << 20  # characters; longer texts are split piece by piece
