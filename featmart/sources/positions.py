@@ -1,8 +1,9 @@
 """Rows by their place in a file (JN-10, PRJ-11, SNK-4, SRT-8): slices and joins of tables that share no key.
 
-A row's number is its place in its file plus the rows of the files before it (by path): one count per file. The
-Parquet reader knows the place of its rows, so nothing is sorted and no row is moved to be numbered; rows of text
-files are counted inside the split they were read from.
+A row's number is its place in its file plus the rows of the files before it (by path): one count per file, which is
+sent to the rows, so that the rows of one file never meet in one task. The Parquet reader knows the place of its rows,
+so nothing is sorted and no row is moved to be numbered; rows of text files are counted inside the split they were
+read from.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ def _numbered(rows: DataFrame, place: Column, name: str) -> DataFrame:
     sizes = rows.groupBy("__file", "__block").agg(F.count(F.lit(1)).alias("__n"))  # a row a file or split
     before = F.sum("__n").over(Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("__file", "__block", F.coalesce(before, F.lit(0)).alias("__start"))
-    out = rows.withColumn("__place", place).join(starts, ["__file", "__block"])
+    out = rows.withColumn("__place", place).join(F.broadcast(starts), ["__file", "__block"])
     return out.withColumn(name, (F.col("__start") + F.col("__place")).cast("long")).drop(*_PLACE, "__start")
 
 

@@ -78,3 +78,21 @@ def test_positional_join_of_unequal_lengths(spark, tmp_path):
     assert sorted((r.id, r.other) for r in pos.positional_join(a, b).collect()) == [(i, 100 + i) for i in range(7)]
     assert pos.positional_join(a, b, how="left").where(F.col("other").isNull()).count() == 3
     assert pos.parquet_positions(spark, str(tmp_path / "a")).where("false").count() == 0
+
+
+def _joins(df):
+    """The kinds of joins in the plan, where Spark itself would broadcast nothing."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return {kind: plan.count(kind) for kind in ("SortMergeJoin", "ShuffledHashJoin", "BroadcastHashJoin")}
+
+
+def test_rows_of_one_file_do_not_meet_to_be_numbered(spark, tmp_path):
+    spark.range(3000).coalesce(1).write.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = pos.parquet_positions(spark, str(tmp_path / "t"))
+        assert _joins(rows) == {"SortMergeJoin": 0, "ShuffledHashJoin": 0, "BroadcastHashJoin": 1}
+        assert sorted(r.position for r in rows.collect()) == list(range(3000))
+        assert _joins(E.queries()["prj11_positional_slice"](spark, SMALL))["SortMergeJoin"] == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
