@@ -4,7 +4,9 @@ A sequence of tokens is what the merges produce exactly if every two neighbours
 produce from their joined bytes. So each prefix of a byte string has one valid last token: the token
 ending there that is compatible with the valid last token of the prefix before it. Storing that token
 for every prefix gives the encoding of every prefix at once; bytes can be appended without touching
-what is there, and after an edit only the prefixes near it are computed anew.
+what is there, and after an edit only the prefixes near it are computed anew. The tokens that end at a
+place are those of one state of an automaton over the bytes (Aho-Corasick), whose steps are worked out
+when they are first taken.
 
 The vocabulary is a rank file (base64 token and rank on each line) at a path that every machine can
 read. Text is split by a pattern first; pieces are encoded separately and a task keeps the encodings
@@ -19,6 +21,7 @@ from __future__ import annotations
 import base64
 import struct
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterable
 from itertools import islice
 
@@ -30,6 +33,7 @@ from pyspark.sql import functions as F
 
 CACHE = 150_000  # distinct words remembered
 PIECES_KEPT, STEMS, PAIRS = 50_000, 50_000, 200_000  # other pieces, beginnings of pieces and pairs of tokens remembered
+STEPS = 200_000  # steps of the automaton remembered
 LATIN_END = "\u0250"  # all letters below are letters to the pattern as well
 STEM = 6  # bytes of a piece whose prefix table is shared with other pieces
 LONG_TEXT = 1 << 20  # characters; longer texts are split piece by piece
@@ -46,14 +50,46 @@ class Vocabulary:
             self.rank = {base64.b64decode(t): int(r) for t, r in map(bytes.split, filter(None, f))}
         self.token = {r: t for t, r in self.rank.items()}
         self.longest = max(map(len, self.rank))
-        ends: dict[bytes, set[int]] = {}
-        for t in filter(lambda t: len(t) > 2, self.rank):
-            ends.setdefault(t[-3:], set()).add(len(t))
-        #: Lengths of the tokens that end in three bytes, longest first; one and two bytes may always be a token.
-        self.ends = {e: (*sorted(n, reverse=True), 2, 1) for e, n in ends.items()}
+        self._ordered = sorted(self.rank)
+        # states are beginnings of tokens: the longest one that the bytes so far end in
+        self._begun, self._state_of = [b""], {b"": ROOT}
+        self.ending: list[tuple[tuple[int, int], ...]] = [()]  # by state: length and rank of the tokens it ends in, longest first
+        self.steps: dict[int, int] = {}  # by ``state << 8 | byte``
         self.pairs: dict[int, bool] = {}  # by ``left << 32 | right``
+        self._pairs_before: dict[int, bool] = {}
         self._parts: dict[int, tuple[int, int] | None] = {}
 
+    def _begins(self, data: bytes) -> bool:
+        """Does a token begin with ``data``?"""
+        i = bisect_left(self._ordered, data)
+        return i < len(self._ordered) and self._ordered[i].startswith(data)
+
+    def step(self, state: int, byte: int) -> int:
+        """The state after one more byte."""
+        key = state << 8 | byte
+        known = self.steps.get(key)
+        if known is None:
+            if len(self.steps) >= STEPS:
+                self.steps.clear()
+            end = self._begun[state] + bytes((byte,))
+            while end and end not in self._state_of and not self._begins(end):
+                end = end[1:]
+            known = self._state_of.get(end)
+            if known is None:
+                known = self._state_of[end] = len(self._begun)
+                self._begun.append(end)
+                suffixes = ((n, self.rank.get(end[-n:])) for n in range(len(end), 0, -1))
+                self.ending.append(tuple((n, t) for n, t in suffixes if t is not None))
+            self.steps[key] = known
+        return known
+
+    def state(self, data: bytes) -> int:
+        """The state that ``data`` ends in."""
+        state = ROOT
+        for byte in data[-self.longest:]:
+            state = self.step(state, byte)
+        return state
+
     def merge(self, data: bytes, stop: int = 1) -> list[int]:
         """The definition: merge the neighbours of least rank, leftmost first, until none can be
         (or until ``stop`` tokens are left)."""
@@ -84,18 +120,23 @@ class Vocabulary:
         key = left << 32 | right
         known = self.pairs.get(key)
         if known is None:
-            if len(self.pairs) >= PAIRS:
+            if len(self.pairs) >= PAIRS:  # ``pairs`` itself stays the same object
+                self._pairs_before = self.pairs.copy()
                 self.pairs.clear()
-            known = self.pairs[key] = self._stay_apart(left, right)
+            known = self._pairs_before.get(key)
+            if known is None:
+                known = self._stay_apart(left, right)
+            self.pairs[key] = known
         return known
 
     def _stay_apart(self, left: int, right: int) -> bool:
-        token, rank, limit = self.token, self.rank.get, float("inf")
+        token, rank, parts, limit = self.token, self.rank.get, self._parts, float("inf")
         while True:
             over = rank(token[left] + token[right])
             if over is not None and over < limit:
                 return False
-            a, b = self.parts(left), self.parts(right)
+            a = parts[left] if left in parts else self.parts(left)
+            b = parts[right] if right in parts else self.parts(right)
             if a is not None and (b is None or left > right):
                 left, limit = a[1], left
             elif b is not None:
@@ -105,46 +146,48 @@ class Vocabulary:
 
 
 START = -1  # stands for the empty prefix
-_SHORT = (2, 1)
+ROOT = 0  # the state of no bytes
+
+
+def _extend(vocab: Vocabulary, data: bytes, last: list[int], until: int, state: int) -> int:
+    """Add the valid last tokens of the prefixes of ``data`` that end at ``len(last)`` to ``until``. ``state`` is that of
+    the bytes before; returns that of the bytes up to ``until``."""
+    step, known, ending = vocab.steps.get, vocab.pairs.get, vocab.ending
+    for i in range(len(last), until + 1):
+        before_byte = state << 8 | data[i - 1]
+        state = step(before_byte)
+        if state is None:
+            state = vocab.step(before_byte >> 8, data[i - 1])
+        for n, t in ending[state]:
+            before = last[i - n]
+            fits = before == START or known(before << 32 | t)
+            if fits is None:
+                fits = vocab.compatible(before, t)
+            if fits:
+                last.append(t)
+                break
+        else:
+            raise ValueError(f"byte {data[i - 1]} is not in the vocabulary")
+    return state
 
 
 class PrefixTable:
     """The valid last token of every prefix of one byte string."""
 
     def __init__(self, vocab: Vocabulary, data: bytes = b""):
-        self.vocab, self.data, self.last = vocab, b"", [START]
+        self.vocab, self.data, self.last, self.state = vocab, b"", [START], ROOT
         self.append(data)
 
-    def _extend(self, data: bytes, last: list[int], until: int) -> None:
-        """Add the valid last tokens of the prefixes of ``data`` that end at ``len(last)`` to ``until``."""
-        vocab = self.vocab
-        rank, known, ends = vocab.rank.get, vocab.pairs.get, vocab.ends.get
-        for i in range(len(last), until + 1):
-            for n in ends(data[i - 3:i], _SHORT) if i > 2 else _SHORT[2 - i:]:
-                if n > i:
-                    continue
-                t = rank(data[i - n:i])
-                if t is not None:
-                    before = last[i - n]
-                    fits = before == START or known(before << 32 | t)
-                    if fits is None:
-                        fits = vocab.compatible(before, t)
-                    if fits:
-                        last.append(t)
-                        break
-            else:
-                raise ValueError(f"byte {data[i - 1]} is not in the vocabulary")
-
     def append(self, data: bytes) -> None:
         """Add bytes at the end; nothing before them changes."""
         self.data += data
-        self._extend(self.data, self.last, len(self.data))
+        self.state = _extend(self.vocab, self.data, self.last, len(self.data), self.state)
 
     @classmethod
     def of(cls, vocab: Vocabulary, data: bytes, last: Iterable[int]) -> "PrefixTable":
         """The table of ``data`` whose last tokens are already known."""
         table = cls.__new__(cls)
-        table.vocab, table.data, table.last = vocab, data, list(last)
+        table.vocab, table.data, table.last, table.state = vocab, data, list(last), vocab.state(data)
         return table
 
     def replace(self, start: int, end: int, data: bytes) -> int:
@@ -156,13 +199,14 @@ class PrefixTable:
         new = self.data[:start] + data + self.data[end:]
         shift, reach = len(data) - (end - start), self.vocab.longest
         last, same, i = self.last[:start + 1], 0, start + 1
+        state = self.vocab.state(new[max(0, start - reach):start])
         while i <= len(new) and same < reach:
-            self._extend(new, last, i)
+            state = _extend(self.vocab, new, last, i, state)
             behind = i >= start + len(data) + reach and i - shift >= end + reach
             same = same + 1 if behind and last[i] == self.last[i - shift] else 0
             i += 1
         last.extend(self.last[i - shift:])
-        self.data, self.last = new, last
+        self.data, self.last, self.state = new, last, self.vocab.state(new)
         return i - start - 1
 
     def tokens(self, end: int | None = None) -> list[int]:
@@ -199,19 +243,24 @@ class _Words(_Memo):
     told without the pattern and remembered; anything else is split by the pattern."""
 
     def __init__(self, encoder: "Encoder"):
-        super().__init__(self._word)
+        super().__init__(encoder._piece)
         self.encoder = encoder
         self.marks = {m: encoder._piece(m) for m in ".,;:!?" if m.encode() in encoder.vocab.rank}
 
     def __missing__(self, chunk: str) -> bytes:
-        word = chunk[:-1] if chunk[-1:] in self.marks else chunk
-        if word.isalpha() and (word.isascii() or max(word) < LATIN_END):
-            return super().__missing__(chunk)
-        return self.encoder._split(" " + chunk)
-
-    def _word(self, chunk: str) -> bytes:
-        mark = self.marks.get(chunk[-1])
-        return self.encoder._piece(" " + chunk) if mark is None else self[chunk[:-1]] + mark
+        out = self.before.pop(chunk, None)
+        if out is None:
+            mark = self.marks.get(chunk[-1:])
+            word = chunk if mark is None else chunk[:-1]
+            if not word.isalpha() or not (word.isascii() or max(word) < LATIN_END):
+                return self.encoder._split(" " + chunk)
+            out = self.make(" " + chunk) if mark is None else self[word] + mark
+        if len(chunk) <= 64:
+            if len(self) >= self.size:
+                self.before = dict(self)
+                self.clear()
+            self[chunk] = out
+        return out
 
 
 class Encoder:
@@ -219,7 +268,7 @@ class Encoder:
 
     def __init__(self, vocab: Vocabulary, pattern: str = PATTERN):
         self.vocab, self.pattern = vocab, regex.compile(pattern)
-        self.stem = _Memo(lambda data: array("i", PrefixTable(vocab, data).last), STEMS)
+        self.stem = _Memo(self._stem, STEMS)
         self.piece = _Memo(self._piece, PIECES_KEPT)
         # a space followed by a non-space begins a piece of the public pattern, whatever went before
         self.by_space = pattern == PATTERN
@@ -230,11 +279,20 @@ class Encoder:
         whole = self.vocab.rank.get(data)
         if whole is not None:
             return whole.to_bytes(4, "little")
-        table = PrefixTable.of(self.vocab, data[:STEM], self.stem[data[:STEM]])  # many pieces begin alike
-        table.append(data[STEM:])
-        ids = table.tokens()
+        *last, state = self.stem[data[:STEM]]  # many pieces begin alike
+        _extend(self.vocab, data, last, len(data), state)
+        token, i, ids = self.vocab.token, len(data), []
+        while i:
+            ids.append(t := last[i])
+            i -= len(token[t])
+        ids.reverse()
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def _stem(self, data: bytes) -> array:
+        """Last tokens of all prefixes of ``data``, and the state it ends in."""
+        table = PrefixTable(self.vocab, data)
+        return array("i", [*table.last, table.state])
+
     def _split(self, text: str) -> bytes:
         if len(text) <= LONG_TEXT:
             return b"".join(map(self.piece.__getitem__, self.pattern.findall(text)))

@@ -292,3 +292,20 @@ def test_bpe_odd_rows(odd, none, reference):
     out = bpe.decode(bpe.encode(odd, RANKS), RANKS)
     assert sorted(bytes(r.decoded) for r in out.collect()) == sorted((r.text or "").encode() for r in odd.collect())
     assert bpe.encode(none, RANKS).count() == 0
+
+
+def test_automaton_ends_in_the_tokens_that_end_there(monkeypatch):
+    """After each byte the state names all tokens that end there, longest first, also when steps are forgotten."""
+    import random
+
+    from featmart.llm import bpe
+    from featmart.llm.common import tokenizer_file
+    monkeypatch.setattr(bpe, "STEPS", 50)
+    vocab, rng = bpe.Vocabulary(tokenizer_file("byte_bpe_multi_50k.tiktoken")), random.Random(4)
+    data = "".join(rng.choice([" the", "ation", "é", "中", "  ", "x", "ing", "\n"]) for _ in range(150)).encode()
+    state = bpe.ROOT
+    for i in range(1, len(data) + 1):
+        state = vocab.step(state, data[i - 1])
+        want = [(n, vocab.rank[data[i - n:i]]) for n in range(min(i, vocab.longest), 0, -1) if data[i - n:i] in vocab.rank]
+        assert list(vocab.ending[state]) == want and vocab.state(data[:i]) == state
+    assert len(vocab.steps) <= 50
