@@ -96,3 +96,12 @@ def test_rows_of_one_file_do_not_meet_to_be_numbered(spark, tmp_path):
         assert _joins(E.queries()["prj11_positional_slice"](spark, SMALL))["SortMergeJoin"] == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_fill_by_position_numbers_both_files_in_place(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = _joins(E.queries()["snk04_fill_by_position"](spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joins["SortMergeJoin"] == 1  # of the two tables, by position
