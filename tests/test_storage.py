@@ -105,3 +105,12 @@ def test_fill_by_position_numbers_both_files_in_place(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joins["SortMergeJoin"] == 1  # of the two tables, by position
+
+
+def test_positional_join_moves_rows_by_position_only(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = _joins(E.queries()["jn10_positional_join"](spark, SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert joins["SortMergeJoin"] == 1
