@@ -3,11 +3,17 @@
 The text is taken line by line, a line being a sentence; a sentence end followed by a capital also ends a line. Each
 rule is one ``regexp_replace`` over the whole text, in order, and the tokens are what stands between blanks at the end.
 Spans that match ``protect`` (addresses, say) are cut out before the rules and come back as one token each.
+
+Most rules change few texts. Where every match of a rule holds a plain string, the rule is only run over texts that hold
+it, and the rules for words that are two only over texts in which one of them matches.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,7 +44,7 @@ RULES = [
     (r"'([sSmMdD]) ", r" '\1 "),
     (r"'(ll|LL|re|RE|ve|VE) ", r" '\1 "),
     (r"(n't|N'T) ", r" \1 "),
-    # words that are two
+    # words that are two: see ``TWO_WORDS``
     (r"(?i) (can)(not) ", r" \1 \2 "),
     (r"(?i) (d)('ye) ", r" \1 \2 "),
     (r"(?i) (gim)(me) ", r" \1 \2 "),
@@ -51,6 +57,14 @@ RULES = [
     (r"(?i) (wan)(na) ", r" \1 \2 "),
 ]
 # -----------------------------------------------------------------------------------------------------
+#: Strings of which every match of a pattern holds at least one.
+HOLDS = {
+    "\n\"": ["\n\""], r"([ (\[{<])" + '"': ['"'], r"\.\.\.": ["..."], r"([?!])": ["?", "!"], r"--": ["--"], '"': ['"'], r"([^'])' ": ["' "],
+    r"'([sSmMdD]) ": ["'"], r"'(ll|LL|re|RE|ve|VE) ": ["'"], r"(n't|N'T) ": ["n't", "N'T"],
+}
+#: Matches where the first of the rules for words that are two matches; they are the last rules.
+_TWO = [p for p, _ in RULES if p.startswith("(?i)")]
+TWO_WORDS = "(?i)" + "|".join(p.removeprefix("(?i)") for p in _TWO)
 _BLANKS = r"[ \n\t\r\x0b\x0c]+"
 
 
@@ -58,8 +72,23 @@ def rewritten(text: Column) -> Column:
     """``text`` after all rules: tokens with blanks between them."""
     out = F.concat(F.lit("\n"), text, F.lit("\n"))
     for pattern, replacement in RULES:
-        out = F.regexp_replace(out, pattern, re.sub(r"\\([0-9])", r"$\1", replacement))
-    return out
+        if pattern in HOLDS:
+            out = _where(out, lambda t, p=pattern: reduce(or_, (t.contains(h) for h in HOLDS[p])), [(pattern, replacement)])
+        elif pattern not in _TWO:
+            out = _replaced(out, pattern, replacement)
+    return _where(out, lambda t: t.rlike(TWO_WORDS), [(p, r) for p, r in RULES if p in _TWO])
+
+
+def _replaced(text: Column, pattern: str, replacement: str) -> Column:
+    return F.regexp_replace(text, pattern, re.sub(r"\\([0-9])", r"$\1", replacement))
+
+
+def _where(text: Column, condition: Callable[[Column], Column], rules: list[tuple[str, str]]) -> Column:
+    """``text`` after ``rules`` where it meets ``condition``; ``text`` is worked out once."""
+    def changed(t: Column) -> Column:
+        return F.when(condition(t), reduce(lambda u, rule: _replaced(u, *rule), rules, t)).otherwise(t)
+
+    return F.element_at(F.transform(F.array(text), changed), 1)
 
 
 def _split(text: Column) -> Column:

@@ -49,3 +49,14 @@ def test_protected_spans_stay_whole(spark):
     got = [r.x for r in df.select(tb.treebank_tokens("t", address).alias("x")).collect()]
     assert got[0] == ["Mail", "me@x.org", ",", "or", "see", "https://a.b/c?d=1&e!", "It", "'s", "``", "ok", "''", "."]
     assert got[1] == ["none"] and got[2] == ["a@b.c"] and got[3] == []
+
+
+def test_rules_are_skipped_only_where_they_change_nothing(spark):
+    """Texts that hold what a rule needs, or all but hold it, in any case."""
+    rng = random.Random(11)
+    parts = [" cannot ", "Cannot", " GONNA ", " 'tis ", " more'n", " d'ye ", "...", "..", "--", "-", '"', "\n\"", "' ", "'", "n't ", "N'T", "?", "!", " ", "\n", "a", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string").select("i", tb.treebank_tokens("t").alias("x")).collect()
+    assert {r.i: r.x for r in rows} == {i: plain(t) for i, t in enumerate(texts)}
+    assert all(re.search(tb.TWO_WORDS, t) for t in (" cannot ", " Gonna ", " 'TWAS ")) and not re.search(tb.TWO_WORDS, "cannot")
+    assert set(tb.HOLDS) < {p for p, _ in tb.RULES}
