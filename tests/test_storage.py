@@ -71,6 +71,24 @@ def test_csv_positions_across_splits(spark, tmp_path):
     assert got == {**{i: i for i in range(1000)}, **{2000 + i: 1000 + i for i in range(1000)}}
 
 
+def test_rows_of_one_split_do_not_meet_to_be_numbered(spark, tmp_path):
+    """Splits of several files in one task: rows are numbered where they are read, by no window over a split."""
+    for k in range(5):
+        (tmp_path / f"part-{k}.csv").write_text("\n".join(["id", *(str(k * 400 + i) for i in range(400))]) + "\n")
+    spark.conf.set("spark.sql.files.minPartitionNum", "2")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = pos.csv_positions(spark, str(tmp_path), "id long")
+        assert rows.rdd.getNumPartitions() < 5
+        assert {r.id: r.position for r in rows.collect()} == {i: i for i in range(2000)}
+        assert {r.id: r.position for r in rows.where("id % 7 = 0").collect()} == {i: i for i in range(0, 2000, 7)}
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "row_number" not in plan  # that of the splits' sizes
+
+
 def test_positional_join_of_unequal_lengths(spark, tmp_path):
     spark.range(10).coalesce(1).write.parquet(str(tmp_path / "a"))
     spark.range(100, 107).coalesce(1).withColumnRenamed("id", "other").write.parquet(str(tmp_path / "b"))
