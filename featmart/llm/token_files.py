@@ -22,24 +22,27 @@ an id are ordered by their content; an empty table makes an empty data set.
 
 from __future__ import annotations
 
+import string
 import struct
 import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm.common import id_text, stored
+from featmart.llm.common import blocks, id_text, stored
 from featmart.session import checkpoint_dir
 
 END = 1
 MAX_BITS = 16
 STRIDE = 256
 BLOCK_IDS = 1 << 18
-CACHE = 150_000
+CACHE = 300_000  # words remembered, twice
+TEXT_AT_ONCE = 8 << 20  # bytes of text whose words are told apart at once
 ROWS_AT_ONCE = 128
 
 _tokenizers: dict[str, "WordEncoder"] = {}
@@ -54,16 +57,17 @@ def _byte_letters() -> dict[int, int]:
 
 
 class WordEncoder:
-    """Ids of texts whose tokenizer drops white space: words between white space are encoded once.
+    """Ids of texts whose tokenizer drops white space: the distinct words of many texts are encoded once and the texts'
+    ids put together from them by Arrow.
 
     A word of Latin letters goes straight to the tokenizer's merges, lower-cased and as byte letters, which
-    is what its normalizer and splitter make of it; sentence marks at its end are a piece of their own.
+    is what its normalizer and splitter make of it; ASCII marks at its end are a piece of their own.
     All other words go through the whole tokenizer.
     """
 
-    _ODD = ("\x1c", "\x1d", "\x1e", "\x1f")  # str.split takes these for white space, the tokenizer does not
-    _MARKS = ".,;:!?"
+    _ODD = "[\x1c-\x1f]"  # Arrow splits at these as well, the tokenizer does not
     _LATIN = "\u0130"  # letters below lower-case alike everywhere and have no other normal form
+    _LETTERS = "".join(c for c in map(chr, range(ord(_LATIN))) if c.isalpha())
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -71,27 +75,11 @@ class WordEncoder:
         self.merges, self.letters = self.tokenizer.model.tokenize, _byte_letters()
         self.cache, self.before = {}, {}
 
-    def _split(self, text: str) -> list[str]:
-        if any(c in text for c in self._ODD):
-            return [w for w in regex.split(r"\s+", text) if w]
-        return text.split()
-
-    def _latin(self, word: str) -> bytes:
-        """Ids of a word of Latin letters."""
-        low = word.lower()
-        known = self.cache.get(low)
-        if known is None:
-            known = self.before.get(low)
-            if known is None:
-                letters = low if low.isascii() else low.encode().decode("latin-1").translate(self.letters)
-                known = self._pack([t.id for t in self.merges(letters)])
-            self.cache[low] = known
-        return known
-
-    def _marks(self, marks: str) -> bytes:
-        if marks not in self.cache:
-            self.cache[marks] = self._pack(self.tokenizer.encode(marks, add_special_tokens=False).ids)
-        return self.cache[marks]
+    def _split(self, texts: pa.Array) -> pa.Array:
+        """The words of each text; there are empty ones beside white space at an end."""
+        if pc.any(pc.match_substring_regex(texts, self._ODD)).as_py():
+            return pa.array([regex.split(r"\s+", t) for t in texts.to_pylist()], pa.list_(pa.large_string()))
+        return pc.utf8_split_whitespace(texts)
 
     _FORMATS = [f"<{n}I" for n in range(64)]
 
@@ -99,29 +87,50 @@ class WordEncoder:
         n = len(ids)
         return struct.pack(self._FORMATS[n] if n < 64 else f"<{n}I", *ids)
 
-    def encode(self, texts: list[str], end: int | None) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text, then ``end``."""
+    def _known(self, words: pa.Array) -> pa.Array:
+        """Ids of some words, each told apart once: lower-cased ones of Latin letters, and any others."""
         if len(self.cache) > CACHE:  # words not met since the last time are forgotten
             self.before, self.cache = self.cache, {}
-        words = [self._split(t) for t in texts]
         cache, before, rest = self.cache, self.before, []
-        for w in set().union(*words).difference(cache):
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        out = list(map(cache.get, distinct))
+        for i, w in enumerate(distinct):
+            if out[i] is not None:
+                continue
             known = before.get(w)
             if known is None:
-                body = w.rstrip(self._MARKS)
-                if not body.isalpha() or not (body.isascii() or max(body) < self._LATIN):
-                    rest.append(w)
+                if not w.isalpha() or not (w.isascii() or max(w) < self._LATIN):
+                    rest.append(i)
                     continue
-                known = self._latin(body)
-                if len(body) < len(w):
-                    known += self._marks(w[len(body):])
-            cache[w] = known
+                letters = w if w.isascii() else w.encode().decode("latin-1").translate(self.letters)
+                known = self._pack([t.id for t in self.merges(letters)])
+            out[i] = cache[w] = known
         for at in range(0, len(rest), 1 << 14):
             part = rest[at:at + (1 << 14)]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.cache[w] = self._pack(e.ids)
+            for i, e in zip(part, self.tokenizer.encode_batch_fast([distinct[i] for i in part], add_special_tokens=False)):
+                out[i] = cache[distinct[i]] = self._pack(e.ids)
+        return pa.array(out, pa.large_binary()).take(coded.indices)
+
+    def _ids(self, words: pa.Array) -> pa.Array:
+        """Ids of distinct words."""
+        body, marks = pc.utf8_rtrim(words, string.punctuation), pc.utf8_ltrim(words, self._LETTERS)
+        latin = pc.and_(pc.equal(pc.utf8_ltrim(body, self._LETTERS), ""), pc.not_equal(body, ""))
+        first = self._known(pc.if_else(latin, pc.utf8_lower(body), words))
+        return pc.binary_join_element_wise(first, self._known(pc.if_else(latin, marks, "")), pa.scalar(b"", pa.large_binary()))
+
+    def encode(self, texts: list[str] | pa.Array, end: int | None) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text, then ``end``."""
+        words = self._split(pc.cast(texts, pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        ids = self._ids(coded.dictionary).take(coded.indices)
+        ends = np.zeros(len(ids) + 1, dtype=np.int64)
+        np.cumsum(pc.binary_length(ids).to_numpy(zero_copy_only=False), out=ends[1:])
+        first = words.offsets.to_numpy()
+        data = memoryview(ids.buffers()[2] or b"")
         tail = b"" if end is None else self._pack([end])
-        return [b"".join(map(self.cache.__getitem__, ws)) + tail for ws in words]
+        cuts = ends[first - first[0]].tolist()
+        return [bytes(data[a:b]) + tail for a, b in zip(cuts, cuts[1:])]
 
 
 def word_encoder(path: str) -> WordEncoder:
@@ -137,13 +146,11 @@ def encode(docs: DataFrame, path: str, end: int | None = END, id_col: str = "doc
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         enc = word_encoder(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                part = batch.slice(at, ROWS_AT_ONCE)
-                ids = enc.encode([t or "" for t in part.column(1).to_pylist()], end)
-                n = [len(x) // 4 for x in ids]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(map(_narrow, ids), pa.binary())],
-                                                 ["doc_id", "n", "ids"])
+        for block in blocks(batches, limit=TEXT_AT_ONCE):
+            ids = enc.encode(pc.fill_null(block.rows.column(1), ""), end)
+            n = [len(x) // 4 for x in ids]
+            yield pa.RecordBatch.from_arrays([block.rows.column(0), pa.array(n, pa.int64()), pa.array(map(_narrow, ids), pa.binary())],
+                                             ["doc_id", "n", "ids"])
 
     return stored(id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, n long, ids binary"), "ids")
 

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import regex
 import pytest
 from pyspark.sql import functions as F
 
@@ -294,6 +295,32 @@ def test_word_encoder_equals_the_library():
         assert np.frombuffer(enc.encode([t], None)[0], "<u4").tolist() == enc.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_word_encoder_tells_equal_words_apart_once(monkeypatch):
+    enc, asked = token_files.WordEncoder(WORDS), []
+    merges, whole = enc.merges, enc.tokenizer
+    monkeypatch.setattr(enc, "merges", lambda w: (asked.append(w), merges(w))[1])
+    texts = ["Word, word###  WORD 'wörd' wörd% WÖRD\n"] * 300 + ["", " ", "word\x1cword word"]
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(texts, None)] == want
+    assert sorted(asked) == sorted(["word", "wörd".encode().decode("latin-1").translate(enc.letters)])
+    assert enc.encode([], 1) == [] and enc.encode([""], 1) == [b"\1\0\0\0"]
+
+
+def test_words_of_latin_letters_and_any_marks_equal_the_library():
+    enc = token_files.WordEncoder(WORDS)
+    words = [f"{c}a{c}{m}" for c in enc._LETTERS for m in ("", "'", "?!", "#*|>", "<|endoftext|>", "'s")]
+    want = [e.ids for e in enc.tokenizer.encode_batch(words, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(words, None)] == want
+
+
+def test_arrow_splits_at_the_white_space_of_the_tokenizer():
+    enc = token_files.word_encoder(WORDS)
+    for c in map(chr, [*range(0xD800), *range(0xE000, 0x20000)]):
+        if c.isspace() or regex.match(r"\s", c):
+            got = enc.encode([f"a{c}b"], None)[0]
+            assert np.frombuffer(got, "<u4").tolist() == enc.tokenizer.encode(f"a{c}b", add_special_tokens=False).ids
+
+
 def test_token_files_query(spark, texts):
     out = {r.doc_id: r for r in QUERIES["op8_token_files"](spark, SMALL).collect()}
     tokenizer, at = token_files.word_encoder(WORDS).tokenizer, 0
