@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from featmart.llm.common import held
+
 CACHE = 150_000  # distinct words remembered
 PIECES_KEPT, STEMS, PAIRS = 50_000, 50_000, 200_000  # other pieces, beginnings of pieces and pairs of tokens remembered
 STEPS = 200_000  # steps of the automaton remembered
@@ -346,14 +348,9 @@ class EditableText:
         return np.frombuffer(b"".join(map(self.encoder.piece.__getitem__, self.pieces)), "<u4").tolist()
 
 
-_loaded: dict[tuple[str, str], Encoder] = {}
-
-
 def encoder(path: str, pattern: str = PATTERN) -> Encoder:
-    """The encoder for a rank file, loaded once in a process."""
-    if (path, pattern) not in _loaded:
-        _loaded[path, pattern] = Encoder(Vocabulary(path), pattern)
-    return _loaded[path, pattern]
+    """The encoder for a rank file, loaded once in a process that does nothing else meanwhile."""
+    return held(("bytes", path, pattern), lambda: Encoder(Vocabulary(path), pattern))
 
 
 def _passed(docs: DataFrame, drop: str) -> tuple[list[str], str]:

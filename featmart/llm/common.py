@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,25 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_held: dict[Hashable, object] = {}
+
+
+def held(key: Hashable, make: Callable[[], object]):
+    """``make()``, held by this process for the next tasks that ask for ``key``; only the last one is. Python workers
+    serve the tasks of one operator after another, and what one remembers is of no use to the next."""
+    if key not in _held:
+        let_go()
+        _held[key] = make()
+    return _held[key]
+
+
+def let_go() -> None:
+    """Free what earlier tasks of other operators made this process hold."""
+    if _held:
+        _held.clear()
+        gc.collect()  # memos and their owners refer to each other
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads every input bit over the 64 output bits."""
     x = x.astype(np.uint64, copy=True)

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featmart.llm.common import (LOWER, NON_WORD, blocks, gram_hash, id_text, inside, mix64, prefix_hash,
+from featmart.llm.common import (LOWER, NON_WORD, blocks, gram_hash, id_text, inside, let_go, mix64, prefix_hash,
                                  range_hash, row_key, stored)
 
 SHINGLE = 5
@@ -128,6 +128,7 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHI
     more = read.columns[2:]
 
     def run(batches):
+        let_go()
         base, number = TaskContext.get().partitionId() << 36, 0
         for b in blocks(batches):
             grams, owner, copies = _shingles(b, n)
@@ -169,6 +170,7 @@ def _family_links(similarity: float):
     """Links between the texts of one group ``(row, runs)``, as few as join what they join."""
 
     def run(table: pa.Table) -> pa.Table:
+        let_go()
         rows = table.column("row").to_numpy()
         runs = [np.unique(np.frombuffer(x.as_buffer(), "<u4")) for x in table.column("runs")]
         size = np.array([len(x) for x in runs])

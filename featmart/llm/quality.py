@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featmart.llm.common import (SPACE, Block, blocks, byte_set, gram_hash, id_text, inside,
+from featmart.llm.common import (SPACE, Block, blocks, byte_set, gram_hash, id_text, inside, let_go,
                                  prefix_hash, range_hash, repeated)
 
 GRAM = 4
@@ -66,6 +66,7 @@ def gram_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     shuffle, which then carries at most ``buckets`` rows from a task."""
 
     def count(batches):
+        let_go()
         total = np.zeros((3, buckets), dtype=np.int64)
         for b in blocks(batches):
             g, ok = _buckets(b, buckets)
@@ -117,6 +118,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, label_rows:
         return QualityModel(ratio, None)
 
     def score(batches):
+        let_go()
         for b in blocks(batches):
             s, n = _scores(b, ratio)
             some = n > 0
@@ -188,6 +190,7 @@ def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
     names = [f.name for f in passed]
 
     def run(batches):
+        let_go()
         for b in blocks(batches, "__text"):
             m = _measures(b)
             n_words, n_repeat = m[0], m[4]

@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featmart.llm.common import blocks, id_text, stored
+from featmart.llm.common import blocks, held, id_text, stored
 from featmart.session import checkpoint_dir
 
 END = 1
@@ -45,8 +45,6 @@ CACHE = 300_000  # words remembered, twice
 TEXT_AT_ONCE = 8 << 20  # bytes of text whose words are told apart at once
 ROWS_AT_ONCE = 128
 
-_tokenizers: dict[str, "WordEncoder"] = {}
-
 
 def _byte_letters() -> dict[int, int]:
     """How byte-level tokenizers write bytes as characters: printable Latin-1 as it is, the others, in
@@ -134,9 +132,8 @@ class WordEncoder:
 
 
 def word_encoder(path: str) -> WordEncoder:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordEncoder(path)
-    return _tokenizers[path]
+    """The encoder of a tokenizer file, loaded once in a process that does nothing else meanwhile."""
+    return held(("words", path), lambda: WordEncoder(path))
 
 
 def encode(docs: DataFrame, path: str, end: int | None = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,14 +2,16 @@
 
 import hashlib
 import random
+import weakref
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from featmart.llm import bpe, language, pii, quality, secret_scan
+from featmart.llm import bpe, language, neardup, pii, quality, secret_scan, token_files
 from featmart.llm.common import tokenizer_file
 from featmart.llm.queries import QUERIES
 from featmart.llm.spans import listing
@@ -294,6 +296,20 @@ def test_bpe_odd_rows(odd, none, reference):
     assert bpe.encode(none, RANKS).count() == 0
 
 
+def test_a_process_holds_what_one_operator_remembers():
+    first = bpe.encoder(RANKS)
+    assert bpe.encoder(RANKS) is first
+    gone = weakref.ref(first)
+    del first
+    words = token_files.word_encoder(tokenizer_file("word_bpe_49k.json"))
+    assert gone() is None and token_files.word_encoder(tokenizer_file("word_bpe_49k.json")) is words
+    gone = weakref.ref(words)
+    del words
+    runs = np.arange(9, dtype="<u4").tobytes()
+    assert neardup._family_links(0.8)(pa.table({"row": [1, 2], "runs": pa.array([runs, runs], pa.binary())})).num_rows == 1
+    assert gone() is None
+
+
 def test_automaton_ends_in_the_tokens_that_end_there(monkeypatch):
     """After each byte the state names all tokens that end there, longest first, also when steps are forgotten."""
     import random
