@@ -132,3 +132,9 @@ def test_positional_join_moves_rows_by_position_only(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert joins["SortMergeJoin"] == 1
+
+
+def test_positional_join_deals_out_small_tables_too(spark):
+    for name in ("jn10_positional_join", "snk04_fill_by_position"):
+        joins = _joins(E.queries()[name](spark, SMALL))
+        assert joins == {"SortMergeJoin": 1, "ShuffledHashJoin": 0, "BroadcastHashJoin": 2}  # two of the files' starts
