@@ -21,10 +21,10 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and reach the threshold of the n-gram model."""
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"), F.col("doc_id").alias("__id"),
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("__row"), F.col("doc_id").alias("__id"),
                        F.col("text").alias("__body"))
-    judged = quality.judge(rows, model, "__id", "__body", keep=("__row",))
-    return judged.where("kept").select(*(F.col("__row").getField(c).alias(c) for c in docs.columns))
+    judged = quality.judge(rows, model, "__id", "__body", keep=("__row", "__body"))
+    return judged.where("kept").select(*((F.col("__body") if c == "text" else F.col("__row").getField(c)).alias(c) for c in docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -63,10 +63,12 @@ def held(key: Hashable, make: Callable[[], object]):
 
 
 def let_go() -> None:
-    """Free what earlier tasks of other operators made this process hold."""
+    """Free what earlier tasks of other operators made this process hold, and give it back to the system: a worker
+    lives on beside the next ones of its executor."""
     if _held:
         _held.clear()
         gc.collect()  # memos and their owners refer to each other
+    pa.default_memory_pool().release_unused()
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

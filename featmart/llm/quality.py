@@ -32,6 +32,7 @@ from featmart.llm.common import (SPACE, Block, blocks, byte_set, gram_hash, id_t
 GRAM = 4
 BUCKETS = 1 << 16
 LABEL_ROWS = 20_000
+TEXT_AT_ONCE = 1 << 18  # bytes of text handled at once in a task: every measure has several numbers for each byte
 FIXED = 1 << 16  # fixed-point unit of the log ratio
 BIN = FIXED >> 8  # width of a threshold bin
 MIN_WORDS = 50
@@ -68,7 +69,7 @@ def gram_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     def count(batches):
         let_go()
         total = np.zeros((3, buckets), dtype=np.int64)
-        for b in blocks(batches):
+        for b in blocks(batches, limit=TEXT_AT_ONCE):
             g, ok = _buckets(b, buckets)
             label = b.rows.column(1).fill_null(-1).to_numpy(zero_copy_only=False)
             which = np.repeat(label, np.diff(b.offsets))[:len(g)]
@@ -119,7 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, label_rows:
 
     def score(batches):
         let_go()
-        for b in blocks(batches):
+        for b in blocks(batches, limit=TEXT_AT_ONCE):
             s, n = _scores(b, ratio)
             some = n > 0
             yield pa.RecordBatch.from_arrays([pa.array(s[some] // BIN), b.rows.column(1).filter(pa.array(some))],
@@ -180,25 +181,28 @@ def judge(docs: DataFrame, model: QualityModel, id_col: str = "doc_id", text_col
           keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per input row: id, the five measures, ``base_failed``, ``llr`` (null without n-grams)
     and ``kept``; columns named in ``keep`` are passed through, but for those named like a result.
-    A single pass without a shuffle."""
+    A text that is kept goes to the workers once. A single pass without a shuffle."""
     results = ("doc_id", "__text", *MEASURES, "base_failed", "llr", "kept")
-    extra = [F.col(f"`{c}`") for c in keep if c.lower() not in results]
-    rows = docs.select(F.col(f"`{text_col}`").cast("string").alias("__text"), F.col(f"`{id_col}`").alias("doc_id"), *extra)
-    passed = [f for f in rows.schema if f.name != "__text"]
-    schema = T.StructType([*passed, *(T.StructField(m, T.LongType()) for m in MEASURES), T.StructField("base_failed", T.BooleanType()),
+    names = ["doc_id", *(c for c in keep if c.lower() not in results)]
+    judged = docs.select(F.col(f"`{text_col}`").cast("string").alias("__text"), F.col(f"`{id_col}`").alias("doc_id"),
+                         *(F.col(f"`{c}`") for c in names[1:]))
+    fields = judged.schema.fields[1:]
+    once = [c == text_col and f.dataType == T.StringType() for c, f in zip(names, fields)]
+    rows = judged.select("__text", *(f"`{c}`" for c, same in zip(names, once) if not same))
+    place = [0 if same else k + 1 - sum(once[:k]) for k, same in enumerate(once)]  # of each name's column in a batch
+    schema = T.StructType([*fields, *(T.StructField(m, T.LongType()) for m in MEASURES), T.StructField("base_failed", T.BooleanType()),
                            T.StructField("llr", T.DoubleType()), T.StructField("kept", T.BooleanType())])
-    names = [f.name for f in passed]
 
     def run(batches):
         let_go()
-        for b in blocks(batches, "__text"):
+        for b in blocks(batches, "__text", TEXT_AT_ONCE):
             m = _measures(b)
             n_words, n_repeat = m[0], m[4]
             failed = (n_words < MIN_WORDS) | (100 * n_repeat > MAX_REPEAT_PERCENT * n_words)
             s, n = _scores(b, model.ratio)
             good = np.ones(len(b), bool) if model.threshold is None else (n == 0) | (s >= model.threshold)
             yield pa.RecordBatch.from_arrays(
-                [*(b.rows.column(k + 1) for k in range(len(names))), *(pa.array(x.astype(np.int64)) for x in m),
+                [*(b.rows.column(k) for k in place), *(pa.array(x.astype(np.int64)) for x in m),
                  pa.array(failed), pa.array(s / FIXED, mask=n == 0), pa.array(~failed & good)],
                 [*names, *MEASURES, "base_failed", "llr", "kept"])
 

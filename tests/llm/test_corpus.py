@@ -3,6 +3,8 @@
 import hashlib
 import math
 import random
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -392,3 +394,26 @@ def test_pipeline_odd_rows(spark, odd):
         assert out.columns == docs.columns and out.count() <= docs.count()
         assert stage(spark, docs.where("false"), SMALL).count() == 0
     assert corpus_pipeline.STAGES[4][1](spark, docs, SMALL).count() == docs.count()
+
+
+def test_quality_rules_send_a_text_once(spark, documents):
+    plan = corpus_pipeline.quality_rules(spark, documents, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    to_workers = next(x for x in plan.split("\n") if "Project" in x and "__text" in x and "__row" in x)
+    assert len(regex.findall(r"(?<!_)text#", to_workers)) == 1 and "__body" not in to_workers
+
+
+def test_a_worker_gives_freed_memory_back():
+    """Of another process: memory that Arrow holds for no one goes back when the next operator's task begins."""
+    code = """
+import re, pyarrow as pa, pyarrow.compute as pc
+from featmart.llm import common
+def mb(): return sum(map(int, re.findall(r"Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+held = [pc.add(pa.array(range(1000)).cast("int64"), k) for k in range(8000)]  # small buffers, 64 MB
+first = held[::400]
+del held
+before = mb()
+common.let_go()
+print(before - mb())
+"""
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True)
+    assert float(run.stdout) > 20
